@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, langid, packing, quality, secrets
 from .common import table
 
 
@@ -19,12 +19,30 @@ def op1_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> D
     return bpe.digest(bpe.decode(bpe.encode(docs, tokenizer), tokenizer))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op7_quality": op7_quality}
+    return {
+        "op1_bpe": op1_bpe,
+        "op3_secrets": op3_secrets,
+        "op4_langid": op4_langid,
+        "op7_quality": op7_quality,
+        "op10_packing": op10_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
