@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, quality, secrets
+from . import bpe, langid, packing, pii, quality, secrets
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": op1_bpe,
         "op3_secrets": op3_secrets,
         "op4_langid": op4_langid,
+        "op5_pii": op5_pii,
         "op7_quality": op7_quality,
         "op10_packing": op10_packing,
     }
