@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pieces that a Python worker remembers between batches; beyond it the memory starts afresh.
-REMEMBER = 400_000
-#: Rows sent back to the JVM at once.
-OUT_ROWS = 200
+REMEMBER = 800_000
+#: Rows encoded at once.
+OUT_ROWS = 1000
+#: After so many lists shorter than FEW, the rest is merged one position at a time.
+FEW, FEW_TIMES = 40, 60
 
 # The split pattern of the byte-level tokenizer (white space as Unicode has it).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -42,6 +44,18 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+class _Known(dict):
+    """Numbers of pieces; a piece that is asked for the first time is noted in fresh and gets the next number."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.fresh.append(piece)
+        return n
+
+
 class PairIndexBPE:
     """A byte-level BPE tokenizer read from a `tokenizers` JSON file."""
 
@@ -67,12 +81,15 @@ class PairIndexBPE:
             self.token_bytes[i] = t.encode()
         self.special_split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.pieces = regex.compile(PIECES).findall
-        self.known: dict[str, list[int]] = {}
+        self.known, self.pool, self.starts = _Known(), np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.token_len = np.array([len(t) for t in self.token_bytes], np.int64)
+        self.token_at = np.concatenate([[0], np.cumsum(self.token_len)[:-1]])
+        self.token_pool = np.frombuffer(b"".join(self.token_bytes), np.uint8)
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece, by the pair occurrence index over all pieces at once."""
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, how many each has), by the pair occurrence index over all pieces at once."""
         if not pieces:
-            return []
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         lens = np.array([len(p) for p in pieces])
         raw = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
         ids = np.array(self.byte_ids, np.int64)[raw]
@@ -85,12 +102,20 @@ class PairIndexBPE:
         hit = (self.rank_keys[at] == key) & (left >= 0) & (right >= 0) if len(self.rank_keys) else np.zeros(n - 1, bool)
         pos = np.nonzero(hit)[0]
         ranks = self.rank_vals[at[pos]]
-        order = np.argsort(ranks, kind="stable")
-        pos, ranks = pos[order], ranks[order]
-        active, starts = np.unique(ranks, return_index=True)
-        positions = {int(r): p.tolist() for r, p in zip(active, np.split(pos, starts[1:]))} if len(active) else {}
-        heap = list(positions)
-        sym, nxt, prv = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        index: dict[int, list[np.ndarray]] = {}
+        self._file(index, ranks, pos)
+        heap = list(index)
+        heapq.heapify(heap)
+        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        small = 0
+        while heap and small < FEW_TIMES:  # long lists: whole arrays at a time
+            r = heapq.heappop(heap)
+            at = np.unique(np.concatenate(index.pop(r)))
+            small += len(at) < FEW
+            for k in self._merge_list(r, at, ids, nxt, prv, index):
+                heapq.heappush(heap, k)
+        positions = {r: np.concatenate(at).tolist() for r, at in index.items()}
+        sym, nxt, prv = ids.tolist(), nxt.tolist(), prv.tolist()
         rank, rules = self.rank.get, self.rules
         while heap:
             r = heapq.heappop(heap)
@@ -115,43 +140,87 @@ class PairIndexBPE:
                         heapq.heappush(heap, k)
         ids = np.array(sym, np.int64)
         alive = ids >= 0
-        upto = np.concatenate([[0], np.cumsum(alive)])[ends].tolist()
-        flat, out, start = ids[alive].tolist(), [], 0
-        for end in upto:
-            out.append(flat[start:end])
-            start = end
-        return out
-
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        upto = np.concatenate([[0], np.cumsum(alive)])[ends]
+        return ids[alive].astype(np.int32), np.diff(upto, prepend=0)
+
+    @staticmethod
+    def _file(index: dict[int, list[np.ndarray]], ranks: np.ndarray, pos: np.ndarray) -> list[int]:
+        """Add positions to the lists of their ranks; the ranks that had no list before."""
+        order = np.argsort(ranks, kind="stable")
+        ranks, pos = ranks[order], pos[order]
+        new, starts = [], np.nonzero(np.diff(ranks, prepend=-1))[0]
+        for r, p in zip(ranks[starts].tolist(), np.split(pos, starts[1:]) if len(starts) else []):
+            if r in index:
+                index[r].append(p)
+            else:
+                index[r] = [p]
+                new.append(r)
+        return new
+
+    def _merge_list(self, r: int, at: np.ndarray, sym: np.ndarray, nxt: np.ndarray, prv: np.ndarray, index: dict) -> list[int]:
+        """Apply one rank to its sorted position list; update the lists of the new pairs."""
+        a, b, made = self.rules[r]
+        q = nxt[at]
+        live = (sym[at] == a) & (sym[q] == b)
+        at, q = at[live], q[live]
+        if a == b and len(at) > 1:  # of touching pairs, every other one from the left
+            head = np.concatenate([[True], q[:-1] != at[1:]])
+            run = np.arange(len(at)) - np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
+            at, q = at[run % 2 == 0], q[run % 2 == 0]
+        if not len(at):
+            return []
+        sym[at], sym[q] = made, -2
+        after = nxt[q]
+        nxt[at] = after
+        prv[after] = at
+        before = prv[at]
+        left, right = sym[before], sym[after]
+        key = np.concatenate([left << 32 | made, np.int64(made) << 32 | right]).astype(np.uint64)
+        where = np.concatenate([before, at])
+        ok = np.concatenate([left >= 0, right >= 0])
+        key, where = key[ok], where[ok]
+        j = np.minimum(np.searchsorted(self.rank_keys, key), len(self.rank_keys) - 1)
+        hit = self.rank_keys[j] == key
+        return self._file(index, self.rank_vals[j[hit]], where[hit])
+
+    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ends of each text's ids)."""
         known, split, special = self.known, self.pieces, self.special
         if len(known) > REMEMBER:
             known.clear()
-        docs = []
+            known.fresh, self.pool, self.starts = [], np.zeros(0, np.int32), np.zeros(1, np.int64)
+        of, docs = known.__getitem__, []
         for text in texts:
             if self.special_split is not None and any(t in text for t in special):
                 parts = []
                 for part in self.special_split.split(text):
-                    if part in special:
-                        known[part] = [special[part]]
-                        parts.append(part)
-                    else:
-                        parts += split(part)
+                    parts += [part] if part in special else split(part)
             else:
                 parts = split(text)
-            docs.append(parts)
-        new = list(set().union(*docs).difference(known)) if docs else []
-        for piece, ids in zip(new, self.merge([p.encode() for p in new])):
-            known[piece] = ids
-        out = []
-        for parts in docs:
-            ids: list[int] = []
-            for p in parts:
-                ids += known[p]
-            out.append(ids)
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+            docs.append(np.fromiter(map(of, parts), np.int64, len(parts)))
+        if known.fresh:
+            plain = [p for p in known.fresh if p not in special]
+            ids, sizes = self.merge([p.encode() for p in plain])
+            if len(plain) < len(known.fresh):  # special tokens take their places among the rest
+                parts, sizes = iter(np.split(ids, np.cumsum(sizes)[:-1])), []
+                ids = [np.array([special[p]], np.int32) if p in special else next(parts) for p in known.fresh]
+                sizes, ids = np.array([len(i) for i in ids]), np.concatenate(ids)
+            self.pool = np.concatenate([self.pool, ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            known.fresh = []
+        piece = np.concatenate(docs) if docs else np.zeros(0, np.int64)
+        size = self.starts[piece + 1] - self.starts[piece]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.repeat(self.starts[piece] - upto[:-1], size) + np.arange(upto[-1])]
+        return ids, upto[np.cumsum([len(d) for d in docs])] if docs else np.zeros(0, np.int64)
+
+    def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ids cut at ends."""
+        size = self.token_len[ids]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        raw = self.token_pool[np.repeat(self.token_at[ids] - upto[:-1], size) + np.arange(upto[-1])].tobytes()
+        cuts = [0, *upto[ends].tolist()]
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -177,10 +246,10 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str =
         for whole in batches:
             for at in range(0, whole.num_rows, OUT_ROWS):
                 batch = whole.slice(at, OUT_ROWS)
-                ids = bpe.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
+                ids, ends = bpe.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
                 if not keep_text:
                     batch = batch.drop_columns([text_col]) if text_col != ids_col else batch
-                yield _put(batch, ids_col, pa.array(ids, pa.list_(pa.int32())))
+                yield _put(batch, ids_col, pa.ListArray.from_arrays(pa.array([0, *ends.tolist()], pa.int32()), pa.array(ids, pa.int32())))
 
     schema = T.StructType([f for f in _schema(df, ids_col, T.ArrayType(T.IntegerType())).fields if keep_text or f.name != text_col or f.name == ids_col])
     return df.mapInArrow(run, schema)
@@ -194,7 +263,9 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str =
         for whole in batches:
             for at in range(0, whole.num_rows, OUT_ROWS):
                 batch = whole.slice(at, OUT_ROWS)
-                texts = [bpe.decode(i or []) for i in batch.column(ids_col).to_pylist()]
+                lists = batch.column(ids_col)
+                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                texts = bpe.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), ends)
                 yield _put(batch, text_col, pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, _schema(df, text_col, T.StringType()))
