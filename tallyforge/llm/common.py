@@ -34,6 +34,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hash_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """About `rows` rows, at most twice as many, chosen by a hash of the columns `by`: for fitting models only.
+
+    Rows are counted (from file footers where Spark can) and filtered where they lie; nothing is shuffled
+    but the sample.
+    """
+    every = max(1, df.count() // rows)
+    return df.where(F.pmod(F.xxhash64(*by), F.lit(every)) == 0).limit(2 * rows)
+
+
 def text_bytes(docs: DataFrame, col: str = "text") -> int:
     """Total UTF-8 bytes of a text column (one aggregate over all rows)."""
     return int(docs.agg(F.sum(F.octet_length(F.col(col)))).first()[0] or 0)

@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: The bounded training sample: documents of a language, characters of each, characters of a language and of all.
-TRAIN_DOCS, DOC_CHARS, LANG_CHARS, ALL_CHARS = 200, 1000, 40_000, 200_000
+from .common import hash_sample
+
+#: The bounded training sample: rows looked at, documents of a language, characters of each, characters of a language and of all.
+SAMPLE_ROWS, TRAIN_DOCS, DOC_CHARS, LANG_CHARS, ALL_CHARS = 20_000, 200, 1000, 40_000, 200_000
 #: Letters told apart at most; all other characters count as one break.
 LETTERS = 62
 SEGMENT = 256
@@ -32,11 +34,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame) -> dict[str, str]:
-    """Labelled text by language: of each language the TRAIN_DOCS documents with the smallest hash of their text.
+    """Labelled text by language: of each language TRAIN_DOCS documents among about SAMPLE_ROWS rows chosen by hash.
 
-    Spark limits each group before it shuffles; what comes to the driver is bounded by the parameters.
+    What is shuffled and what comes to the driver is bounded by the parameters.
     """
-    known = docs.where(F.col("lang").isNotNull() & (F.length("text") > 20) & ~held_out(F.col("doc_id")))
+    known = hash_sample(docs, SAMPLE_ROWS, *docs.columns).where(F.col("lang").isNotNull() & (F.length("text") > 20) & ~held_out(F.col("doc_id")))
     first = known.select("lang", F.substring("text", 1, DOC_CHARS).alias("text"), F.xxhash64("text").alias("h"))
     rows = first.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).where(F.col("r") <= TRAIN_DOCS).collect()
     by: dict[str, list] = {}

@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
 from .sqlkit import let, match_spans
 
 # The base patterns, their kinds in listed order and their least lengths.
@@ -45,8 +46,8 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(random boolean, s): strings of SAMPLE_DOCS documents (smallest hash of the text first) that base rules or word shape label, and made random strings."""
-    sample = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).orderBy(F.xxhash64("t"), "t").limit(SAMPLE_DOCS)
+    """(random boolean, s): strings of about SAMPLE_DOCS documents, chosen by hash, that base rules or word shape label, and made random strings."""
+    sample = hash_sample(docs, SAMPLE_DOCS, *docs.columns).select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     values = F.concat(
         F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), lambda v: F.char_length(v) >= ASSIGN_LEAST),
         F.regexp_extract_all("t", F.lit(ACCESS_LONG), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX_LONG), F.lit(0)),
