@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, pii, quality, secrets
+from . import ann, bpe, langid, packing, pii, quality, secrets
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secrets": op3_secrets,
         "op4_langid": op4_langid,
         "op5_pii": op5_pii,
+        "op6_neighbours": op6_neighbours,
         "op7_quality": op7_quality,
         "op10_packing": op10_packing,
     }
