@@ -183,13 +183,43 @@ class PairIndexBPE:
         hit = self.rank_keys[j] == key
         return self._file(index, self.rank_vals[j[hit]], where[hit])
 
+    def _make_room(self) -> None:
+        if len(self.known) > REMEMBER:
+            self.known.clear()
+            self.known.fresh, self.pool, self.starts = [], np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self) -> None:
+        """Merge the pieces that were asked for the first time."""
+        known, special = self.known, self.special
+        if not known.fresh:
+            return
+        plain = [p for p in known.fresh if p not in special]
+        ids, sizes = self.merge([p.encode() for p in plain])
+        if len(plain) < len(known.fresh):  # special tokens take their places among the rest
+            parts = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+            own = [np.array([special[p]], np.int32) if p in special else next(parts) for p in known.fresh]
+            sizes, ids = np.array([len(i) for i in own]), np.concatenate(own)
+        self.pool = np.concatenate([self.pool, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        known.fresh = []
+
+    def _gather(self, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces in a row, and where each piece's ids start (one more at the end)."""
+        size = self.starts[piece + 1] - self.starts[piece]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        return self.pool[np.repeat(self.starts[piece] - upto[:-1], size) + np.arange(upto[-1])], upto
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of pieces taken whole, where each piece's ids start)."""
+        self._make_room()
+        piece = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        self._learn()
+        return self._gather(piece)
+
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ends of each text's ids)."""
-        known, split, special = self.known, self.pieces, self.special
-        if len(known) > REMEMBER:
-            known.clear()
-            known.fresh, self.pool, self.starts = [], np.zeros(0, np.int32), np.zeros(1, np.int64)
-        of, docs = known.__getitem__, []
+        self._make_room()
+        split, special, of, docs = self.pieces, self.special, self.known.__getitem__, []
         for text in texts:
             if self.special_split is not None and any(t in text for t in special):
                 parts = []
@@ -198,20 +228,9 @@ class PairIndexBPE:
             else:
                 parts = split(text)
             docs.append(np.fromiter(map(of, parts), np.int64, len(parts)))
-        if known.fresh:
-            plain = [p for p in known.fresh if p not in special]
-            ids, sizes = self.merge([p.encode() for p in plain])
-            if len(plain) < len(known.fresh):  # special tokens take their places among the rest
-                parts, sizes = iter(np.split(ids, np.cumsum(sizes)[:-1])), []
-                ids = [np.array([special[p]], np.int32) if p in special else next(parts) for p in known.fresh]
-                sizes, ids = np.array([len(i) for i in ids]), np.concatenate(ids)
-            self.pool = np.concatenate([self.pool, ids])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            known.fresh = []
+        self._learn()
         piece = np.concatenate(docs) if docs else np.zeros(0, np.int64)
-        size = self.starts[piece + 1] - self.starts[piece]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        ids = self.pool[np.repeat(self.starts[piece] - upto[:-1], size) + np.arange(upto[-1])]
+        ids, upto = self._gather(piece)
         return ids, upto[np.cumsum([len(d) for d in docs])] if docs else np.zeros(0, np.int64)
 
     def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:

@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, langid, packing, pii, quality, secrets
+from . import ann, bpe, langid, lm, packing, pii, quality, secrets
 from .common import table
 
 
-def op1_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
-    if tokenizer is None:
-        import public_tokenizers
+def default_tokenizer() -> str:
+    """The byte-level vocabulary file that the machine offers; any other path can be given instead."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
 
-        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+def op1_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    tokenizer = tokenizer or default_tokenizer()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digest(bpe.decode(bpe.encode(docs, tokenizer), tokenizer))
 
@@ -39,6 +43,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -51,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_pii": op5_pii,
         "op6_neighbours": op6_neighbours,
         "op7_quality": op7_quality,
+        "op8_lm": op8_lm,
         "op10_packing": op10_packing,
     }
 
