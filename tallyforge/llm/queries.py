@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, langid, lm, packing, pii, quality, secrets
+from . import ann, bpe, langid, lm, packing, pii, quality, repeats, secrets
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> D
     return bpe.digest(bpe.decode(bpe.encode(docs, tokenizer), tokenizer))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_repeats": op2_repeats,
         "op3_secrets": op3_secrets,
         "op4_langid": op4_langid,
         "op5_pii": op5_pii,
