@@ -49,9 +49,9 @@ def text_bytes(docs: DataFrame, col: str = "text") -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(col)))).first()[0] or 0)
 
 
-def blocks_for(n_bytes: int, each: int = 16 << 20) -> int:
-    """A number of blocks so that each holds about `each` bytes of text."""
-    return max(1, -(-n_bytes // each))
+def blocks_for(n_bytes: int, each: int = 16 << 20, least: int = 24) -> int:
+    """A number of blocks so that each holds about `each` bytes of text; small inputs get `least` all the same."""
+    return max(least, -(-n_bytes // each))
 
 
 def batch_texts(batch: pa.RecordBatch, col: str = "text") -> list[bytes]:

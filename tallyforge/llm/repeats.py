@@ -103,6 +103,17 @@ class Anchors:
         ok = (col >= self.lo[at][:, None]) & (col < self.hi[at][:, None])
         return np.where(ok, self.raw[np.clip(col, 0, len(self.raw) - 1)], 0).astype(np.uint8)
 
+    @staticmethod
+    def of_rows(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(contexts(), anchor hashes) again from rows(): lo and hi are the ends of the surroundings in their rows."""
+        power, inverse = _powers(1 << 20)
+        cols = np.arange(ROW)
+        inside = (cols >= lo[:, None]) & (cols < hi[:, None])
+        part = np.where(inside, rows.astype(np.uint64) + np.uint64(1), np.uint64(0)) * power[:ROW]
+        whole = part.sum(1, dtype=np.uint64) * inverse[lo]
+        gram = part[:, SIDE : SIDE + GRAM].sum(1, dtype=np.uint64) * inverse[SIDE]
+        return mix64(mix64(whole) ^ ((SIDE - lo) * 256 + (hi - lo)).astype(np.uint64)), mix64(gram) & _MASK
+
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(anchor, start) of each LENGTH-byte string around the anchors."""
         count = np.maximum(self.hi[at] - self.lo[at] - LENGTH + 1, 0)
@@ -270,7 +281,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
 
     told = blocks.mapInArrow(announce, "bucket int, block int, ones binary, many binary, counts binary").groupBy("bucket").applyInArrow(share, ANSWER_SQL)
 
-    sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("kind", pa.int8()), ("keys", pa.binary()), ("anchors", pa.binary()), ("docs", pa.binary()), ("meta", pa.binary()), ("rows", pa.binary())])
+    sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("kind", pa.int8()), ("keys", pa.binary()), ("docs", pa.binary()), ("meta", pa.binary()), ("rows", pa.binary())])
 
     def send(left, right):
         if not right.num_rows:
@@ -300,8 +311,9 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
             np.logical_or.at(any_multi, np.searchsorted(keys, c), meta[:, 2] > 0)
             meta = meta[head]
             meta[:, 2] = multi | any_multi
-            for bucket, an, cc, dd, mm, rr in split_by_bucket(anchor[head], n_blocks, keys, first, meta, rows[head]):
-                out.append({"bucket": bucket, "block": block, "kind": CONTEXTS, "keys": cc.tobytes(), "anchors": an.tobytes(), "docs": dd.tobytes(), "meta": mm.tobytes(), "rows": rr.tobytes()})
+            # hashes are formed again from the rows where they arrive
+            for bucket, _, dd, mm, rr in split_by_bucket(anchor[head], n_blocks, first, meta, rows[head]):
+                out.append({"bucket": bucket, "block": block, "kind": CONTEXTS, "docs": dd.tobytes(), "meta": mm.tobytes(), "rows": pa.compress(rr.tobytes(), "zstd", asbytes=True)})
         if win:
             k, d, multi = (np.concatenate(x) for x in zip(*win))
             keys, _, first, more = _first(k, d)
@@ -317,14 +329,18 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
             part = [r for r in rows if r["kind"] == kind]
             if not part:
                 continue
-            keys, docs_ = u64(r["keys"] for r in part), np.frombuffer(b"".join(r["docs"] for r in part), np.int64)
+            docs_ = np.frombuffer(b"".join(r["docs"] for r in part), np.int64)
+            if kind == CONTEXTS:
+                meta = np.frombuffer(b"".join(r["meta"] for r in part), np.uint8).reshape(-1, 3)
+                raw = (pa.decompress(r["rows"], len(r["docs"]) // 8 * ROW, "zstd", asbytes=True) for r in part)
+                text = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, ROW)
+                keys, anchors = Anchors.of_rows(text, meta[:, 0].astype(np.int64), meta[:, 1].astype(np.int64))
+            else:
+                keys = u64(r["keys"] for r in part)
             distinct, head, first, _ = _first(keys, docs_)
             at = np.searchsorted(distinct, keys)
             masks = np.zeros(len(distinct), np.uint32)
             if kind == CONTEXTS:
-                meta = np.frombuffer(b"".join(r["meta"] for r in part), np.uint8).reshape(-1, 3)
-                anchors = u64(r["anchors"] for r in part)
-                text = np.frombuffer(b"".join(r["rows"] for r in part), np.uint8).reshape(-1, ROW)
                 _, group_of, size = np.unique(anchors[head], return_inverse=True, return_counts=True)
                 many = np.nonzero(size[group_of] > 1)[0]  # an anchor with one surrounding needs no sorting
                 m = meta[head[many]].astype(np.int64)
@@ -335,14 +351,14 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
             told = multi | (docs_ > first[at]) | (masks[at] != 0)
             lo = 0
             for r in part:
-                n = len(r["keys"]) // 8
+                n = len(r["docs"]) // 8
                 mine = at[lo : lo + n][told[lo : lo + n]]
                 lo += n
                 if len(mine):
                     out.append({"block": r["block"], "kind": kind, "keys": distinct[mine].tobytes(), "docs": first[mine].tobytes(), "masks": masks[mine].tobytes()})
         return pa.Table.from_pylist(out, ANSWER)
 
-    sends = blocks.groupBy("_block").cogroup(told.groupBy("block")).applyInArrow(send, "bucket int, block int, kind byte, keys binary, anchors binary, docs binary, meta binary, rows binary")
+    sends = blocks.groupBy("_block").cogroup(told.groupBy("block")).applyInArrow(send, "bucket int, block int, kind byte, keys binary, docs binary, meta binary, rows binary")
     answers = sends.groupBy("bucket").applyInArrow(judge, ANSWER_SQL).unionByName(told.where(F.col("kind") == HOTS))
     result = T.StructType([*docs.schema.fields, T.StructField("_kept", T.BinaryType()), T.StructField("_n_bytes", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())])
 
