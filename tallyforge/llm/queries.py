@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, langid, lm, packing, pii, quality, repeats, secrets
+from . import ann, bpe, jaccard, langid, lm, packing, pii, quality, repeats, secrets
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op8_lm(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> Da
     return lm.score(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_neighbours": op6_neighbours,
         "op7_quality": op7_quality,
         "op8_lm": op8_lm,
+        "op9_jaccard": op9_jaccard,
         "op10_packing": op10_packing,
     }
 
