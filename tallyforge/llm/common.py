@@ -83,3 +83,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet below the shared checkpoint folder, and read again."""
+    import uuid
+
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -123,7 +123,7 @@ def keys_of(h: np.ndarray, begin: np.ndarray, at: Threshold) -> tuple[np.ndarray
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(x ^ _B)[order])])
         edges = np.searchsorted(cell[order], np.arange(len(pick) * m + 1))
         sub, n = sums[edges[1:]] - sums[edges[:-1]], np.diff(edges)
-        key = mix64(mix64(sub + n.astype(np.uint64) * _A) + (np.tile(np.arange(m), len(pick)).astype(np.uint64) * _B) + np.uint64(c + 1) * _A)
+        key = mix64(mix64(sub + n.astype(np.uint64) * _A) + (np.tile(np.arange(m), len(pick)).astype(np.uint64) * _B) + np.uint64((c + 1) * int(_A) & 0xFFFFFFFFFFFFFFFF))
         # at least m - errors groups agree: sets with fewer empty groups than that need no key for them
         empty = n == 0
         spare = empty.reshape(-1, m).sum(1) < m - errors
