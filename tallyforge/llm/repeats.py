@@ -232,8 +232,8 @@ def _cut(texts: list[bytes], ids: np.ndarray, hot: np.ndarray, context: tuple, s
     return [gone[x:y] for x, y in zip(a.begin, a.begin[1:])]
 
 
-def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot: int = HOT, block_bytes: int = 16 << 20) -> DataFrame:
-    """docs with _kept (binary, the bytes that stay), _n_bytes, _n_removed and _n_spans."""
+def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot: int = HOT, block_bytes: int = 16 << 20, as_text: bool = False) -> DataFrame:
+    """docs with _kept (binary, the bytes that stay; as_text: a string without letters cut in two), _n_bytes, _n_removed and _n_spans."""
     n_blocks, limit = blocks_for(text_bytes(docs, text_col), block_bytes), hot
     columns = docs.columns
     blocks = docs.withColumn("_block", F.pmod(F.xxhash64(id_col, F.col(id_col).isNull()), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "_block")
@@ -360,7 +360,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
 
     sends = blocks.groupBy("_block").cogroup(told.groupBy("block")).applyInArrow(send, "bucket int, block int, kind byte, keys binary, docs binary, meta binary, rows binary")
     answers = sends.groupBy("bucket").applyInArrow(judge, ANSWER_SQL).unionByName(told.where(F.col("kind") == HOTS))
-    result = T.StructType([*docs.schema.fields, T.StructField("_kept", T.BinaryType()), T.StructField("_n_bytes", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())])
+    result = T.StructType([*docs.schema.fields, T.StructField("_kept", T.StringType() if as_text else T.BinaryType()), T.StructField("_n_bytes", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())])
 
     def cut(left, right):
         kinds, cells = right.column("kind").to_numpy(), right.to_pylist()
@@ -380,7 +380,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
                 removed.append(n)
                 spans.append(int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum()) if n else 0)
         out = left.select(columns)
-        for name, values, kind in (("_kept", kept, pa.binary()), ("_n_bytes", size, pa.int64()), ("_n_removed", removed, pa.int64()), ("_n_spans", spans, pa.int64())):
+        for name, values, kind in (("_kept", [b.decode("utf-8", "ignore") for b in kept] if as_text else kept, pa.string() if as_text else pa.binary()), ("_n_bytes", size, pa.int64()), ("_n_removed", removed, pa.int64()), ("_n_spans", spans, pa.int64())):
             out = out.append_column(name, pa.array(values, kind))
         return out
 
@@ -397,9 +397,8 @@ def dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
 
     A present n_chars follows the new text; null texts stay null.
     """
-    out = remove(docs, text_col, id_col)
-    clean = F.when(F.col("_n_removed") == 0, F.col(text_col)).otherwise(F.regexp_replace(F.decode(F.col("_kept"), F.lit("UTF-8")), "�", ""))
-    out = out.withColumn(text_col, clean)
+    out = remove(docs, text_col, id_col, as_text=True)
+    out = out.withColumn(text_col, F.when(F.col("_n_removed") == 0, F.col(text_col)).otherwise(F.col("_kept")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_n_removed") == 0, F.col("n_chars")).otherwise(F.char_length(text_col).cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
