@@ -1,15 +1,336 @@
-"""The registered queries of the reconciliation engine and their DuckDB twins."""
+"""The registered queries of the reconciliation engine and their DuckDB twins.
+
+The twins are written from the rules, not from the Spark plans: rates as CASE, evidence as NOT EXISTS.
+"""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..functions import dates, money, text
+from ..functions.rates import Providers, RateBook
+from ..operators import adapters, bank, dlq, fold, mart, reconcile, residual, validate
+from ..operators.ledger_store import LedgerStore
+from ..sources import mt940, wire
+from ..streaming import ingest
+from . import derived as D
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _book() -> RateBook:
+    return RateBook.load()
+
+
+def _folded(spark: SparkSession, sf: str) -> DataFrame:
+    return fold.fold(D.settlements(spark, sf))
+
+
+def _merged(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.settlement_merge(D.webhooks(spark, sf), _folded(spark, sf), _book())
+
+
+def _evidence(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    s = bank.with_tolerance(_folded(spark, sf), _book()).select("transaction_id", "settled_amount_paise", "settlement_date", "tolerance")
+    b = D.statements(spark, sf)
+    return s, b, bank.evidence(s, b, D.LAG_DAYS)
+
+
+def settlement_decision(spark, sf):
+    decided = reconcile.decide(reconcile.merge_source(_folded(spark, sf)), D.webhooks(spark, sf), _book())
+    return decided.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("settled_amount_paise").alias("settled_paise"))
+
+
+def settlement_fold(spark, sf):
+    return _folded(spark, sf)
+
+
+def partial_settlements(spark, sf):
+    return _folded(spark, sf).where("instalments > 1").select("transaction_id", "instalments", "settled_amount_paise")
+
+
+def redelivery_collapse(spark, sf):
+    return fold.collapse_redeliveries(fold.one_partitioning(D.settlements(spark, sf))).select("transaction_id", "settled_amount_paise", "settlement_date", "bank_ref_id", "settlement_id")
+
+
+def fee_net(spark, sf):
+    rows = _book().with_net(D.settlements(spark, sf), "gross_amount_paise", "instrument_type", "merchant_id", "settlement_date")
+    return rows.select("settlement_id", F.col("rate_fee").alias("fee"), F.col("rate_fee_gst").alias("gst"), F.col("rate_net").alias("net"))
+
+
+def rate_card_asof(spark, sf):
+    v = _book().card_version(F.col("settlement_date"))
+    return D.settlements(spark, sf).groupBy(v.alias("version"), "instrument_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fee_fallback_census(spark, sf):
+    return reconcile.fallback_census(_folded(spark, sf), _book())
+
+
+def settlement_merge(spark, sf):
+    return _merged(spark, sf).select("transaction_id", "amount_paise", "gateway_status", "timestamp_utc", "merchant_id", "reconciliation_status", "bank_ref_id", "instrument_type", "currency")
+
+
+def status_counts(spark, sf):
+    return reconcile.status_tile(_merged(spark, sf), _folded(spark, sf))
+
+
+def batch_counters(spark, sf):
+    return reconcile.batch_counters(D.settlements(spark, sf))
+
+
+def match_rate(spark, sf):
+    merged, folded = _merged(spark, sf), _folded(spark, sf)
+    swept = reconcile.late_sweep(merged, D.AS_OF, D.LATE_DAYS)
+    matched = swept.join(folded.select("transaction_id"), "transaction_id", "left_semi").agg(F.count_if(F.col("reconciliation_status") == S.MATCHED).alias("n")).select(F.lit("m").alias("what"), "n")
+    waiting = reconcile.missing_within_lag(swept, folded, Providers.load()).agg(F.count(F.lit(1)).alias("n")).select(F.lit("w").alias("what"), "n")
+    evaluated = folded.agg(F.count("settled_amount_paise").alias("n")).select(F.lit("e").alias("what"), "n")
+    parts = matched.unionByName(waiting).unionByName(evaluated)
+    get = lambda w: F.max(F.when(F.col("what") == w, F.col("n")))
+    base = F.greatest(get("e") - get("w"), F.lit(0))
+    return parts.agg(get("m").alias("matched"), get("e").alias("evaluated"), get("w").alias("within_lag"), F.when(base > 0, get("m").cast("double") / base).alias("rate"))
+
+
+def late_sweep(spark, sf):
+    return reconcile.late_sweep(_merged(spark, sf), D.AS_OF, D.LATE_DAYS).groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def missing_within_lag(spark, sf):
+    return reconcile.missing_within_lag(_merged(spark, sf), _folded(spark, sf), Providers.load())
+
+
+def depth_gauges(spark, sf):
+    return reconcile.depth_gauges(reconcile.late_sweep(_merged(spark, sf), D.AS_OF, D.LATE_DAYS), D.dead_letters(spark, sf))
+
+
+def provider_batches(spark, sf):
+    return reconcile.provider_batches(D.settlements(spark, sf))
+
+
+def mismatch_spread(spark, sf):
+    rows = reconcile.priced(reconcile.merge_source(_folded(spark, sf)), D.webhooks(spark, sf), _book(), "inner")
+    gap = F.abs(F.col("rate_net") - F.col("settled_amount_paise"))
+    return reconcile.mismatch_spread(rows.where(gap > F.col("rate_tol")).select(gap.alias("difference")))
+
+
+def bank_missing(spark, sf):
+    s, _, pairs = _evidence(spark, sf)
+    return bank.missing(s, pairs).select("transaction_id", "settled_amount_paise", "settlement_date")
+
+
+def bank_orphans(spark, sf):
+    _, b, pairs = _evidence(spark, sf)
+    return bank.orphans(b, pairs).select("statement_id", "amount_paise", "value_date", "link_tx")
+
+
+def bank_demote(spark, sf):
+    s, _, pairs = _evidence(spark, sf)
+    return bank.demote(_merged(spark, sf), bank.missing(s, pairs)).groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def bank_counters(spark, sf):
+    s, b, pairs = _evidence(spark, sf)
+    before = _merged(spark, sf)
+    return bank.leg_counters(before, bank.demote(before, bank.missing(s, pairs)), bank.orphans(b, pairs))
+
+
+def residual_score(spark, sf):
+    return residual.scored(_merged(spark, sf), _folded(spark, sf), _book()).select("transaction_id", F.round("score", 9).alias("score"))
+
+
+def residual_demote(spark, sf):
+    ledger = _merged(spark, sf)
+    return residual.demote(ledger, residual.scored(ledger, _folded(spark, sf), _book())).groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dlq_split(spark, sf):
+    kind = F.when(dlq.forward(), "forward").when(dlq.reversal(), "reversal").otherwise("rejected")
+    return D.arrivals(spark, sf).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def reversal_split(spark, sf):
+    return D.arrivals(spark, sf).where(dlq.reversal()).select("transaction_id", "amount_paise", dlq.ingest_status().alias("status"))
+
 
+def ingest_upsert(spark, sf):
+    after = ingest.upsert(D.webhooks(spark, sf), ingest.newest(D.arrivals(spark, sf)), D.NOW)
+    return after.select("transaction_id", "amount_paise", "gateway_status", "timestamp_utc", "processing_run_id", "reconciliation_status", "currency", "duplicate_mutation_count")
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def duplicate_mutation(spark, sf):
+    return ingest_upsert(spark, sf).groupBy("reconciliation_status").agg(F.sum("duplicate_mutation_count").alias("duplicates"))
+
+
+def dlq_content_hash(spark, sf):
+    return D.dead_letters(spark, sf).select("payload_hash", "transaction_id", "amount_paise")
+
+
+def dlq_replayable(spark, sf):
+    return dlq.replay_counts(D.webhooks(spark, sf), D.dead_letters(spark, sf))
+
+
+def dlq_replay(spark, sf):
+    after = dlq.replay(D.webhooks(spark, sf), D.dead_letters(spark, sf), D.NOW)
+    return after.groupBy("reconciliation_status", "processing_run_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def dlq_purge(spark, sf):
+    return dlq.purge(D.dead_letters(spark, sf)).select("payload_hash")
+
+
+def ingest_gauges(spark, sf):
+    g = ingest.gauges(D.arrivals(spark, sf), ingest.Settings(now=D.NOW))
+    keys = ["rows", "late", "unreadable_time", "pan", "reversals", "rejected"]
+    return spark.createDataFrame([tuple(g[k] for k in keys)], ", ".join(f"{k} long" for k in keys))
+
+
+def schema_ids(spark, sf):
+    return D.arrivals(spark, sf).where("decodable").select("schema_id").distinct()
+
+
+def _mart(name: str) -> Query:
+    return lambda spark, sf: getattr(mart, name)(_merged(spark, sf))
+
+
+def q_dlq_depth(spark, sf):
+    return mart.dlq_depth(D.dead_letters(spark, sf))
+
+
+def validation_violations(spark, sf):
+    rows = adapters.normalise(D.provider_file(spark, sf, "cashfree"))
+    return rows.select(F.explode(validate.violations()).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quarantine_split(spark, sf):
+    rows = D.settlements(spark, sf)
+    good, bad = validate.split(rows)
+    return good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("valid").alias("part"), "n").unionByName(bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantined").alias("part"), "n"))
+
+
+def calendar_mask(spark, sf):
+    made = F.concat(F.substring("settlement_date", 1, 8), F.lpad((F.length("settlement_id") * 7 % 40).cast("string"), 2, "0"))
+    rows = D.settlements(spark, sf).select("settlement_id", made.alias("day"))
+    return rows.where(dates.impossible_date(F.col("day")))
+
+
+def _normalise(provider: str) -> Query:
+    return lambda spark, sf: adapters.normalise(D.provider_file(spark, sf, provider))
+
+
+def instrument_alias(spark, sf):
+    raw = spark.createDataFrame([(m,) for m in [*text.ALIASES, *D.METHODS, "cash", "Net-Banking", "my upi app", "emi-card"]], "raw string")
+    n = spark.read.parquet(f"{sf}/orders.parquet").agg(F.count(F.lit(1)).alias("orders"))
+    return raw.join(F.broadcast(n)).select("raw", text.instrument(F.col("raw")).alias("instrument"), "orders")
+
+
+def inr_to_paise(spark, sf):
+    rows = D.provider_file(spark, sf, "cashfree")
+    return rows.select("order_id", money.minor_units(F.col("amount")).alias("paise"))
+
+
+def iso_date(spark, sf):
+    rows = D.provider_file(spark, sf, "cashfree")
+    return rows.select("order_id", dates.iso_text(F.col("settlement_date")).alias("day"))
+
+
+def provider_lag(spark, sf):
+    p = Providers.load()
+    return D.settlements(spark, sf).groupBy("provider", p.lag(F.col("provider")).alias("lag")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fault_bucket(spark, sf):
+    return D.base(spark, sf).groupBy(D.h("fault").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def pan_scan(spark, sf):
+    rows = D.base(spark, sf).select(F.col("transaction_id"), F.when(D.h("pan") < 5, F.concat(F.lit("card 4111 1111 1111 1111 of "), F.col("k").cast("string"))).otherwise(F.concat(F.lit("411111111111"), F.col("k").cast("string"))).alias("note"))
+    return validate.pan_counts(rows)
+
+
+def _frames(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of the arrivals as wire frames, some of them broken; an event without an id has no place in the format."""
+    fields = [f.name for f in S.EVENT.fields]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            rows = b.to_pylist()
+            made = [wire.encode_event({f: r[f] if r[f] is not None else ("" if i < 5 and f != "amount_paise" else None) for i, f in enumerate(fields)}) if r["decodable"] else b"{}" for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["value"])
+
+    return D.arrivals(spark, sf).where("transaction_id IS NOT NULL").mapInArrow(run, "value binary")
+
+
+def avro_decode(spark, sf):
+    return wire.decode(_frames(spark, sf)).select("decodable", "schema_id", "transaction_id", "amount_paise", "timestamp_utc", "currency")
+
+
+def mt940_roundtrip(spark, sf):
+    lines = mt940.lines(_folded(spark, sf))
+    files = lines.select(F.lit("made").alias("path"), F.col("line").alias("value"))
+    return mt940.parse(files).select("bank_ref", "amount_paise", "value_date", "direction", "link_tx")
+
+
+def stream_ingest(spark, sf):
+    """A whole stream run: frames from files, one pass over what is there, the ledger that it leaves."""
+    root = _shared(spark)
+    _frames(spark, sf).write.parquet(f"{root}/frames")
+    store = LedgerStore(spark, f"{root}/store")
+    q = ingest.start(wire.files(spark, f"{root}/frames"), store, f"{root}/checkpoint", ingest.Settings(now=D.NOW), {"availableNow": True})
+    q.awaitTermination()
+    return store.read("webhooks").groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def branch_publish(spark, sf):
+    """A batch written on a branch, seen on main only when published."""
+    store = LedgerStore(spark, f"{_shared(spark)}/store")
+    store.create("webhooks", S.LEDGER)
+    store.commit("webhooks", D.webhooks(spark, sf))
+    store.branch("webhooks", "ingest_2027-01-01")
+    store.commit("webhooks", _merged(spark, sf), "ingest_2027-01-01")
+    before = store.read("webhooks").where(F.col("reconciliation_status") == S.MATCHED).count()
+    store.publish("webhooks", "ingest_2027-01-01", validated=True)
+    after = store.read("webhooks").agg(F.count_if(F.col("reconciliation_status") == S.MATCHED).alias("matched_after"))
+    return after.select(F.lit(before).cast("long").alias("matched_before"), "matched_after")
+
+
+def events_windows(spark, sf):
+    """An extension: tumbling windows of the events table, as a stream would form them."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    w = e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return w.select(F.col("w.start").cast("date").alias("day"), "event_type", "n")
+
+
+def _shared(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below the checkpoint folder where the cluster names one."""
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyforge-")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+MART = ["kpi_match_rate", "kpi_volume_rupees", "kpi_at_risk_rupees", "match_rate", "daily_match_rate", "daily_trend", "volume_by_instrument", "mismatch_by_instrument", "exceptions_by_merchant", "top_mismatches"]
+
+
+def queries() -> dict[str, Query]:
+    plain = [
+        settlement_decision, settlement_fold, partial_settlements, redelivery_collapse, fee_net, rate_card_asof, fee_fallback_census, settlement_merge, status_counts, batch_counters,
+        match_rate, late_sweep, missing_within_lag, depth_gauges, provider_batches, mismatch_spread, bank_missing, bank_orphans, bank_demote, bank_counters, residual_score, residual_demote,
+        dlq_split, reversal_split, ingest_upsert, duplicate_mutation, dlq_content_hash, dlq_replayable, dlq_replay, dlq_purge, ingest_gauges, schema_ids, q_dlq_depth, validation_violations,
+        quarantine_split, calendar_mask, instrument_alias, inr_to_paise, iso_date, provider_lag, fault_bucket, pan_scan, avro_decode, mt940_roundtrip, stream_ingest, branch_publish, events_windows,
+    ]
+    out = {f.__name__: f for f in plain}
+    out |= {f"q_{n}": _mart(n) for n in MART} | {"mart": _mart("fact_reconciliation")}
+    return out | {f"normalize_{p}": _normalise(p) for p in ("razorpay", "cashfree", "payu", "generic")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .oracles import SQL
+
+    return dict(SQL)
