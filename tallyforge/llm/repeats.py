@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import blocks_for, mix64, split_by_bucket, text_bytes, u64
-from .suffixes import PERIOD, sample_ranks, sort_bucket
+from .suffixes import PERIOD, sample_ranks, sort_bucket, word_at
 
 LENGTH, GRAM = 50, 20
 SIDE = LENGTH - GRAM  # bytes of a surrounding before and after the anchor
@@ -39,7 +39,7 @@ ROW = LENGTH + SIDE
 #: Anchors of more documents than this (counted in blocks) are dealt by string.
 HOT = 512
 #: Bytes of text handled at once, and suffixes sorted at once (a larger single anchor is still sorted whole).
-CHUNK, SUFFIXES = 1 << 18, 1 << 18
+CHUNK, SUFFIXES = 1 << 16, 1 << 18
 KEY_BYTES = 6
 _MASK = np.uint64((1 << (8 * KEY_BYTES)) - 1)
 _C = 0x9E3779B97F4A7C15 | 1
@@ -190,8 +190,8 @@ def _sort_part(rows, lo, hi, docs, group) -> np.ndarray:
     order = sort_bucket(wide, ROW, r, s, group[r], ranks)
     r, s = r[order], s[order]
     same = np.ones(max(len(r) - 1, 0), bool)
-    for b in range(LENGTH):
-        v = wide[r, s + b]
+    for b in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+        v = word_at(wide, r, s + b)
         same &= v[1:] == v[:-1]
     same &= group[r][1:] == group[r][:-1]
     heads = np.nonzero(np.concatenate([[True], ~same]))[0] if len(r) else np.zeros(0, np.int64)

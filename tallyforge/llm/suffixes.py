@@ -27,22 +27,24 @@ COVER = difference_cover(PERIOD)
 _IN = np.isin(np.arange(PERIOD), COVER)
 #: For two residues, the least shift that brings both into the cover.
 SHIFT = np.array([[next(d for d in range(PERIOD) if _IN[(a + d) % PERIOD] and _IN[(b + d) % PERIOD]) for b in range(PERIOD)] for a in range(PERIOD)])
+SHIFTS = SHIFT.tolist()
+
+
+def word_at(rows: np.ndarray, r: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The eight bytes from offset s of rows r as one big-endian number."""
+    width = rows.shape[1]
+    every = np.ndarray((rows.size - 7,), dtype=">u8", buffer=rows, strides=(1,))
+    return every[r * width + s].astype(np.uint64)
 
 
 def _words(rows: np.ndarray, r: np.ndarray, s: np.ndarray, n: int) -> list[np.ndarray]:
     """n big-endian 8-byte words from offset s of rows r."""
-    out = []
-    for w in range(n):
-        v = np.zeros(len(r), np.uint64)
-        for b in range(8):
-            v = v << np.uint64(8) | rows[r, s + (8 * w + b)]
-        out.append(v)
-    return out
+    return [word_at(rows, r, s + 8 * w) for w in range(n)]
 
 
 def _dense(keys: list[np.ndarray]) -> np.ndarray:
     """Ranks of composite keys, most significant first; equal keys share a rank; ranks start at 1."""
-    order = np.lexsort(keys[::-1])
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
     step = np.zeros(len(order), bool)
     for k in keys:
         step[1:] |= k[order][1:] != k[order][:-1]
@@ -60,7 +62,7 @@ def sample_ranks(rows: np.ndarray, width: int) -> np.ndarray:
     table[r, s] = _dense(_words(rows, r, s, PERIOD // 8))
     h = PERIOD
     while h < width:
-        table[r, s] = _dense([table[r, s], table[r, s + h]])
+        table[r, s] = _dense([table[r, s] * (len(r) + 1) + table[r, s + h]])
         h *= 2
     return table
 
@@ -68,21 +70,26 @@ def sample_ranks(rows: np.ndarray, width: int) -> np.ndarray:
 def sort_bucket(rows: np.ndarray, width: int, r: np.ndarray, s: np.ndarray, group: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """The order of suffixes (row r, offset s) inside their groups. rows: zero bytes follow each row's width."""
     first = _words(rows, r, s, PERIOD // 8)
-    res = s % PERIOD
-    shift = SHIFT[res, res]
-    order = np.lexsort((ranks[r, s + shift], res, *first[::-1], group))
-    g, f, t = group[order], [w[order] for w in first], res[order]
+    order = np.lexsort((*first[::-1], group))
+    g, f, res = group[order], [w[order] for w in first], (s % PERIOD)[order]
     tie = (g[1:] == g[:-1]) & np.logical_and.reduce([w[1:] == w[:-1] for w in f])
-    mixed = tie & (t[1:] != t[:-1])
-    if mixed.any():  # ties of unlike residues: compare at the shift that suits the pair
-        starts = np.nonzero(np.concatenate([[True], ~tie]))[0]
-        ends = np.append(starts[1:], len(order))
-        for k in np.unique(np.searchsorted(starts, np.nonzero(mixed)[0] + 1, side="right") - 1):
-            part = order[starts[k] : ends[k]].tolist()
-
-            def compare(i: int, j: int) -> int:
-                d = SHIFT[res[i], res[j]]
-                return int(ranks[r[i], s[i] + d]) - int(ranks[r[j], s[j] + d])
-
-            order[starts[k] : ends[k]] = sorted(part, key=cmp_to_key(compare))
+    head = np.concatenate([[True], ~tie])
+    starts, run = np.nonzero(head)[0], np.cumsum(head) - 1
+    # suffixes that tie: one shift suits all of them when they have at most two residues
+    low, high = np.minimum.reduceat(res, starts), np.maximum.reduceat(res, starts)
+    many = np.add.reduceat(((res != low[run]) & (res != high[run])).astype(np.int64), starts) > 0
+    key = ranks[r[order], s[order] + SHIFT[low, high][run]]
+    order = order[np.argsort(run * (int(ranks.max()) + 1) + key, kind="stable")]
+    ends = np.append(starts[1:], len(order))
+    for k in np.nonzero(many)[0]:  # more residues: compare each pair at the shift that suits it
+        part = order[starts[k] : ends[k]].tolist()
+        rr, ss, table = r[part].tolist(), s[part].tolist(), {i: n for n, i in enumerate(part)}
+        rows_of = [ranks[x].tolist() for x in rr]
+
+        def compare(i: int, j: int) -> int:
+            a, b = table[i], table[j]
+            d = SHIFTS[ss[a] % PERIOD][ss[b] % PERIOD]
+            return rows_of[a][ss[a] + d] - rows_of[b][ss[b] + d]
+
+        order[starts[k] : ends[k]] = sorted(part, key=cmp_to_key(compare))
     return order
