@@ -25,6 +25,8 @@ FENCE = 6.0
 #: Groups with fewer judged documents use the thresholds of all documents.
 LEAST_ROWS = 100
 SKETCH_K = 800
+#: Groups (about 100 bytes each) that may be broadcast; with more, the thresholds are joined by shuffle.
+BROADCAST_GROUPS = 50_000
 GRAM = 5
 
 
@@ -97,14 +99,19 @@ def thresholds(feats: DataFrame) -> DataFrame:
 
 
 def _within() -> Column:
-    ok = F.lit(True)
+    """Whether nothing speaks against a document. One sum, so that no part of it is evaluated below the join again."""
+    against = F.col("_q.base_failed").cast("int")
     for f in FEATURES:
-        ok = ok & F.col(f"_q.{f}").between(F.col(f"_t.{f}_lo"), F.col(f"_t.{f}_hi"))
-    return ~F.col("_q.base_failed") & F.coalesce(ok, F.lit(True))
+        ok = F.col(f"_q.{f}").between(F.col(f"_t.{f}_lo"), F.col(f"_t.{f}_hi"))
+        against = against + F.coalesce((~ok).cast("int"), F.lit(0))
+    return against == 0
 
 
 def _judged(feats: DataFrame, limits: DataFrame) -> DataFrame:
-    """Thresholds joined to the documents; Spark broadcasts them only while they are small, else splits hot groups."""
+    """Thresholds joined to the documents: broadcast while the groups are few, else Spark joins them and splits hot groups."""
+    limits = checkpointed(limits)
+    if limits.count() <= BROADCAST_GROUPS:
+        limits = F.broadcast(limits)
     return feats.join(limits, feats["lang"].eqNullSafe(limits["_lang"]) & feats["source"].eqNullSafe(limits["_source"]), "left").withColumn("_kept", _within())
 
 
