@@ -7,7 +7,7 @@
 2. R-tree. For shared keys, blocks send count vectors: shingles hashed into GROUPS groups and counted. The
    sum of coordinate minima bounds an overlap from above. In a bucket, the vectors are packed into the
    leaves of an R-tree; leaves are joined by the minima of their upper corners, then points. What survives
-   gives families (components of possible links), and only a spanning forest of each key is passed on.
+   gives families (components of possible links), and only a star for each component of a key is passed on.
 3. Verification. The sets of each family meet in one task, or in tasks for pairs of its chunks where a
    family is large; pairs that the bounds leave are compared exactly, unless they are connected already.
 
@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from .common import blocks_for, checkpointed, mix64, split_by_bucket, text_bytes, u64
 from .components import components
-from .repeats import CHUNK, _chunks, _powers
+from .repeats import KEY_BYTES, _chunks, _pack, _powers, _unpack
 
 #: Coordinates of the count vectors, points of an R-tree leaf, ratio of size classes, documents of a family's chunk.
 GROUPS, LEAF, RATIO, FAMILY = 32, 64, 1.5, 4096
 #: Families' members up to this number (16 bytes each) may be broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
+KEY_MASK = np.uint64((1 << (8 * KEY_BYTES)) - 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -132,7 +133,7 @@ def keys_of(h: np.ndarray, begin: np.ndarray, at: Threshold) -> tuple[np.ndarray
         sets.append(np.repeat(pick, m)[use])
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(sets)
+    return np.concatenate(keys) & KEY_MASK, np.concatenate(sets)
 
 
 def vectors(h: np.ndarray, begin: np.ndarray, groups: int = GROUPS) -> np.ndarray:
@@ -212,11 +213,18 @@ def tree_join(points: np.ndarray, size: np.ndarray, at: Threshold, forest: Fores
                     forest.join(int(p[a]), int(x))
 
 
-def possible(points: np.ndarray, size: np.ndarray, at: Threshold) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs whose bound allows a link."""
+def possible(points: np.ndarray, size: np.ndarray, at: Threshold, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Components of the pairs whose bound allows a link, as stars around their least name.
+
+    Stars repeat from key to key where forests would not, so far fewer distinct edges are left.
+    """
     forest = Forest(len(points))
     tree_join(points, size, at, forest, lambda i, js: js)
-    return forest.edges
+    order = np.lexsort((names, forest.label))
+    label = forest.label[order]
+    head = np.concatenate([[True], label[1:] != label[:-1]])
+    lead = names[order][np.nonzero(head)[0]][np.cumsum(head) - 1]
+    return lead[~head], names[order][~head]
 
 
 def verified(sets: list[np.ndarray], at: Threshold, across: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -254,7 +262,7 @@ def verified(sets: list[np.ndarray], at: Threshold, across: np.ndarray | None =
     return forest.edges
 
 
-def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = 16 << 20, family: int = FAMILY) -> DataFrame:
+def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = 8 << 20, family: int = FAMILY) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs with an integer id."""
     at = Threshold(num, den)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -284,12 +292,12 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
         for block, (_, found) in by.items():
             keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
             for bucket, kk, nn in split_by_bucket(keys, n_blocks, n):
-                yield pa.RecordBatch.from_pylist([{"bucket": bucket, "block": block, "keys": kk.tobytes(), "many": np.packbits(nn > 1).tobytes()}], pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("many", pa.binary())]))
+                yield pa.RecordBatch.from_pylist([{"bucket": bucket, "block": block, "keys": _pack(kk), "many": np.packbits(nn > 1).tobytes()}], pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("many", pa.binary())]))
 
     def share(group):
         rows = group.to_pylist()
-        keys = u64(r["keys"] for r in rows)
-        cut = [len(r["keys"]) // 8 for r in rows]
+        keys = _unpack(r["keys"] for r in rows)
+        cut = [len(r["keys"]) // KEY_BYTES for r in rows]
         distinct, inv = np.unique(keys, return_inverse=True)
         n = np.bincount(inv, weights=1 + np.concatenate([np.unpackbits(np.frombuffer(r["many"], np.uint8))[:c] for r, c in zip(rows, cut)]))
         out, lo = [], 0
@@ -327,12 +335,12 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
         n = np.diff(np.append(heads, len(order)))
         a, b = order[heads[n == 2]], order[heads[n == 2] + 1]
         ok = _bound(points[a], points[b]) >= at.need(size[a], size[b])
-        us, vs = [docs_[a[ok]]], [docs_[b[ok]]]
+        us, vs = [np.minimum(docs_[a[ok]], docs_[b[ok]])], [np.maximum(docs_[a[ok]], docs_[b[ok]])]
         for head, c in zip(heads[n > 2], n[n > 2]):
             p = order[head : head + c]
-            edges = np.array(possible(points[p], size[p], at), np.int64).reshape(-1, 2)
-            us.append(docs_[p[edges[:, 0]]])
-            vs.append(docs_[p[edges[:, 1]]])
+            lead, rest = possible(points[p], size[p], at, docs_[p])
+            us.append(lead)
+            vs.append(rest)
         pairs = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
         return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
 
