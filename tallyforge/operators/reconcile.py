@@ -73,7 +73,7 @@ def settlement_merge(ledger: DataFrame, folded: DataFrame, book: RateBook) -> Da
 
 
 def batch_counters(settlements: DataFrame) -> DataFrame:
-    """One row: rows, distinct transactions, redeliveries left out, evaluated, repeated, split and undeclared currencies.
+    """One row: all rows, rows without redeliveries, transactions, evaluated ones, redelivered rows, split transactions, undeclared currencies.
 
     One pass by transaction, then one by nothing: partial sums, never all rows in one task.
     """
@@ -85,8 +85,8 @@ def batch_counters(settlements: DataFrame) -> DataFrame:
     both = total.join(once, "transaction_id")
     num = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return both.agg(
-        num(F.sum("n")).alias("total_rows"), F.count(F.lit(1)).alias("distinct_transactions"), F.count(F.lit(1)).alias("deduped_rows"),
-        F.count_if(F.col("settled").isNotNull()).alias("evaluated"), (num(F.sum("n")) - F.count(F.lit(1))).alias("duplicate_rows"),
+        num(F.sum("n")).alias("total_rows"), num(F.sum("parts")).alias("distinct_rows"), F.count(F.lit(1)).alias("deduped_rows"),
+        F.count_if(F.col("settled").isNotNull()).alias("evaluated"), num(F.sum("n") - F.sum("parts")).alias("duplicate_rows"),
         F.count_if(F.col("parts") > 1).alias("partial_transactions"), F.count_if(F.col("currency").isNull()).alias("currency_missing"),
     )
 

@@ -208,8 +208,8 @@ SQL = {
     "status_counts": _q("""SELECT 'table' AS scope, reconciliation_status AS status, count(*) AS n FROM merged GROUP BY 2
       UNION ALL SELECT 'batch', reconciliation_status, count(*) FROM merged WHERE transaction_id IN (SELECT transaction_id FROM folded) GROUP BY 2
       UNION ALL SELECT 'duplicates', 'EXCEPTION_DUPLICATE_WEBHOOK', CAST(coalesce(sum(duplicate_mutation_count), 0) AS BIGINT) FROM merged"""),
-    "batch_counters": _q("""SELECT (SELECT count(*) FROM settlements) AS total_rows, count(*) AS distinct_transactions, count(*) AS deduped_rows, count(settled_amount_paise) AS evaluated,
-      (SELECT count(*) FROM settlements) - count(*) AS duplicate_rows, count(*) FILTER (WHERE instalments > 1) AS partial_transactions, count(*) FILTER (WHERE currency IS NULL) AS currency_missing FROM folded"""),
+    "batch_counters": _q("""SELECT (SELECT count(*) FROM settlements) AS total_rows, (SELECT count(*) FROM once) AS distinct_rows, count(*) AS deduped_rows, count(settled_amount_paise) AS evaluated,
+      (SELECT count(*) FROM settlements) - (SELECT count(*) FROM once) AS duplicate_rows, count(*) FILTER (WHERE instalments > 1) AS partial_transactions, count(*) FILTER (WHERE currency IS NULL) AS currency_missing FROM folded"""),
     "match_rate": _q(f"""SELECT m AS matched, e AS evaluated, w AS within_lag, CASE WHEN e - w > 0 THEN CAST(m AS DOUBLE) / (e - w) END AS rate FROM (SELECT
       (SELECT count(*) FROM swept WHERE st = 'MATCHED' AND transaction_id IN (SELECT transaction_id FROM folded)) AS m, (SELECT count(settled_amount_paise) FROM folded) AS e,
       (SELECT count(*) FROM swept t JOIN folded s USING (transaction_id) WHERE t.st = 'EXCEPTION_MISSING_WEBHOOK' AND datediff('day', t.day, try_strptime(s.settlement_date, '%Y-%m-%d')::DATE) BETWEEN 0 AND CASE s.provider WHEN 'cashfree' THEN 1 WHEN 'payu' THEN 3 ELSE 2 END) AS w)"""),
