@@ -49,7 +49,7 @@ def parse(files: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The statements of all files at path. A file without lines, a line without a date or amount, or a card number refuses all."""
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
     empty = files.where(F.size(parse_text(F.col("value"))) == 0).select("path").limit(3).collect()
     if empty:
         raise StatementError(f"no statement lines in {[r['path'] for r in empty]}")
