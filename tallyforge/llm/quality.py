@@ -56,21 +56,25 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
     n_lines = let(lines, lambda x: F.struct(F.size(x).alias("all"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
     counts = let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
-    # one struct column keeps clashing names of extra columns apart
-    out = docs.withColumn("_q", F.struct(
+    raw = F.struct(
         counts.alias("w"), n_lines.alias("l"),
         F.char_length(F.translate(text, SPACE_CHARS, "")).cast("long").alias("word_chars"),
         (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-    ))
-    q, n = F.col("_q"), F.col("_q.w.n_words")
-    some = F.greatest(n, F.lit(1))
-    return out.withColumn("_q", F.struct(
-        n.alias("n_words"), q["word_chars"].alias("word_chars"), q["n_symbols"].alias("n_symbols"),
-        q["l"]["dup"].cast("long").alias("n_dup_lines"), q["w"]["n_repeat_words"].alias("n_repeat_words"),
-        ((n < 10) | (100 * q["w"]["n_repeat_words"] > 20 * n)).alias("base_failed"),
-        (q["word_chars"] / some).alias("mean_word"), (q["n_symbols"] / some).alias("symbol_rate"),
-        (q["l"]["dup"] / F.greatest(q["l"]["all"], F.lit(1))).alias("dup_line_rate"), (q["w"]["n_repeat_words"] / some).alias("repeat_rate"),
-    ))
+    )
+
+    def derived(q: Column) -> Column:
+        n = q["w"]["n_words"]
+        some = F.greatest(n, F.lit(1))
+        return F.struct(
+            n.alias("n_words"), q["word_chars"].alias("word_chars"), q["n_symbols"].alias("n_symbols"),
+            q["l"]["dup"].cast("long").alias("n_dup_lines"), q["w"]["n_repeat_words"].alias("n_repeat_words"),
+            ((n < 10) | (100 * q["w"]["n_repeat_words"] > 20 * n)).alias("base_failed"),
+            (q["word_chars"] / some).alias("mean_word"), (q["n_symbols"] / some).alias("symbol_rate"),
+            (q["l"]["dup"] / F.greatest(q["l"]["all"], F.lit(1))).alias("dup_line_rate"), (q["w"]["n_repeat_words"] / some).alias("repeat_rate"),
+        )
+
+    # one struct column keeps clashing names of extra columns apart; one expression is never inlined field by field
+    return docs.withColumn("_q", let(raw, derived))
 
 
 def _quartiles(sketch: Column) -> Column:
@@ -100,7 +104,7 @@ def thresholds(feats: DataFrame) -> DataFrame:
 
 def _within() -> Column:
     """Whether nothing speaks against a document. One sum, so that no part of it is evaluated below the join again."""
-    against = F.col("_q.base_failed").cast("int")
+    against = F.coalesce(F.col("_q.base_failed").cast("int"), F.lit(1))
     for f in FEATURES:
         ok = F.col(f"_q.{f}").between(F.col(f"_t.{f}_lo"), F.col(f"_t.{f}_hi"))
         against = against + F.coalesce((~ok).cast("int"), F.lit(0))
