@@ -146,6 +146,8 @@ def _unpack(cells) -> np.ndarray:
 
 def _first(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys, where each is first, its least document, whether it has more than one)."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64), docs, np.zeros(0, bool)
     order = np.lexsort((docs, keys))
     k, d = keys[order], docs[order]
     head = np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0] if len(k) else np.zeros(0, np.int64)
