@@ -50,8 +50,8 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) <= GRAM, F.lit(0)).otherwise(let(hashes, covered))
 
 
-def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with one struct column _q: the base counts and base_failed of each whole text."""
+def features(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """docs with a struct column _q, the base counts and base_failed of each whole text, and the group's columns _l and _src."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
     n_lines = let(lines, lambda x: F.struct(F.size(x).alias("all"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
@@ -74,7 +74,7 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         )
 
     # one struct column keeps clashing names of extra columns apart; one expression is never inlined field by field
-    return docs.withColumn("_q", let(raw, derived))
+    return docs.withColumns({"_q": let(raw, derived), "_l": F.col(lang_col), "_src": F.col(source_col)})
 
 
 def _quartiles(sketch: Column) -> Column:
@@ -87,10 +87,8 @@ def thresholds(feats: DataFrame) -> DataFrame:
     Sketches are built map-side per group and merged; the merge of all groups (one row of eight
     numbers) comes to the driver as the fallback of small groups.
     """
-    ok = feats.where(~F.col("_q.base_failed"))
-    sketches = ok.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(F.col(f"_q.{f}"), SKETCH_K).alias(f) for f in FEATURES)
-    )
+    ok = ~F.col("_q.base_failed")  # a condition inside the aggregates: a filter would evaluate the features once more
+    sketches = feats.groupBy("_l", "_src").agg(F.count_if(ok).alias("n"), *(F.kll_sketch_agg_double(F.when(ok, F.col(f"_q.{f}")), SKETCH_K).alias(f) for f in FEATURES))
     sketches = checkpointed(sketches)  # sketches draw random bits: they are made once
     every = sketches.agg(*(F.kll_merge_agg_double(f, SKETCH_K).alias(f) for f in FEATURES)).select(*(_quartiles(F.col(f)).alias(f) for f in FEATURES)).first()
     out = []
@@ -99,7 +97,7 @@ def thresholds(feats: DataFrame) -> DataFrame:
         q = F.when(F.col("n") >= LEAST_ROWS, _quartiles(F.col(f))).otherwise(fall)
         spread = F.greatest(F.get(q, F.lit(1)) - F.get(q, F.lit(0)), F.lit(least)) * FENCE
         out += [(F.get(q, F.lit(0)) - spread if side == "both" else F.lit(float("-inf"))).alias(f"{f}_lo"), (F.get(q, F.lit(1)) + spread).alias(f"{f}_hi")]
-    return sketches.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.struct(*out).alias("_t"))
+    return sketches.select(F.col("_l").alias("_lang"), F.col("_src").alias("_source"), F.struct(*out).alias("_t"))
 
 
 def _within() -> Column:
@@ -116,7 +114,7 @@ def _judged(feats: DataFrame, limits: DataFrame) -> DataFrame:
     limits = checkpointed(limits)
     if limits.count() <= BROADCAST_GROUPS:
         limits = F.broadcast(limits)
-    return feats.join(limits, feats["lang"].eqNullSafe(limits["_lang"]) & feats["source"].eqNullSafe(limits["_source"]), "left").withColumn("_kept", _within())
+    return feats.join(limits, feats["_l"].eqNullSafe(limits["_lang"]) & feats["_src"].eqNullSafe(limits["_source"]), "left").withColumn("_kept", _within())
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -129,4 +127,6 @@ def judge(docs: DataFrame) -> DataFrame:
 def filter_quality(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns only."""
     narrow = features(docs.select("lang", "source", "text")).drop("text")
-    return _judged(features(docs), thresholds(narrow)).where("_kept").select(*(docs[c] for c in docs.columns))
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # the caller's names come back at the end
+    wide = features(docs.toDF(*names), *(names[docs.columns.index(c)] for c in ("text", "lang", "source")))
+    return _judged(wide, thresholds(narrow)).where("_kept").select(*names).toDF(*docs.columns)
