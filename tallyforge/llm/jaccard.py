@@ -4,8 +4,8 @@
    than D groups, such a pair agrees in a whole group; so each document has a key for each group, and only
    documents that share a key can link. Blocks of texts send packed keys to buckets and learn which keys
    several sets share (a document is in the size class of the smaller set, or of both where classes meet).
-2. R-tree. For shared keys, blocks send count vectors: shingles hashed into GROUPS groups and counted. The
-   sum of coordinate minima bounds an overlap from above. In a bucket, the vectors are packed into the
+2. R-tree. For shared keys, blocks send count vectors: shingles hashed into groups and counted, about
+   PER_GROUP to a group, so that unlike sets of any size stay apart. The sum of coordinate minima bounds an overlap from above. In a bucket, the vectors are packed into the
    leaves of an R-tree; leaves are joined by the minima of their upper corners, then points. What survives
    gives families (components of possible links), and only a star for each component of a key is passed on.
 3. Verification. The sets of each family meet in one task, or in tasks for pairs of its chunks where a
@@ -29,8 +29,9 @@ from .common import blocks_for, checkpointed, mix64, split_by_bucket, text_bytes
 from .components import components
 from .repeats import KEY_BYTES, _chunks, _pack, _powers, _unpack
 
-#: Coordinates of the count vectors, points of an R-tree leaf, ratio of size classes, documents of a family's chunk.
-GROUPS, LEAF, RATIO, FAMILY = 32, 64, 1.5, 4096
+#: Shingles of a count vector's coordinate and the fewest and most coordinates, points of an R-tree leaf, ratio of size classes, documents of a family's chunk.
+PER_GROUP, GROUPS, LEAF, RATIO, FAMILY = 6, (16, 4096), 64, 1.5, 2048
+FULL = 255  # a count that may be larger
 #: Families' members up to this number (16 bytes each) may be broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 KEY_MASK = np.uint64((1 << (8 * KEY_BYTES)) - 1)
@@ -109,10 +110,10 @@ class Threshold:
         return out
 
 
-def keys_of(h: np.ndarray, begin: np.ndarray, at: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """(key, set) for every group key of every set."""
+def keys_of(h: np.ndarray, begin: np.ndarray, at: Threshold) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(class, coordinates of its count vectors, keys, their sets) for every group key of every set."""
     size = np.diff(begin)
-    keys, sets = [], []
+    out = []
     for c, (lo, hi, errors, m) in enumerate(at.classes(int(size.max()) if len(size) else 0)):
         pick = np.nonzero((size >= lo) & (size <= at.larger(hi)))[0]
         if not len(pick):
@@ -129,18 +130,20 @@ def keys_of(h: np.ndarray, begin: np.ndarray, at: Threshold) -> tuple[np.ndarray
         empty = n == 0
         spare = empty.reshape(-1, m).sum(1) < m - errors
         use = ~(empty & np.repeat(spare, m))
-        keys.append(key[use])
-        sets.append(np.repeat(pick, m)[use])
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys) & KEY_MASK, np.concatenate(sets)
+        out.append((c, coordinates(hi), key[use] & KEY_MASK, np.repeat(pick, m)[use]))
+    return out
+
 
+def coordinates(size: int) -> int:
+    """How many groups the count vectors of sets of a size have."""
+    return min(max(1 << max(size // PER_GROUP, 1).bit_length(), GROUPS[0]), GROUPS[1])
 
-def vectors(h: np.ndarray, begin: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """Count vectors of sets; a coordinate at the type's limit counts as unbounded."""
+
+def vectors(h: np.ndarray, begin: np.ndarray, groups: int) -> np.ndarray:
+    """Count vectors of sets; a coordinate of FULL counts as unbounded."""
     n = len(begin) - 1
     cell = np.repeat(np.arange(n), np.diff(begin)) * groups + ((h >> np.uint64(7)) % np.uint64(groups)).astype(np.int64)
-    return np.minimum(np.bincount(cell, minlength=n * groups), 65535).reshape(n, groups).astype(np.uint16)
+    return np.minimum(np.bincount(cell, minlength=n * groups), FULL).reshape(n, groups).astype(np.uint8)
 
 
 def leaves(points: np.ndarray) -> list[np.ndarray]:
@@ -160,8 +163,10 @@ def leaves(points: np.ndarray) -> list[np.ndarray]:
 
 def minima(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sums of coordinate minima of all rows of a with all rows of b; a saturated coordinate makes them unbounded."""
-    out = np.minimum(a[:, None, :], b[None, :, :]).sum(2, dtype=np.int64)
-    full_a, full_b = (a == 65535).any(1), (b == 65535).any(1)
+    out = np.empty((len(a), len(b)), np.int64)
+    for i in range(len(a)):
+        out[i] = np.minimum(a[i], b).sum(1, dtype=np.int32)
+    full_a, full_b = (a == FULL).any(1), (b == FULL).any(1)
     out[full_a[:, None] & full_b[None, :]] = np.iinfo(np.int64).max
     return out
 
@@ -258,7 +263,7 @@ def verified(sets: list[np.ndarray], at: Threshold, across: np.ndarray | None =
                 forest.join(int(i), int(j))
         return np.array(out, np.int64)
 
-    tree_join(vectors(flat, begin), size, at, forest, linked, across)
+    tree_join(vectors(flat, begin, coordinates(int(size.max()))), size, at, forest, linked, across)
     return forest.edges
 
 
@@ -287,8 +292,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
                 for _, texts, _ in _chunks(part, "text", "doc_id"):
                     h, begin = shingles(texts, k)
                     new = _new_sets(set_marks(h, begin), np.diff(begin), seen)
-                    keys, sets = keys_of(h, begin, at)
-                    found.append(keys[new[sets]])
+                    found += [keys[new[sets]] for _, _, keys, sets in keys_of(h, begin, at)]
         for block, (_, found) in by.items():
             keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
             for bucket, kk, nn in split_by_bucket(keys, n_blocks, n):
@@ -308,44 +312,52 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
                 out.append({"block": r["block"], "keys": distinct[mine[n[mine] > 1]].tobytes()})
         return pa.Table.from_pylist(out, pa.schema([("block", pa.int32()), ("keys", pa.binary())]))
 
-    sent = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()), ("points", pa.binary())])
+    sent = pa.schema([("bucket", pa.int32()), ("width", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()), ("points", pa.binary())])
 
     def send(left, right):
-        shared, seen, got = np.sort(u64(right.column("keys").to_pylist())), set(), []
+        shared, seen, got = np.sort(u64(right.column("keys").to_pylist())), set(), {}
         if len(shared):
             for _, texts, numbers in _chunks(left, "text", "doc_id"):
                 h, begin = shingles(texts, k)
                 new = _new_sets(set_marks(h, begin), np.diff(begin), seen)
-                keys, sets = keys_of(h, begin, at)
-                ok = new[sets] & (shared[np.minimum(np.searchsorted(shared, keys), len(shared) - 1)] == keys)
-                keys, sets = keys[ok], sets[ok]
-                got.append((keys, numbers[sets], np.diff(begin)[sets].astype(np.int32), vectors(h, begin)[sets]))
-        if not got:
-            return pa.Table.from_pylist([], sent)
-        keys, *rest = (np.concatenate(x) for x in zip(*got))
-        return pa.Table.from_pylist([{"bucket": b, "keys": kk.tobytes(), "docs": d.tobytes(), "sizes": s.tobytes(), "points": p.tobytes()} for b, kk, d, s, p in split_by_bucket(keys, n_blocks, *rest)], sent)
+                for c, width, keys, sets in keys_of(h, begin, at):
+                    ok = new[sets] & (shared[np.minimum(np.searchsorted(shared, keys), len(shared) - 1)] == keys)
+                    used, back = np.unique(sets[ok], return_inverse=True)
+                    if len(used):
+                        runs = [h[begin[x] : begin[x + 1]] for x in used]
+                        points = vectors(np.concatenate(runs), np.concatenate([[0], np.cumsum([len(x) for x in runs])]), width)
+                        got.setdefault((c, width), []).append((keys[ok], numbers[sets[ok]], np.diff(begin)[sets[ok]].astype(np.int32), points[back]))
+        out = []
+        for (_, width), parts in got.items():
+            keys, docs_, sizes, points = (np.concatenate(x) for x in zip(*parts))
+            out += [{"bucket": b, "width": width, "keys": kk.tobytes(), "docs": d.tobytes(), "sizes": s.tobytes(), "points": p.tobytes()} for b, kk, d, s, p in split_by_bucket(keys, n_blocks, docs_, sizes, points)]
+        return pa.Table.from_pylist(out, sent)
 
     def judge(group):
-        rows = group.to_pylist()
-        keys, docs_ = u64(r["keys"] for r in rows), np.frombuffer(b"".join(r["docs"] for r in rows), np.int64)
-        size = np.frombuffer(b"".join(r["sizes"] for r in rows), np.int32).astype(np.int64)
-        points = np.frombuffer(b"".join(r["points"] for r in rows), np.uint16).reshape(-1, GROUPS)
-        order = np.argsort(keys, kind="stable")
-        heads = np.nonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))[0]
-        n = np.diff(np.append(heads, len(order)))
-        a, b = order[heads[n == 2]], order[heads[n == 2] + 1]
-        ok = _bound(points[a], points[b]) >= at.need(size[a], size[b])
-        us, vs = [np.minimum(docs_[a[ok]], docs_[b[ok]])], [np.maximum(docs_[a[ok]], docs_[b[ok]])]
-        for head, c in zip(heads[n > 2], n[n > 2]):
-            p = order[head : head + c]
-            lead, rest = possible(points[p], size[p], at, docs_[p])
-            us.append(lead)
-            vs.append(rest)
+        us, vs, by = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], {}
+        for r in group.to_pylist():
+            by.setdefault(r["width"], []).append(r)
+        for width, rows in by.items():
+            keys, docs_ = u64(r["keys"] for r in rows), np.frombuffer(b"".join(r["docs"] for r in rows), np.int64)
+            size = np.frombuffer(b"".join(r["sizes"] for r in rows), np.int32).astype(np.int64)
+            points = np.frombuffer(b"".join(r["points"] for r in rows), np.uint8).reshape(-1, width)
+            order = np.argsort(keys, kind="stable")
+            heads = np.nonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))[0]
+            n = np.diff(np.append(heads, len(order)))
+            a, b = order[heads[n == 2]], order[heads[n == 2] + 1]
+            ok = _bound(points[a], points[b]) >= at.need(size[a], size[b])
+            us.append(np.minimum(docs_[a[ok]], docs_[b[ok]]))
+            vs.append(np.maximum(docs_[a[ok]], docs_[b[ok]]))
+            for head, c in zip(heads[n > 2], n[n > 2]):
+                p = order[head : head + c]
+                lead, rest = possible(points[p], size[p], at, docs_[p])
+                us.append(lead)
+                vs.append(rest)
         pairs = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
         return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
 
     shared = blocks.mapInArrow(announce, "bucket int, block int, keys binary, many binary").groupBy("bucket").applyInArrow(share, "block int, keys binary")
-    points = blocks.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(send, "bucket int, keys binary, docs binary, sizes binary, points binary")
+    points = blocks.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(send, "bucket int, width int, keys binary, docs binary, sizes binary, points binary")
     families = components(points.groupBy("bucket").applyInArrow(judge, "u long, v long"))
     # large families are cut into chunks, and each pair of chunks meets in a task of its own
     sizes = families.groupBy(F.col("root").alias("_root")).count()
@@ -415,8 +427,8 @@ def _new_sets(marks: np.ndarray, size: np.ndarray, seen: set) -> np.ndarray:
 
 
 def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.minimum(a, b).sum(1, dtype=np.int64)
-    out[(a == 65535).any(1) & (b == 65535).any(1)] = np.iinfo(np.int64).max
+    out = np.minimum(a, b).sum(1, dtype=np.int64) if len(a) else np.zeros(0, np.int64)
+    out[(a == FULL).any(1) & (b == FULL).any(1)] = np.iinfo(np.int64).max
     return out
 
 
