@@ -40,6 +40,7 @@ ROW = LENGTH + SIDE
 HOT = 512
 #: Bytes of text handled at once, and suffixes sorted at once (a larger single anchor is still sorted whole).
 CHUNK, SUFFIXES = 1 << 16, 1 << 18
+ROWS_AT_ONCE = 1 << 13
 KEY_BYTES = 6
 _MASK = np.uint64((1 << (8 * KEY_BYTES)) - 1)
 _C = 0x9E3779B97F4A7C15 | 1
@@ -106,6 +107,9 @@ class Anchors:
     @staticmethod
     def of_rows(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(contexts(), anchor hashes) again from rows(): lo and hi are the ends of the surroundings in their rows."""
+        if len(rows) > ROWS_AT_ONCE:
+            parts = [Anchors.of_rows(rows[i : i + ROWS_AT_ONCE], lo[i : i + ROWS_AT_ONCE], hi[i : i + ROWS_AT_ONCE]) for i in range(0, len(rows), ROWS_AT_ONCE)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         power, inverse = _powers(1 << 20)
         cols = np.arange(ROW)
         inside = (cols >= lo[:, None]) & (cols < hi[:, None])

@@ -28,6 +28,8 @@ _IN = np.isin(np.arange(PERIOD), COVER)
 #: For two residues, the least shift that brings both into the cover.
 SHIFT = np.array([[next(d for d in range(PERIOD) if _IN[(a + d) % PERIOD] and _IN[(b + d) % PERIOD]) for b in range(PERIOD)] for a in range(PERIOD)])
 SHIFTS = SHIFT.tolist()
+#: For a residue, the shifts that bring it into the cover, as bits.
+REACHES = np.array([sum(1 << d for d in range(PERIOD) if _IN[(a + d) % PERIOD]) for a in range(PERIOD)], np.int64)
 
 
 def word_at(rows: np.ndarray, r: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -75,21 +77,21 @@ def sort_bucket(rows: np.ndarray, width: int, r: np.ndarray, s: np.ndarray, grou
     tie = (g[1:] == g[:-1]) & np.logical_and.reduce([w[1:] == w[:-1] for w in f])
     head = np.concatenate([[True], ~tie])
     starts, run = np.nonzero(head)[0], np.cumsum(head) - 1
-    # suffixes that tie: one shift suits all of them when they have at most two residues
-    low, high = np.minimum.reduceat(res, starts), np.maximum.reduceat(res, starts)
-    many = np.add.reduceat(((res != low[run]) & (res != high[run])).astype(np.int64), starts) > 0
-    key = ranks[r[order], s[order] + SHIFT[low, high][run]]
+    # suffixes that tie: mostly one shift brings all of their residues into the cover
+    shifts = np.bitwise_and.reduceat(REACHES[res], starts)
+    least = np.zeros(len(starts), np.int64)
+    for d in range(PERIOD - 1, -1, -1):
+        least[(shifts >> d) & 1 == 1] = d
+    key = ranks[r[order], s[order] + least[run]]
     order = order[np.argsort(run * (int(ranks.max()) + 1) + key, kind="stable")]
     ends = np.append(starts[1:], len(order))
-    for k in np.nonzero(many)[0]:  # more residues: compare each pair at the shift that suits it
-        part = order[starts[k] : ends[k]].tolist()
-        rr, ss, table = r[part].tolist(), s[part].tolist(), {i: n for n, i in enumerate(part)}
-        rows_of = [ranks[x].tolist() for x in rr]
+    if (shifts == 0).any():  # no common shift: compare each pair at the shift that suits it
+        row, at, mod, rank = r.tolist(), s.tolist(), (s % PERIOD).tolist(), memoryview(ranks)
 
         def compare(i: int, j: int) -> int:
-            a, b = table[i], table[j]
-            d = SHIFTS[ss[a] % PERIOD][ss[b] % PERIOD]
-            return rows_of[a][ss[a] + d] - rows_of[b][ss[b] + d]
+            d = SHIFTS[mod[i]][mod[j]]
+            return rank[row[i], at[i] + d] - rank[row[j], at[j] + d]
 
-        order[starts[k] : ends[k]] = sorted(part, key=cmp_to_key(compare))
+        for k in np.nonzero(shifts == 0)[0]:
+            order[starts[k] : ends[k]] = sorted(order[starts[k] : ends[k]].tolist(), key=cmp_to_key(compare))
     return order
