@@ -108,7 +108,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     total = first.count()
     sample = hash_sample(first, SAMPLE, "id").select("v").collect()
     curves = spark.sparkContext.broadcast(Curves(np.array([r["v"] for r in sample] or [first.first()["v"]], np.float64), orderings))
-    block = block or max(LEAST_BLOCK, math.ceil(BLOCK_ROOT * math.sqrt(total)))
+    block = max(2 * k + 2, block or max(LEAST_BLOCK, math.ceil(BLOCK_ROOT * math.sqrt(total))))
     parts = max(1, min(4096, -(-total // (4 * block))))
 
     def keyed(batches):
@@ -118,11 +118,27 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i, np.int32)), pa.array(curves.value.keys(x, i)), b.column("id"), b.column("cand"), b.column("ask")], names=["o", "key", "id", "cand", "ask"])
 
     keys = kept.mapInArrow(keyed, "o int, key long, id long, cand boolean, ask boolean")
-    # each ordering in range partitions; positions = rows before the partition + row in the partition
-    ranged = checkpointed(keys.repartitionByRange(parts * orderings, "o", "key", "id").sortWithinPartitions("o", "key", "id").withColumn("p", F.spark_partition_id()).withColumn("m", F.monotonically_increasing_id()))
-    sizes = ranged.groupBy("o", "p").agg(F.count(F.lit(1)).alias("c"), F.min("m").alias("m0")).withColumnsRenamed({"o": "_o", "p": "_p"})
-    starts = sizes.select("_o", "_p", "m0", (F.sum("c").over(W.partitionBy("_o").orderBy("_p")) - F.col("c")).alias("start"))
-    placed = ranged.join(starts, (F.col("o") == F.col("_o")) & (F.col("p") == F.col("_p"))).select("o", "id", "cand", "ask", F.floor((F.col("start") + F.col("m") - F.col("m0")) / block).cast("long").alias("b"))
+    # each ordering in range partitions; a row's place is the number of candidates before it, so that queries
+    # with one key, however many, stay beside the candidates of that key
+    def place(batches):
+        from pyspark import TaskContext
+
+        part, before = TaskContext.get().partitionId(), {}
+        for b in batches:
+            o, cand = b.column("o").to_numpy(), b.column("cand").to_numpy(zero_copy_only=False)
+            at = np.zeros(len(o), np.int64)
+            for i in np.unique(o):
+                own = o == i
+                run = np.cumsum(cand[own])
+                at[own] = run - cand[own] + before.get(i, 0)
+                before[i] = before.get(i, 0) + int(run[-1])
+            yield pa.RecordBatch.from_arrays([b.column("o"), pa.array(np.full(len(o), part, np.int32)), pa.array(at), b.column("id"), b.column("cand"), b.column("ask")], names=["o", "p", "m", "id", "cand", "ask"])
+
+    ordered = keys.repartitionByRange(parts * orderings, "o", "key", "id").sortWithinPartitions("o", "key", F.desc("cand"), "id")
+    ranged = checkpointed(ordered.mapInArrow(place, "o int, p int, m long, id long, cand boolean, ask boolean"))
+    sizes = ranged.groupBy(F.col("o").alias("_o"), F.col("p").alias("_p")).agg(F.count_if(F.col("cand")).alias("c"))
+    starts = sizes.select("_o", "_p", (F.sum("c").over(W.partitionBy("_o").orderBy("_p")) - F.col("c")).alias("start"))
+    placed = ranged.join(starts, (F.col("o") == F.col("_o")) & (F.col("p") == F.col("_p"))).select("o", "id", "cand", "ask", F.floor((F.col("start") + F.col("m")) / block).cast("long").alias("b"))
     # a query stays in its block; a candidate also goes to both neighbouring blocks
     spread = placed.select("o", "id", "cand", "ask", "b", F.explode(F.when(F.col("cand"), F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).otherwise(F.array(F.col("b")))).alias("at"))
     spread = spread.select("o", "at", "id", "cand", (F.col("ask") & (F.col("b") == F.col("at"))).alias("ask")).join(kept.select("id", "v"), "id")
