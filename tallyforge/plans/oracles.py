@@ -248,6 +248,11 @@ SQL = {
     "iso_date": _q("SELECT CAST(k AS VARCHAR) AS order_id, day FROM canon"),
     "provider_lag": _q("SELECT provider, CAST(CASE provider WHEN 'cashfree' THEN 1 WHEN 'payu' THEN 3 ELSE 2 END AS INTEGER) AS lag, count(*) AS n FROM settlements GROUP BY 1, 2"),
     "fault_bucket": _q(f"SELECT CAST({_h('fault')} AS INTEGER) AS bucket, count(*) AS n FROM base GROUP BY 1"),
+    "ledger_seed": _q(f"""SELECT reconciliation_status, count(*) AS n, CAST(sum(amount_paise) AS BIGINT) AS paise FROM (
+      SELECT reconciliation_status, amount_paise FROM webhooks WHERE transaction_id NOT IN (SELECT transaction_id FROM base WHERE {_h("seed")} < 20)
+      UNION ALL SELECT 'PENDING_RECONCILIATION', gross FROM base WHERE {_h("seed")} < 20) GROUP BY 1"""),
+    "benchmark_slice": _q("SELECT DISTINCT s.transaction_id, s.settlement_date FROM settlements s JOIN (SELECT transaction_id FROM webhooks ORDER BY 1 LIMIT 500) USING (transaction_id)"),
+    "json_decode": "SELECT event_type, count(*) AS n, CAST(sum(CAST(regexp_extract(props, ':\\s*(-?\\d+)', 1) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1",
     "events_windows": "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "avro_decode": _q("SELECT decodable, CASE WHEN decodable THEN '1' END AS schema_id, CASE WHEN decodable THEN transaction_id END AS transaction_id, CASE WHEN decodable THEN CAST(amount_paise AS BIGINT) END AS amount_paise, CASE WHEN decodable THEN timestamp_utc END AS timestamp_utc, CASE WHEN decodable THEN currency END AS currency FROM arrivals WHERE transaction_id IS NOT NULL"),
     "pan_scan": _q(f"""SELECT unnest(['transaction_id', 'note']) AS "column", unnest([CAST(0 AS BIGINT), (SELECT count(*) FROM (SELECT {_h("pan")} < 5 AS plain, '411111111111' || CAST(k AS VARCHAR) AS d FROM base)

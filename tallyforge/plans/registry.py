@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import dates, money, text
 from ..functions.rates import Providers, RateBook
-from ..operators import adapters, bank, dlq, fold, mart, reconcile, residual, validate
+from ..operators import adapters, bank, dlq, fold, mart, reconcile, residual, seed, validate
 from ..operators.ledger_store import LedgerStore
 from ..sources import mt940, wire
 from ..streaming import ingest
@@ -300,6 +300,24 @@ def branch_publish(spark, sf):
     return after.select(F.lit(before).cast("long").alias("matched_before"), "matched_after")
 
 
+def ledger_seed(spark, sf):
+    """Every fifth order staged anew."""
+    staged = D.base(spark, sf).where(D.h("seed") < 20).select("transaction_id", F.col("gross").alias("amount_paise"), F.date_format("od", "yyyy-MM-dd").alias("day"), "merchant_id")
+    after = seed.seed(D.webhooks(spark, sf), staged, allow=True)
+    return after.groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_paise").alias("paise"))
+
+
+def benchmark_slice(spark, sf):
+    """A merge input of the first 500 transactions, as a benchmark takes it."""
+    return seed.slice_of(D.webhooks(spark, sf), D.settlements(spark, sf).select("transaction_id", "settlement_date"), 500)
+
+
+def json_decode(spark, sf):
+    """JSON event properties decoded and summed."""
+    e = spark.read.parquet(f"{sf}/events.parquet").select("event_type", F.from_json("props", "k long").alias("p"))
+    return e.groupBy("event_type").agg(F.count("p.k").alias("n"), F.sum("p.k").alias("total"))
+
+
 def events_windows(spark, sf):
     """An extension: tumbling windows of the events table, as a stream would form them."""
     e = spark.read.parquet(f"{sf}/events.parquet")
@@ -323,7 +341,7 @@ def queries() -> dict[str, Query]:
         settlement_decision, settlement_fold, partial_settlements, redelivery_collapse, fee_net, rate_card_asof, fee_fallback_census, settlement_merge, status_counts, batch_counters,
         match_rate, late_sweep, missing_within_lag, depth_gauges, provider_batches, mismatch_spread, bank_missing, bank_orphans, bank_demote, bank_counters, residual_score, residual_demote,
         dlq_split, reversal_split, ingest_upsert, duplicate_mutation, dlq_content_hash, dlq_replayable, dlq_replay, dlq_purge, ingest_gauges, schema_ids, q_dlq_depth, validation_violations,
-        quarantine_split, calendar_mask, instrument_alias, inr_to_paise, iso_date, provider_lag, fault_bucket, pan_scan, avro_decode, mt940_roundtrip, stream_ingest, branch_publish, events_windows,
+        quarantine_split, calendar_mask, instrument_alias, inr_to_paise, iso_date, provider_lag, fault_bucket, pan_scan, avro_decode, mt940_roundtrip, stream_ingest, branch_publish, ledger_seed, benchmark_slice, json_decode, events_windows,
     ]
     out = {f.__name__: f for f in plain}
     out |= {f"q_{n}": _mart(n) for n in MART} | {"mart": _mart("fact_reconciliation")}
