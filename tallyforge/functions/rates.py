@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..schemas import INSTRUMENTS
 from .dates import iso
 from .money import bps_amount, bps_amount_scalar, gst_pct_to_bps
+from .tables import local_table
 
 DEFAULT_FILE = Path(__file__).parent.parent / "config" / "fee_rates.yaml"
 #: Names under which a file may keep its card history.
@@ -182,12 +183,12 @@ class RateBook:
         found = [F.element_at(r, F.col(card) + 1) for r in rates]
         by_inst = [(i, n, *row(r)) for i, c in enumerate(self.cards) for n, r in c.instruments.items()]
         if by_inst:
-            t = spark.createDataFrame(by_inst, f"{at('c')} int, {at('i')} string, {at('i_mdr')} int, {at('i_gst')} int, {at('i_tol')} int")
+            t = local_table(spark, by_inst, f"{at('c')} int, {at('i')} string, {at('i_mdr')} int, {at('i_gst')} int, {at('i_tol')} int")
             out = out.join(t, (F.col(card) == F.col(at("c"))) & (F.col(instrument) == F.col(at("i"))), "left")
             found = [F.coalesce(F.col(at(f"i_{n}")), f) for n, f in zip(names, found)]
         by_merch = [(i, m, n, *row(r)) for i, c in enumerate(self.cards) for (m, n), r in c.merchants.items()] if merchant else []
         if by_merch:
-            t = spark.createDataFrame(by_merch, f"{at('mc')} int, {at('mm')} string, {at('mi')} string, {at('m_mdr')} int, {at('m_gst')} int, {at('m_tol')} int")
+            t = local_table(spark, by_merch, f"{at('mc')} int, {at('mm')} string, {at('mi')} string, {at('m_mdr')} int, {at('m_gst')} int, {at('m_tol')} int")
             out = out.join(t, (F.col(card) == F.col(at("mc"))) & (F.col(merchant) == F.col(at("mm"))) & (F.col(instrument) == F.col(at("mi"))), "left")
             found = [F.coalesce(F.col(at(f"m_{n}")), f) for n, f in zip(names, found)]
         return out.select(*(F.col(c) for c in df.columns), *(f.alias(f"{prefix}{n}") for n, f in zip(names, found)))

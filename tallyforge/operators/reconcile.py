@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import event_time, iso
 from ..functions.rates import REASONS, Providers, RateBook
+from ..functions.tables import local_table
 from .merge import Arm, merge
 
 
@@ -95,7 +96,7 @@ def fallback_census(folded: DataFrame, book: RateBook) -> DataFrame:
     """(reason, n): rows priced by a fallback, every reason present."""
     reason = book.fallback_reason(F.col("merchant_id"), F.col("instrument_type"), F.col("settlement_date"))
     counts = folded.where(F.col("settled_amount_paise").isNotNull()).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-    every = folded.sparkSession.createDataFrame([(r,) for r in REASONS], "reason string")
+    every = local_table(folded.sparkSession, [(r,) for r in REASONS], "reason string")
     return every.join(counts, "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
 
 
