@@ -20,7 +20,7 @@ from .sqlkit import SPACE_CHARS, let, words
 #: Fixed value: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 #: Features with (least spread, sides): a value is rejected beyond FENCE spreads from the quartiles.
-FEATURES = {"mean_word": (0.5, "both"), "symbol_rate": (0.02, "high"), "dup_line_rate": (0.05, "high"), "repeat_rate": (0.03, "high")}
+FEATURES = {"mean_word": (1.5, "both"), "symbol_rate": (0.05, "high"), "dup_line_rate": (0.1, "high"), "repeat_rate": (0.05, "high")}
 FENCE = 6.0
 #: Groups with fewer judged documents use the thresholds of all documents.
 LEAST_ROWS = 100
