@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: Pieces that a Python worker remembers between batches; beyond it the memory starts afresh.
 REMEMBER = 800_000
 #: Rows encoded at once.
@@ -271,7 +273,7 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str =
                 yield _put(batch, ids_col, pa.ListArray.from_arrays(pa.array([0, *ends.tolist()], pa.int32()), pa.array(ids, pa.int32())))
 
     schema = T.StructType([f for f in _schema(df, ids_col, T.ArrayType(T.IntegerType())).fields if keep_text or f.name != text_col or f.name == ids_col])
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -287,7 +289,7 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str =
                 texts = bpe.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), ends)
                 yield _put(batch, text_col, pa.array(texts, pa.string()))
 
-    return df.mapInArrow(run, _schema(df, text_col, T.StringType()))
+    return small_batches(df).mapInArrow(run, _schema(df, text_col, T.StringType()))
 
 
 def digest(encoded: DataFrame) -> DataFrame:

@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 ARROW_ROWS = "1000"
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df; whole texts go to Python in batches of ARROW_ROWS rows from now on."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder, read by Spark alone (any file system)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, checkpointed, mix64, split_by_bucket, text_bytes, u64
+from .common import blocks_for, checkpointed, mix64, small_batches, split_by_bucket, text_bytes, u64
 from .components import components
 from .repeats import KEY_BYTES, _chunks, _pack, _powers, _unpack
 
@@ -270,9 +270,9 @@ def verified(sets: list[np.ndarray], at: Threshold, across: np.ndarray | None =
 def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = 8 << 20, family: int = FAMILY) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs with an integer id."""
     at = Threshold(num, den)
-    meets = lambda n: max(24, n // 4)  # noqa: E731  buckets of vectors: the fewer, the fewer stars repeat
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n_blocks = blocks_for(text_bytes(docs), block_bytes)
+    n_meets = max(24, n_blocks // 4)  # buckets of count vectors: the fewer there are, the fewer stars repeat
     ids = docs.where(F.col("doc_id").isNotNull())
     blocks = ids.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "_block")
 
@@ -331,7 +331,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
         out = []
         for (_, width), parts in got.items():
             keys, docs_, sizes, points = (np.concatenate(x) for x in zip(*parts))
-            out += [{"bucket": b, "width": width, "keys": kk.tobytes(), "docs": d.tobytes(), "sizes": s.tobytes(), "points": p.tobytes()} for b, kk, d, s, p in split_by_bucket(keys, meets(n_blocks), docs_, sizes, points)]
+            out += [{"bucket": b, "width": width, "keys": kk.tobytes(), "docs": d.tobytes(), "sizes": s.tobytes(), "points": p.tobytes()} for b, kk, d, s, p in split_by_bucket(keys, n_meets, docs_, sizes, points)]
         return pa.Table.from_pylist(out, sent)
 
     def judge(group):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import hash_sample
+from .common import hash_sample, small_batches
 
 #: The bounded training sample: rows looked at, documents of a language, characters of each, characters of a language and of all.
 SAMPLE_ROWS, TRAIN_DOCS, DOC_CHARS, LANG_CHARS, ALL_CHARS = 20_000, 200, 1000, 40_000, 200_000
@@ -177,7 +177,7 @@ def predict(docs: DataFrame, trained: dict[str, str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:

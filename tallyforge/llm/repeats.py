@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks_for, mix64, split_by_bucket, text_bytes, u64
+from .common import blocks_for, mix64, small_batches, split_by_bucket, text_bytes, u64
 from .suffixes import PERIOD, sample_ranks, sort_bucket, word_at
 
 LENGTH, GRAM = 50, 20
@@ -242,7 +242,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
     """docs with _kept (binary, the bytes that stay; as_text: a string without letters cut in two), _n_bytes, _n_removed and _n_spans."""
     n_blocks, limit = blocks_for(text_bytes(docs, text_col), block_bytes), hot
     columns = docs.columns
-    blocks = docs.withColumn("_block", F.pmod(F.xxhash64(id_col, F.col(id_col).isNull()), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "_block")
+    blocks = small_batches(docs).withColumn("_block", F.pmod(F.xxhash64(id_col, F.col(id_col).isNull()), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "_block")
 
     def announce(batches):
         by: dict[int, list] = {}
