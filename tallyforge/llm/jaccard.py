@@ -30,7 +30,7 @@ from .components import components
 from .repeats import KEY_BYTES, _chunks, _pack, _powers, _unpack
 
 #: Shingles of a count vector's coordinate and the fewest and most coordinates, points of an R-tree leaf, ratio of size classes, documents of a family's chunk.
-PER_GROUP, GROUPS, LEAF, RATIO, FAMILY = 6, (16, 4096), 64, 1.5, 2048
+PER_GROUP, GROUPS, LEAF, RATIO, FAMILY = 10, (16, 4096), 64, 1.5, 2048
 FULL = 255  # a count that may be larger
 #: Families' members up to this number (16 bytes each) may be broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
@@ -272,7 +272,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
     at = Threshold(num, den)
     docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n_blocks = blocks_for(text_bytes(docs), block_bytes)
-    n_meets = max(24, n_blocks // 4)  # buckets of count vectors: the fewer there are, the fewer stars repeat
+    n_meets = max(24, n_blocks // 2)  # buckets of count vectors: the fewer there are, the fewer stars repeat
     ids = docs.where(F.col("doc_id").isNotNull())
     blocks = ids.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "_block")
 
@@ -335,13 +335,13 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
         return pa.Table.from_pylist(out, sent)
 
     def judge(group):
-        us, vs, by = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], {}
-        for r in group.to_pylist():
-            by.setdefault(r["width"], []).append(r)
-        for width, rows in by.items():
-            keys, docs_ = u64(r["keys"] for r in rows), np.frombuffer(b"".join(r["docs"] for r in rows), np.int64)
-            size = np.frombuffer(b"".join(r["sizes"] for r in rows), np.int32).astype(np.int64)
-            points = np.frombuffer(b"".join(r["points"] for r in rows), np.uint8).reshape(-1, width)
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        widths = group.column("width").to_numpy()
+        cells = lambda name, rows, kind: np.concatenate([np.frombuffer(group.column(name)[int(i)].as_buffer(), kind) for i in rows])
+        for width in np.unique(widths):  # cells are read where they lie, one width at a time
+            rows = np.nonzero(widths == width)[0]
+            keys, docs_ = cells("keys", rows, np.uint64), cells("docs", rows, np.int64)
+            size, points = cells("sizes", rows, np.int32).astype(np.int64), cells("points", rows, np.uint8).reshape(-1, width)
             order = np.argsort(keys, kind="stable")
             heads = np.nonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))[0]
             n = np.diff(np.append(heads, len(order)))
