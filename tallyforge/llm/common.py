@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 import numpy as np
@@ -9,6 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Arrow's own pools keep what they once held; a Python worker beside others should give it back.
+pa.set_memory_pool(pa.system_memory_pool())
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
 #: Rows of an Arrow batch; whole texts can be long, so batches stay small.
 ARROW_ROWS = "1000"
 
@@ -24,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return freed memory to the system, between the groups of a task."""
+    if _trim is not None:
+        _trim(0)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that the cluster names; only where it names none (tests), set one."""
     sc = spark.sparkContext

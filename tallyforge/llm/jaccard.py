@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, checkpointed, mix64, small_batches, split_by_bucket, text_bytes, u64
+from .common import blocks_for, checkpointed, give_back, mix64, small_batches, split_by_bucket, text_bytes, u64
 from .components import components
 from .repeats import KEY_BYTES, _chunks, _pack, _powers, _unpack
 
@@ -267,12 +267,12 @@ def verified(sets: list[np.ndarray], at: Threshold, across: np.ndarray | None =
     return forest.edges
 
 
-def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = 8 << 20, family: int = FAMILY) -> DataFrame:
+def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = 6 << 20, family: int = FAMILY) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs with an integer id."""
     at = Threshold(num, den)
     docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n_blocks = blocks_for(text_bytes(docs), block_bytes)
-    n_meets = max(24, n_blocks // 2)  # buckets of count vectors: the fewer there are, the fewer stars repeat
+    n_meets = max(24, n_blocks // 3)  # buckets of count vectors: the fewer there are, the fewer stars repeat
     ids = docs.where(F.col("doc_id").isNotNull())
     blocks = ids.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "_block")
 
@@ -300,6 +300,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
                 yield pa.RecordBatch.from_pylist([{"bucket": bucket, "block": block, "keys": _pack(kk), "many": np.packbits(nn > 1).tobytes()}], pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("many", pa.binary())]))
 
     def share(group):
+        give_back()
         rows = group.to_pylist()
         keys = _unpack(r["keys"] for r in rows)
         cut = [len(r["keys"]) // KEY_BYTES for r in rows]
@@ -316,6 +317,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
     sent = pa.schema([("bucket", pa.int32()), ("width", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("sizes", pa.binary()), ("points", pa.binary())])
 
     def send(left, right):
+        give_back()
         shared, seen, got = np.sort(u64(right.column("keys").to_pylist())), set(), {}
         if len(shared):
             for _, texts, numbers in _chunks(left, "text", "doc_id"):
@@ -335,6 +337,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
         return pa.Table.from_pylist(out, sent)
 
     def judge(group):
+        give_back()
         us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         widths = group.column("width").to_numpy()
         cells = lambda name, rows, kind: np.concatenate([np.frombuffer(group.column(name)[int(i)].as_buffer(), kind) for i in rows])
@@ -382,6 +385,7 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: s
     task = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("root"), F.lit(4 * n_blocks))).otherwise(F.xxhash64("root", "i", "j"))
 
     def compare(group):
+        give_back()
         docs_, roots = group.column("doc_id").to_numpy(), group.column("root").to_numpy()
         i, j, chunk = (group.column(c).to_numpy() for c in ("i", "j", "chunk"))
         cells = group.column("shingles").to_pylist()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks_for, mix64, small_batches, split_by_bucket, text_bytes, u64
+from .common import blocks_for, give_back, mix64, small_batches, split_by_bucket, text_bytes, u64
 from .suffixes import PERIOD, sample_ranks, sort_bucket, word_at
 
 LENGTH, GRAM = 50, 20
@@ -290,6 +290,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
     sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("kind", pa.int8()), ("keys", pa.binary()), ("docs", pa.binary()), ("meta", pa.binary()), ("rows", pa.binary())])
 
     def send(left, right):
+        give_back()
         if not right.num_rows:
             return pa.Table.from_pylist([], sent)
         kinds, cells = right.column("kind").to_numpy(), right.column("keys").to_pylist()
@@ -330,6 +331,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
         return pa.Table.from_pylist(out, sent)
 
     def judge(group):
+        give_back()
         out, rows = [], group.to_pylist()
         for kind in (CONTEXTS, STRINGS):
             part = [r for r in rows if r["kind"] == kind]
@@ -369,6 +371,7 @@ def remove(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", hot:
     result = T.StructType([*docs.schema.fields, T.StructField("_kept", T.StringType() if as_text else T.BinaryType()), T.StructField("_n_bytes", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())])
 
     def cut(left, right):
+        give_back()
         kinds, cells = right.column("kind").to_numpy(), right.to_pylist()
         of = lambda kind, col: [c[col] for c, k in zip(cells, kinds) if k == kind]
         hot = u64(of(HOTS, "keys"))
