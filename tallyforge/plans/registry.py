@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import dates, money, text
 from ..functions.rates import Providers, RateBook
+from ..functions.workers import find_package
 from ..operators import adapters, bank, dlq, fold, mart, reconcile, residual, seed, validate
 from ..operators.ledger_store import LedgerStore
 from ..sources import mt940, wire
@@ -254,6 +255,7 @@ def pan_scan(spark, sf):
 
 def _frames(spark: SparkSession, sf: str) -> DataFrame:
     """Events of the arrivals as wire frames, some of them broken; an event without an id has no place in the format."""
+    find_package(spark)
     fields = [f.name for f in S.EVENT.fields]
 
     def run(batches):

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.workers import find_package
 from ..schemas import EVENT
 
 HEADER = 5
@@ -91,6 +92,7 @@ def encode_event(event: dict, schema_id: int = 1) -> bytes:
 
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """df's frames as decodable, schema_id and the event columns; a payload that cannot be read leaves the columns null."""
+    find_package(df.sparkSession)
     framed = df.select(*(c.alias(n) for n, c in frame(F.col(value)).items()))
 
     def run(batches):
