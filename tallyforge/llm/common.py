@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.workers import find_package
+
 # Arrow's own pools keep what they once held; a Python worker beside others should give it back.
 pa.set_memory_pool(pa.system_memory_pool())
 try:
@@ -23,12 +25,14 @@ ARROW_ROWS = "1000"
 
 def small_batches(df: DataFrame) -> DataFrame:
     """df; whole texts go to Python in batches of ARROW_ROWS rows from now on."""
+    find_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder, read by Spark alone (any file system)."""
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
