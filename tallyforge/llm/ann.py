@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
-Vectors are projected by several random rotations, shifted, and ordered along a Hilbert curve. Each
-ordering is range-partitioned in Spark and cut into blocks of consecutive keys; a query is compared
-with its own block and both neighbouring blocks, exactly, in double precision. The best of all
-orderings are merged and ranked. Every vector is in every ordering; nothing is capped or dropped.
+Vectors are projected by several random rotations, scaled to ranks, shifted, and ordered along a
+Hilbert curve. Each ordering is range-partitioned in Spark and cut into blocks of consecutive keys; a
+query is compared with its own block and the neighbouring blocks within reach, exactly, in double
+precision. The reach grows so that each ordering shows a query the same share of the table at any
+size. The best of all orderings are merged and ranked. Every vector is in every ordering; nothing is
+capped or dropped.
 
 Equal vectors lie together on the curve: of each distinct vector only the k + 1 smallest ids can be
 in an answer, so only those stand for it (a hot vector cannot fill the windows).
@@ -23,13 +25,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, hash_sample
+from .common import checkpointed, hash_sample, mix64
 
-ORDERINGS, DIMS, BITS = 20, 8, 4
+ORDERINGS, DIMS, KEY_BITS = 20, 8, 62
 #: Rows of a block: BLOCK_ROOT times the square root of the number of vectors, at least LEAST_BLOCK.
 BLOCK_ROOT, LEAST_BLOCK = 8, 500
+#: The share of all vectors that the blocks within a query's reach hold at least, in each ordering.
+LEAST_SHARE = 0.04
 SAMPLE = 5000
 SPREAD = 0.5
+#: Points of the rank scale of an axis: where many vectors lie close together, cells are as much finer.
+SCALE = 257
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -61,23 +67,30 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Curves:
-    """Random rotations, shifts and cell bounds of all orderings; bounds come from a bounded sample."""
+    """Random rotations, shifts and rank scales of all orderings; the scales come from a bounded sample."""
 
     def __init__(self, sample: np.ndarray, orderings: int = ORDERINGS, seed: int = 11):
         r = np.random.default_rng(seed)
         d = sample.shape[1]
         self.dims = min(DIMS, d)
+        self.bits = min(16, KEY_BITS // self.dims)
         self.rot = [np.linalg.qr(r.standard_normal((d, d)))[0][:, : self.dims] for _ in range(orderings)]
-        self.lo, self.span, self.shift = [], [], []
+        self.scale, self.shift = [], []
         for m in self.rot:
-            lo, hi = np.quantile(sample @ m, [0.001, 0.999], axis=0)
-            self.lo.append(lo)
-            self.span.append(np.maximum(hi - lo, 1e-12))
+            self.scale.append(np.quantile(sample @ m, np.linspace(0, 1, SCALE), axis=0))
             self.shift.append(r.random(self.dims) * SPREAD)
 
     def keys(self, x: np.ndarray, i: int) -> np.ndarray:
-        z = ((x @ self.rot[i] - self.lo[i]) / self.span[i] + self.shift[i]) / (1 + SPREAD) * (1 << BITS)
-        return hilbert_keys(np.clip(z, 0, (1 << BITS) - 1).astype(np.uint64), BITS).astype(np.int64)
+        p, ranks, top = x @ self.rot[i], np.linspace(0, 1, SCALE), 1 << self.bits
+        z = np.stack([np.interp(p[:, j], self.scale[i][:, j], ranks) for j in range(self.dims)], 1)
+        z = (z + self.shift[i]) / (1 + SPREAD) * top
+        return hilbert_keys(np.clip(z, 0, top - 1).astype(np.uint64), self.bits).astype(np.int64)
+
+
+def windows(total: int, k: int, block: int | None = None) -> tuple[int, int]:
+    """Rows of a block, and how many blocks on either side a query reaches."""
+    block = max(2 * k + 2, block or max(LEAST_BLOCK, math.ceil(BLOCK_ROOT * math.sqrt(total))))
+    return block, max(1, math.ceil((LEAST_SHARE * total / block - 1) / 2))
 
 
 def usable(v: Column) -> Column:
@@ -108,16 +121,18 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     total = first.count()
     sample = hash_sample(first, SAMPLE, "id").select("v").collect()
     curves = spark.sparkContext.broadcast(Curves(np.array([r["v"] for r in sample] or [first.first()["v"]], np.float64), orderings))
-    block = max(2 * k + 2, block or max(LEAST_BLOCK, math.ceil(BLOCK_ROOT * math.sqrt(total))))
+    block, reach = windows(total, k, block)
     parts = max(1, min(4096, -(-total // (4 * block))))
 
     def keyed(batches):
         for b in batches:
             x, n = _matrix(b), b.num_rows
             for i in range(orderings):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i, np.int32)), pa.array(curves.value.keys(x, i)), b.column("id"), b.column("cand"), b.column("ask")], names=["o", "key", "id", "cand", "ask"])
+                tie = mix64(b.column("id").to_numpy().astype(np.uint64) + np.uint64(i) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i, np.int32)), pa.array(curves.value.keys(x, i)), pa.array(tie), b.column("id"), b.column("cand"), b.column("ask")], names=["o", "key", "tie", "id", "cand", "ask"])
 
-    keys = kept.mapInArrow(keyed, "o int, key long, id long, cand boolean, ask boolean")
+    # rows of one key lie in another order each time
+    keys = kept.mapInArrow(keyed, "o int, key long, tie long, id long, cand boolean, ask boolean")
     # each ordering in range partitions; a row's place is the number of candidates before it, so that queries
     # with one key, however many, stay beside the candidates of that key
     def place(batches):
@@ -134,19 +149,22 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
                 before[i] = before.get(i, 0) + int(run[-1])
             yield pa.RecordBatch.from_arrays([b.column("o"), pa.array(np.full(len(o), part, np.int32)), pa.array(at), b.column("id"), b.column("cand"), b.column("ask")], names=["o", "p", "m", "id", "cand", "ask"])
 
-    ordered = keys.repartitionByRange(parts * orderings, "o", "key", "id").sortWithinPartitions("o", "key", F.desc("cand"), "id")
+    ordered = keys.repartitionByRange(parts * orderings, "o", "key", "tie").sortWithinPartitions("o", "key", F.desc("cand"), "tie")
     ranged = checkpointed(ordered.mapInArrow(place, "o int, p int, m long, id long, cand boolean, ask boolean"))
     sizes = ranged.groupBy(F.col("o").alias("_o"), F.col("p").alias("_p")).agg(F.count_if(F.col("cand")).alias("c"))
     starts = sizes.select("_o", "_p", (F.sum("c").over(W.partitionBy("_o").orderBy("_p")) - F.col("c")).alias("start"))
     placed = ranged.join(starts, (F.col("o") == F.col("_o")) & (F.col("p") == F.col("_p"))).select("o", "id", "cand", "ask", F.floor((F.col("start") + F.col("m")) / block).cast("long").alias("b"))
-    # a query stays in its block; a candidate also goes to both neighbouring blocks
-    spread = placed.select("o", "id", "cand", "ask", "b", F.explode(F.when(F.col("cand"), F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).otherwise(F.array(F.col("b")))).alias("at"))
-    spread = spread.select("o", "at", "id", "cand", (F.col("ask") & (F.col("b") == F.col("at"))).alias("ask")).join(kept.select("id", "v"), "id")
+    # a candidate stays in its block; a query, of which there are fewer, goes to all blocks within reach
+    near = F.when(F.col("ask"), F.transform(F.sequence(F.col("b") - reach, F.col("b") + reach), lambda x: F.struct(x.alias("at"), F.lit(True).alias("ask"))))
+    own = F.when(F.col("cand"), F.array(F.struct(F.col("b").alias("at"), F.lit(False).alias("ask"))))
+    none = F.array().cast("array<struct<at:bigint,ask:boolean>>")
+    spread = placed.select("o", "id", F.explode(F.concat(F.coalesce(own, none), F.coalesce(near, none))).alias("x")).select("o", "id", "x.at", "x.ask")
+    spread = spread.where(F.col("at") >= 0).join(kept.select("id", "v"), "id")
 
     def nearest(key, group):
         ids, x = group.column("id").to_numpy(), _matrix(group.combine_chunks().to_batches()[0])
-        q = np.nonzero(group.column("ask").to_numpy(zero_copy_only=False))[0]
-        c = np.nonzero(group.column("cand").to_numpy(zero_copy_only=False))[0]
+        ask = group.column("ask").to_numpy(zero_copy_only=False)
+        q, c = np.nonzero(ask)[0], np.nonzero(~ask)[0]
         out_q, out_c, out_s = [], [], []
         for lo in range(0, len(q), 256):
             s = x[q[lo : lo + 256]] @ x[c].T

@@ -238,6 +238,27 @@ def test_neighbours_recall_and_ties(spark, sf):
     assert ann.search(odd.limit(0)).count() == 0
 
 
+def test_neighbours_in_a_hot_cell_and_at_size(spark):
+    r = np.random.default_rng(3)
+    x = r.standard_normal((6000, 32))
+    x[:2000] = x[0] / np.linalg.norm(x[0]) + 0.002 * r.standard_normal((2000, 32))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
+    ids = r.permutation(6000)
+    v = spark.createDataFrame([(int(i), y.tolist()) for i, y in zip(ids, x)], "vec_id long, embedding array<float>")
+    by = {}
+    for f in ann.search(v, block=100).collect():
+        by.setdefault(f.query_id, set()).add(f.vec_id)
+    hit = n = 0
+    for q in np.nonzero((ids % 20 == 0) & (np.arange(6000) < 2000))[0]:
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit, n = hit + len(by[ids[q]] & set(ids[np.argsort(-s)[:20]].tolist())), n + 20
+    assert hit / n >= 0.9
+    for total in (500, 50_000, 400_000, 1_500_000, 100_000_000):
+        block, reach = ann.windows(total, 20)
+        assert (2 * reach + 1) * block >= 0.04 * total
+
+
 def test_hilbert_is_a_curve():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = np.argsort(ann.hilbert_keys(grid, 3))
