@@ -124,6 +124,21 @@ def test_secrets_bases_and_models(spark, odd, docs):
     assert secrets.redact(odd, table=table).columns == odd.columns
 
 
+def test_secrets_of_every_alphabet(spark, docs):
+    table = secrets.train(secrets.labelled(docs))
+    r = np.random.default_rng(8)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [digits + "ABCDEF", upper + digits, upper + "234567", upper.lower(), upper]
+    rows = [(200 * k + i, "see " + "".join(r.choice(list(f), 32)) + " end") for k, f in enumerate(kinds) for i in range(200)]
+    found = [x.spans for x in secrets.report(spark.createDataFrame(rows, "doc_id long, text string"), table).orderBy("doc_id").collect()]
+    for k in range(len(kinds)):
+        assert sum(x == "random:4:36" for x in found[200 * k : 200 * k + 200]) >= 190, kinds[k]
+    plain = ["MAXIMUM_CONNECTION_TIMEOUT_SECONDS", "internationalization_of_the_widget", "-" * 30, "=" * 40, "_" * 25, "2024-01-15-report-final-version-3"]
+    parts = "DEADBEEFDEADBEEFXQZ9KLMW83QX0123456789abcdef0123ZK3V9QPL2MX8RT5WYJ"
+    probe = spark.createDataFrame(list(enumerate([*plain, parts])), "doc_id long, text string")
+    assert [x.spans for x in secrets.report(probe, table).orderBy("doc_id").collect()] == [""] * len(plain) + ["random:0:28,hex:28:48,random:48:66"]
+
+
 def test_secrets_native_plan(docs):
     plan = secrets.report(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
