@@ -58,13 +58,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, rows: int, *by: str) -> DataFrame:
-    """About `rows` rows, at most twice as many, chosen by a hash of the columns `by`: for fitting models only.
+    """About `rows` rows chosen by a hash of the columns `by` alone: for fitting models only.
 
     Rows are counted (from file footers where Spark can) and filtered where they lie; nothing is shuffled
-    but the sample.
+    but the sample, and the same rows are chosen however the tasks run. Rows that are equal in `by` count
+    as one, so that copies under one id do not fill the sample.
     """
     every = max(1, df.count() // rows)
-    return df.where(F.pmod(F.xxhash64(*by), F.lit(every)) == 0).limit(2 * rows)
+    return df.where(F.pmod(F.xxhash64(*by), F.lit(every)) == 0).dropDuplicates(list(by))
+
+
+def slices(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Runs of consecutive items whose sizes sum to at most `most`; a larger item is a run of its own."""
+    out, lo, room = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > lo and room + n > most:
+            out.append((lo, i))
+            lo, room = i, 0
+        room += n
+    return out + ([(lo, len(sizes))] if len(sizes) > lo else [])
 
 
 def text_bytes(docs: DataFrame, col: str = "text") -> int:

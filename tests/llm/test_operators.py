@@ -325,24 +325,96 @@ def test_lm_base_and_model(odd, docs):
     assert lm.score(odd.limit(0), path).count() == 0
 
 
-def test_lm_learns_and_is_normalised(docs):
+def small_lm(docs):
     tok = bpe.load(queries.default_tokenizer())
-    seqs = [lm.sequence(t.encode()[:3000], tok) for t in texts_of(docs).values()]
-    counts = np.bincount(np.concatenate(seqs), minlength=len(tok.token_bytes))
-    fresh = lm.Attention(len(counts), counts, seqs[:100])
-    x, y, _ = fresh.windows(seqs[100:150])
-    classes = np.where(y >= 0, fresh.cls[np.maximum(y, 0)], np.where(y == -2, lm.CLASSES - 1, -1))
-    before, _ = fresh._gradients(x, classes)
-    after, _ = fresh.fit(seqs[:100], steps=150)._gradients(x, classes)
-    mass = np.bincount(classes[classes >= 0], minlength=lm.CLASSES) + 1
-    unigram = -np.log(mass / mass.sum())[classes[classes >= 0]].mean()
-    assert after < before and after < unigram
-    assert np.allclose(np.exp(fresh._forward(x)).sum(1), 1, atol=1e-4)
-    # causal: later inputs do not change earlier predictions
-    z = fresh._forward(x[:4]).reshape(4, lm.STEP, -1)
+    texts = [t.encode()[:3000] for t in texts_of(docs).values()]
+    cuts = lm.cut(texts, tok)
+    top = [w for w, _ in Counter(w for t in texts for w in t.lower().split()).most_common(40)]
+    classes = lm.Classes(top, len(tok.token_bytes)).learn([(i, z) for _, i, z in cuts if len(i)])
+    return tok, texts, classes, lm.sequences(texts, tok, classes)
+
+
+def test_lm_learns_and_is_causal(docs):
+    tok, texts, classes, seqs = small_lm(docs)
+    net = lm.Attention(len(tok.token_bytes), classes.n)
+    x, y, _ = net.windows(seqs[100:150])
+    before, _ = net.gradients(x, y)
+    net.fit(seqs[:100], steps=150)
+    after, _ = net.gradients(x, y)
+    mass = np.bincount(y[y >= 0], minlength=classes.n) + 1
+    assert after < before and after < -np.log(mass / mass.sum())[y[y >= 0]].mean()
+    z = net.classes(x[:4], np.arange(4 * lm.STEP)).reshape(4, lm.STEP, -1)  # later inputs do not change earlier predictions
     x2 = x[:4].copy()
     x2[:, -1] = 5
-    assert np.allclose(z[:, :-1], fresh._forward(x2).reshape(4, lm.STEP, -1)[:, :-1], atol=1e-5)
+    assert np.allclose(z[:, :-1], net.classes(x2, np.arange(4 * lm.STEP)).reshape(4, lm.STEP, -1)[:, :-1], atol=1e-5)
+    # each class is scored once, from the subwords that its window shows, one position at a time
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    for ids, cls in [*seqs[:3], (seqs[3][0][:0], np.array([0], np.int32))]:
+        tokens, want = np.concatenate([[lm.BOS], ids + lm.FIRST]), 0.0
+        for i in np.nonzero(cls >= 0)[0]:
+            lo = max(0, i // lm.STEP * lm.STEP - (lm.SEEN - lm.STEP))
+            place = np.arange(lo, i + 1) - (i // lm.STEP * lm.STEP - (lm.SEEN - lm.STEP))
+            e = p["e"][tokens[lo : i + 1]] + p["pos"][place]
+            s = (e @ p["k"]) @ (e[-1] @ p["q"]) / math.sqrt(lm.WIDTH)
+            a = np.exp(s - s.max())
+            z = np.tanh(e[-1] + (a / a.sum()) @ (e @ p["v"]) @ p["o"]) @ p["u"] + p["b"]
+            want += z[cls[i]] - z.max() - math.log(np.exp(z - z.max()).sum())
+        assert abs(net.score([(ids, cls)])[0] - want) < 1e-3 * max(1, abs(want))
+
+
+def test_lm_gradients():
+    r = np.random.default_rng(1)
+    speller = lm.Speller(r.integers(0, 9, 1400).astype(float), 5)
+    s, c = r.integers(0, 1400, (6, 4)), r.integers(0, 5, 6)
+    net = lm.Attention(50, 7)
+    x, y, _ = net.windows([(r.integers(0, 50, 90), r.integers(-1, 7, 91))])
+    for model, args in ((speller, (s, c)), (net, (x, y))):
+        _, g = model.gradients(*args)
+        for k, d in g.items():
+            at, d = d if isinstance(d, tuple) else (np.arange(len(d)), d)
+            i = np.unravel_index(np.abs(d).argmax(), d.shape)
+            where = (at[i[0]], *i[1:])
+            old = model.p[k][where]
+            model.p[k][where] = old + 0.02
+            up = model.gradients(*args)[0]
+            model.p[k][where] = old - 0.02
+            down = model.gradients(*args)[0]
+            model.p[k][where] = old
+            assert abs((up - down) / 0.04 - d[i]) < 0.05 * abs(d[i]) + 1e-3, k
+
+
+def test_lm_words_share_one(docs):
+    tok, texts, classes, _ = small_lm(docs)
+    words = sorted({w for t in texts for w in t.lower().split()})
+    ids, size = tok.merge([b" " + w for w in words])
+    cls = classes.of(words, ids, size)
+    far = cls >= classes.first
+    starts = np.cumsum(size) - size
+    counts = np.bincount(ids, minlength=len(tok.token_bytes))
+    speller = lm.Speller(counts, classes.n).fit(ids, starts[far], size[far], cls[far], steps=60)
+    t = np.random.default_rng(0).standard_normal((3, lm.WIDTH)).astype(np.float32)
+    for row in t:  # the adaptive softmax of all subwords and the stop
+        y = np.arange(len(counts) + 1)
+        assert abs(np.exp(speller.logp(np.repeat(row[None], len(y), 0), y)).sum() - 1) < 1e-3
+    fresh = speller.words(ids, starts[far], size[far], cls[far])
+    one = [float(speller.words(ids, starts[far][i : i + 1], size[far][i : i + 1], cls[far][i : i + 1])[0]) for i in range(50)]
+    assert np.allclose(fresh[:50], one, atol=1e-3) and (fresh < 0).all()
+    long, n = tok.merge([b" " + b"xq7" * 200])  # beyond one window: overlapping windows, finite and finely graded
+    assert n[0] > 3 * lm.SPELLED and -1e5 < speller.words(long, np.array([0]), n, cls[:1])[0] < -n[0]
+    model = lm.Model(classes, None, speller)
+    count = np.random.default_rng(2).integers(0, 4, len(words))
+    model.mass, model.types = np.bincount(cls, count, classes.n), np.bincount(cls, count > 0, classes.n)
+    p = np.exp(model.inside(cls, count, ids, size))
+    for c in range(classes.first, classes.n):
+        assert p[cls == c].sum() <= 1 + 1e-6
+    assert (p[cls < classes.first] == 1).all()
+
+
+def test_lm_beats_its_base(spark):
+    """On rows that it did not learn from, the whole model is better than add-one word counts."""
+    d = common.table(spark, "/root/testdata/sf0.01", "documents")
+    got = lm.score(d, queries.default_tokenizer()).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
 
 
 def brute_components(texts, k, num):
