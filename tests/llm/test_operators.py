@@ -353,9 +353,8 @@ def test_lm_learns_and_is_causal(docs):
         tokens, want = np.concatenate([[lm.BOS], ids + lm.FIRST]), 0.0
         for i in np.nonzero(cls >= 0)[0]:
             lo = max(0, i // lm.STEP * lm.STEP - (lm.SEEN - lm.STEP))
-            place = np.arange(lo, i + 1) - (i // lm.STEP * lm.STEP - (lm.SEEN - lm.STEP))
-            e = p["e"][tokens[lo : i + 1]] + p["pos"][place]
-            s = (e @ p["k"]) @ (e[-1] @ p["q"]) / math.sqrt(lm.WIDTH)
+            e = p["e"][tokens[lo : i + 1]]
+            s = (e @ p["k"]) @ (e[-1] @ p["q"]) / math.sqrt(lm.WIDTH) + p["near"][i - np.arange(lo, i + 1)]
             a = np.exp(s - s.max())
             z = np.tanh(e[-1] + (a / a.sum()) @ (e @ p["v"]) @ p["o"]) @ p["u"] + p["b"]
             want += z[cls[i]] - z.max() - math.log(np.exp(z - z.max()).sum())
@@ -404,7 +403,7 @@ def test_lm_words_share_one(docs):
     model = lm.Model(classes, None, speller)
     count = np.random.default_rng(2).integers(0, 4, len(words))
     model.mass, model.types = np.bincount(cls, count, classes.n), np.bincount(cls, count > 0, classes.n)
-    p = np.exp(model.inside(cls, count, ids, size))
+    p = np.exp(model.inside(cls, count, model.spelled(cls, ids, size)))
     for c in range(classes.first, classes.n):
         assert p[cls == c].sum() <= 1 + 1e-6
     assert (p[cls < classes.first] == 1).all()
