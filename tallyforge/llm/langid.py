@@ -1,9 +1,10 @@
 """Language identification by cross-parsing entropy.
 
-The labelled text of each language, a bounded sample, becomes a suffix automaton. A text is parsed
-greedily into the longest pieces that each automaton holds; the language that needs the fewest
-phrases per character wins. All documents of a batch are parsed in lockstep, in fixed segments, so
-that one very long text costs no more per character than many short ones.
+The labelled text of each language, a bounded sample, becomes a suffix automaton over UTF-8 bytes, with an
+alphabet of its own, so that no script is cut. A text is parsed greedily into the longest phrases that each
+automaton holds; the language with the least cross-entropy, phrases times the logarithm of its training
+length, wins. Whole texts are parsed exactly: segments in lockstep at first, then every segment is parsed on
+from the phrase that reaches into it until both parses begin a phrase at the same byte.
 
 Defined cases: null text, or text without a letter, is `und` with score 0; ties go to the
 alphabetically first language; without any labelled text every row is `und`; extra columns are
@@ -16,40 +17,50 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import hash_sample, small_batches
+from .common import slices, small_batches
 
-#: The bounded training sample: rows looked at, documents of a language, characters of each, characters of a language and of all.
-SAMPLE_ROWS, TRAIN_DOCS, DOC_CHARS, LANG_CHARS, ALL_CHARS = 20_000, 200, 1000, 40_000, 200_000
-#: Letters told apart at most; all other characters count as one break.
-LETTERS = 62
-SEGMENT = 256
+#: The bounded training sample: documents of a language (of all its rows, by hash), characters of a passage of each, bytes of a language and of all.
+TRAIN_DOCS, PASSAGE_CHARS, LANG_BYTES, ALL_BYTES = 200, 1000, 40_000, 800_000
+#: Bytes of a segment, and of texts parsed at a time.
+SEGMENT, AT_ONCE = 512, 8 << 20
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame) -> dict[str, str]:
-    """Labelled text by language: of each language TRAIN_DOCS documents among about SAMPLE_ROWS rows chosen by hash.
+def sample(docs: DataFrame) -> dict[str, bytes]:
+    """Training bytes by language: a passage from anywhere in TRAIN_DOCS documents of each language, chosen by hash among all rows.
 
-    What is shuffled and what comes to the driver is bounded by the parameters.
+    Only (lang, hash, id) is ranked, with Spark's limit for each group ahead of the shuffle; what comes to the driver is
+    bounded by the parameters and the number of languages.
     """
-    known = hash_sample(docs, SAMPLE_ROWS, *docs.columns).where(F.col("lang").isNotNull() & (F.length("text") > 20) & ~held_out(F.col("doc_id")))
-    first = known.select("lang", F.substring("text", 1, DOC_CHARS).alias("text"), F.xxhash64("text").alias("h"))
-    rows = first.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).where(F.col("r") <= TRAIN_DOCS).collect()
+    known = docs.where(F.col("lang").isNotNull() & (F.length("text") > 20) & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
+    order = F.xxhash64("doc_id", F.lit("lang"))
+    first = known.select("lang", F.col("doc_id").alias("id"), order.alias("h")).withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))).where(F.col("r") <= TRAIN_DOCS)
+    picked = F.broadcast(first.select("lang", "id").distinct())  # at most TRAIN_DOCS a language
+    at = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - PASSAGE_CHARS + 1, F.lit(1))).cast("int") + 1
+    rows = known.join(picked, (known["doc_id"] == picked["id"]) & (known["lang"] == picked["lang"]), "left_semi").select("lang", order.alias("h"), F.substring(F.col("text"), at, F.lit(PASSAGE_CHARS)).alias("text")).distinct().collect()
     by: dict[str, list] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["r"])):
+    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"])):
         by.setdefault(r["lang"], []).append(r["text"])
-    each = min(LANG_CHARS, ALL_CHARS // max(1, len(by)))
-    return {lang: "\n".join(texts)[:each] for lang, texts in by.items()}
+    each = min(LANG_BYTES, ALL_BYTES // max(1, len(by)))
+    return {lang: letters(" ".join(texts))[:each] for lang, texts in by.items()}
+
+
+def letters(text: str) -> bytes:
+    """Lower-case letters and marks as UTF-8; each run of anything else is one space."""
+    return _OTHER.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
 def automaton(codes: list[int], width: int) -> np.ndarray:
-    """The suffix automaton of a code sequence as a table: next state by state and code; state 0 is none, 1 the start."""
+    """The suffix automaton of a code sequence as a table: next state by state and code; state 0 is none (and leads nowhere), 1 the start."""
     nxt: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [0, 0], 1
     for c in codes:
@@ -82,93 +93,123 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
     return table
 
 
+class Parser:
+    """The suffix automaton of one language over the bytes of its training text."""
+
+    def __init__(self, text: bytes):
+        used = sorted(set(text))
+        self.code = np.zeros(256, np.int32)  # 0: a byte that the language lacks
+        self.code[used] = np.arange(1, len(used) + 1)
+        self.width = len(used) + 1
+        self.table = automaton(self.code[np.frombuffer(text, np.uint8)].tolist(), self.width).ravel()
+        self.restart = self.table[self.width : 2 * self.width]
+        self.bits = float(np.log2(len(text) + 1))
+
+    def _next(self, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(states after codes c, whether a phrase began with them)."""
+        go = self.table[state * self.width + c]
+        new = go == 0
+        return np.where(new, self.restart[c], go), new
+
+    def segments(self, steps: np.ndarray, running: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each segment (column; long ones in front) parsed from its own start: where phrases begin, and the last states."""
+        n = steps.shape[1]
+        state, begins = np.zeros(n, np.int32), np.zeros(steps.shape, bool)
+        for t in range(len(steps)):
+            if not (m := running[t]):
+                break
+            state[:m], begins[t, :m] = self._next(state[:m], self.code[steps[t, :m]])
+        return begins, state
+
+    def joined(self, grid: np.ndarray, size: np.ndarray, first: np.ndarray, begins: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Phrases that begin in each segment of whole texts; rows are segments in order, `first` marks a text's first one."""
+        after = begins[:, ::-1].cumsum(1, dtype=np.int32)[:, ::-1]  # beginnings from here on
+        count, end = after[:, 0].copy(), last.copy()
+        todo = np.nonzero(~first)[0]
+        while len(todo):
+            state, more, live, t = end[todo - 1], np.zeros(len(todo), np.int32), np.arange(len(todo)), 0
+            ends = last[todo].copy()
+            while len(live):
+                rows = todo[live]
+                over = size[rows] <= t
+                if over.any():  # this phrase reaches beyond the segment
+                    ends[live[over]] = state[live[over]]
+                    count[rows[over]] = more[live[over]]
+                    live = live[~over]
+                    rows = todo[live]
+                    if not len(live):
+                        break
+                state[live], new = self._next(state[live], self.code[grid[rows, t]])
+                met = new & begins[rows, t]
+                count[rows[met]] = more[live[met]] + after[rows[met], t]
+                more[live] += new
+                live = live[~met]
+                t += 1
+            changed = todo[ends != end[todo]]
+            end[todo] = ends
+            todo = changed[changed + 1 < len(first)] + 1
+            todo = todo[~first[todo]]
+        return count
+
+
 class CrossParser:
-    """Suffix automata of several languages over one alphabet of letters."""
+    """The parsers of several languages."""
 
-    def __init__(self, texts: tuple[tuple[str, str], ...]):
+    def __init__(self, texts: tuple[tuple[str, bytes], ...]):
         self.langs = [lang for lang, _ in texts]
-        counts: dict[str, int] = {}
-        for _, text in texts:
-            for ch in text.lower():
-                if ch.isalpha():
-                    counts[ch] = counts.get(ch, 0) + 1
-        letters = sorted(counts, key=lambda ch: (-counts[ch], ch))[:LETTERS]
-        self.code = np.zeros(0x110000, np.uint8)  # 0: a break
-        for i, ch in enumerate(letters):
-            for form in {ch, ch.upper()}:
-                if len(form) == 1:
-                    self.code[ord(form)] = i + 1
-        width, base, tables, self.roots = len(letters) + 1, 0, [], []
-        for _, text in texts:
-            t = automaton(self.codes(text).tolist(), width)
-            tables.append(np.where(t > 0, t + base, 0))
-            self.roots.append(base + 1)
-            base += len(t)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.width = width
-
-    def codes(self, text: str) -> np.ndarray:
-        return self.code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-
-    def phrases(self, texts: list[str]) -> np.ndarray:
+        self.parsers = [Parser(text) for _, text in texts]
+
+    def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
-        coded = [self.codes(t) for t in texts]
-        parts = np.array([-(-len(c) // SEGMENT) for c in coded], np.int64)
+        parts = np.array([-(-len(t) // SEGMENT) for t in texts], np.int64)
         n = int(parts.sum())
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         if not n:
             return out
-        grid, size, at = np.zeros((n, SEGMENT), np.uint8), np.full(n, SEGMENT, np.int64), 0
-        flat = grid.ravel()
-        for c, k in zip(coded, parts):
-            flat[at * SEGMENT : at * SEGMENT + len(c)] = c
-            at += int(k)
+        grid, size, first = np.zeros((n, SEGMENT), np.uint8), np.full(n, SEGMENT, np.int64), np.zeros(n, bool)
+        flat, at = grid.ravel(), 0
+        for t, k in zip(texts, parts.tolist()):
             if k:
-                size[at - 1] = len(c) - (k - 1) * SEGMENT
+                flat[at * SEGMENT : at * SEGMENT + len(t)] = np.frombuffer(t, np.uint8)
+                first[at] = True
+                at += k
+                size[at - 1] = len(t) - (k - 1) * SEGMENT
         order = np.argsort(-size, kind="stable")  # segments that still run stay in front
-        steps = np.ascontiguousarray(grid[order].T).astype(np.int32)
+        steps = np.ascontiguousarray(grid[order].T)
         running = np.searchsorted(-size[order], -np.arange(1, SEGMENT + 1), side="right")
-        owner, full = np.repeat(np.arange(len(texts)), parts)[order], int((parts > 0).sum())
-        for k, root in enumerate(self.roots):
-            state, count = np.full(n, root, np.int32), np.zeros(n, np.int32)
-            restart = self.table[root * self.width : (root + 1) * self.width]
-            restart = np.where(restart > 0, restart, root)  # an unknown letter is a phrase of its own
-            for t in range(SEGMENT):
-                m = running[t]
-                if not m:
-                    break
-                c = steps[t, :m]
-                go = self.table[state[:m] * self.width + c]
-                stop = go == 0
-                count[:m] += stop
-                state[:m] = np.where(stop, restart[c], go)
-            out[:, k] = np.bincount(owner, weights=count + 1, minlength=len(texts)).astype(np.int64)
+        owner, back = np.repeat(np.arange(len(texts)), parts), np.empty(n, np.int64)
+        back[order] = np.arange(n)
+        for i, p in enumerate(self.parsers):
+            begins, last = p.segments(steps, running)
+            count = p.joined(grid, size, first, np.ascontiguousarray(begins.T[back]), last[back])
+            out[:, i] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        got = self.phrases([t or "" for t in texts])
+        coded = [letters(t or "") for t in texts]
         langs, scores = [], []
-        for text, row in zip(texts, got):
-            if not self.langs or not text or not any(map(str.isalpha, text)):
-                langs.append("und")
-                scores.append(0.0)
-                continue
-            rate = (row - row.min()) / max(1.0, len(text)) * 40  # phrases more in 40 characters
-            p = np.exp(-np.minimum(rate * min(len(text), 400) / 40, 50))
-            langs.append(self.langs[int(np.argmin(row))])
-            scores.append(float(1 / p.sum()))
+        for lo, hi in slices([len(c) for c in coded], AT_ONCE):
+            for text, row in zip(coded[lo:hi], self.phrases(coded[lo:hi])):
+                if not self.langs or not text.strip():
+                    langs.append("und")
+                    scores.append(0.0)
+                    continue
+                bits = row * np.array([p.bits for p in self.parsers])
+                p = np.exp(-np.minimum((bits - bits.min()) * min(1.0, 400 / len(text)) / 8, 50))
+                langs.append(self.langs[int(np.argmin(bits))])
+                scores.append(float(1 / p.sum()))
         return langs, scores
 
 
 @lru_cache(maxsize=1)
-def _parser(texts: tuple[tuple[str, str], ...]) -> CrossParser:
+def _parser(texts: tuple[tuple[str, bytes], ...]) -> CrossParser:
     return CrossParser(texts)
 
 
-def predict(docs: DataFrame, trained: dict[str, str]) -> DataFrame:
+def predict(docs: DataFrame, trained: dict[str, bytes]) -> DataFrame:
     """(doc_id, lang_pred, score) from the texts alone; the automata are built once in each Python worker."""
     texts = tuple(sorted(trained.items()))
-    shared = docs.sparkSession.sparkContext.broadcast(texts)  # at most ALL_CHARS characters
+    shared = docs.sparkSession.sparkContext.broadcast(texts)  # at most ALL_BYTES bytes
 
     def run(batches):
         parser = _parser(shared.value)

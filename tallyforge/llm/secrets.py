@@ -57,7 +57,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(random boolean, s): strings of about SAMPLE_DOCS documents, chosen by hash, that base rules or word shape label, and made random strings."""
-    sample = hash_sample(docs, SAMPLE_DOCS, *docs.columns).select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    sample = hash_sample(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")), SAMPLE_DOCS, "t")
     values = F.concat(
         F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), lambda v: F.char_length(v) >= ASSIGN_LEAST),
         F.regexp_extract_all("t", F.lit(ACCESS_LONG), F.lit(0)), F.regexp_extract_all("t", F.lit(HEX_LONG), F.lit(0)),
@@ -69,7 +69,8 @@ def labelled(docs: DataFrame, text_col: str = "text") -> DataFrame:
     drawn = [F.array_join(F.transform(F.sequence(F.lit(1), n), partial(letter, f)), "") for f in FAMILIES]
     made = docs.sparkSession.range(MADE_STRINGS).select(F.lit(True).alias("random"), F.explode(F.array(F.base64(F.unhex(F.sha2(i.cast("string"), 256))), F.substring(F.sha2(F.concat(F.lit("x"), i.cast("string")), 256), 1, 40), *drawn)).alias("s"))
     # identifiers in code join words with digits rarely: names with a short number teach the ordinary model digits
-    names = both.where(~F.col("random")).limit(MADE_STRINGS).select(F.lit(False).alias("random"), F.concat("s", F.lit("_"), F.pmod(F.xxhash64("s"), F.lit(100)).cast("string")).alias("s"))
+    few = both.where(~F.col("random")).select("s").distinct().orderBy(F.xxhash64("s"), "s").limit(MADE_STRINGS)
+    names = few.select(F.lit(False).alias("random"), F.concat("s", F.lit("_"), F.pmod(F.xxhash64("s"), F.lit(100)).cast("string")).alias("s"))
     # consecutive words joined as code, constants and paths join them
     short = sample.select(F.slice(F.filter(F.regexp_extract_all("t", F.lit("[A-Za-z]{3,19}"), F.lit(0)), lambda v: ~v.rlike(ACCESS)), 1, NAME_WORDS).alias("w")).where(F.size("w") >= NAME_PARTS)
     parts = short.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - NAME_PARTS + 1, F.lit(NAME_PARTS)), lambda j: F.slice("w", j, NAME_PARTS))).alias("w"))

@@ -30,7 +30,7 @@ def odd(spark):
     """Awkward rows with extra columns whose names the operators might use."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     df = spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string").repartition(3)
-    return df.withColumns({c: F.lit(None).cast("string") for c in CLASH} | {"n_chars": F.length("text").cast("long")})
+    return df.withColumns({c: F.lit(None).cast("string") for c in CLASH} | {"extra": F.create_map(F.lit("a"), F.lit(1)), "n_chars": F.length("text").cast("long")})
 
 
 @pytest.fixture(scope="module")
@@ -152,21 +152,38 @@ def test_language_held_out(odd, docs):
     assert {x.lang_pred for x in langid.identify(odd.limit(0).union(odd.where("lang IS NULL"))).collect()} == {"und"}
 
 
-def test_automaton_parses_greedily():
-    text = "abracadabra"
-    p = langid.CrossParser((("x", text),))
-
-    def brute(t):
-        n = i = 0
-        while i < len(t):
-            k = 1
-            while i + k <= len(t) and t[i : i + k] in text:
-                k += 1
-            n, i = n + 1, i + max(k - 1, 1)
-        return n
-
-    for t in ("abracadabra", "cadab", "braabra", "acadabracad", "bbbb"):
-        assert abs(int(p.phrases([t])[0, 0]) - brute(t)) <= 1
+def brute_phrases(t, text):
+    n = i = 0
+    while i < len(t):
+        k = 1
+        while i + k <= len(t) and t[i : i + k] in text:
+            k += 1
+        n, i = n + 1, i + max(k - 1, 1)
+    return n
+
+
+def test_automaton_parses_greedily(docs):
+    p = langid.CrossParser((("x", b"abracadabra"),))
+    for t in (b"abracadabra", b"cadab", b"braabra", b"acadabracad", b"bbbb", b"axyab", b"zz", b""):
+        assert int(p.phrases([t])[0, 0]) == brute_phrases(t, b"abracadabra")
+    trained = langid.sample(docs)
+    p = langid.CrossParser(tuple(sorted(trained.items())))
+    # whole texts over many segments: ordinary ones, a copy of training text (phrases across segments), repeats, foreign bytes
+    texts = [langid.letters(t)[:5000] for t in list(texts_of(docs).values())[:40]]
+    texts += [trained["en"][100:4000], trained["en"][:1500] * 2, b"the " * 700, "\u03b1\u03b2".encode() * 900, trained["de"][:2000] + b"\xff" + trained["de"][500:3000]]
+    got = p.phrases(texts)
+    for i, t in enumerate(texts):
+        assert got[i].tolist() == [brute_phrases(t, text) for _, text in sorted(trained.items())], i
+
+
+def test_languages_of_six_scripts(spark):
+    r = np.random.default_rng(6)
+    scripts = {"la": (97, 26), "cy": (0x430, 32), "gr": (0x3B1, 25), "ge": (0x10D0, 33), "zh": (0x4E00, 2000), "ko": (0xAC00, 2000), "hi": (0x905, 60)}
+    rows = [(i, " ".join("".join(chr(lo + min(int(r.integers(n)), int(r.integers(n)))) for _ in range(5)) for _ in range(60)), lang) for i, (lang, (lo, n)) in enumerate([*scripts.items()] * 40)]
+    rows = [x for x in rows if x[2] != "hi" or x[0] < 100]  # one language is rare
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x.doc_id: x.lang_pred for x in langid.identify(d).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
 
 
 def pii_bases(t):
