@@ -23,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import blocks_for, checkpointed, give_back, mix64, small_batches, split_by_bucket, text_bytes, u64
@@ -438,7 +439,16 @@ def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """docs with one row of each component (the one with the smallest id); rows without an id stay."""
+    """docs with one row of each component, of those with its smallest id the first by hash of its text; rows without an id stay.
+
+    Only rows whose id is repeated are shuffled again, to be ranked within that id.
+    """
     found = join(docs, k, num, den, text_col, id_col)
-    lead = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_lead"), F.lit(True).alias("_first")).distinct()
-    return docs.join(lead, docs[id_col] == lead["_lead"], "left").where(F.col("_first") | F.col(id_col).isNull()).select(*(docs[c] for c in docs.columns))
+    lead = checkpointed(found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_lead")).agg(F.count(F.lit(1)).alias("_rows")))
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # the caller's names come back at the end
+    key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    rows = docs.toDF(*names)
+    alone = rows.join(lead, rows[key] == lead["_lead"], "left").where((F.col("_rows") == 1) | F.col(key).isNull())
+    rank = F.row_number().over(W.partitionBy("_lead").orderBy(F.xxhash64(text), text))
+    repeated = rows.join(lead.where("_rows > 1"), rows[key] == F.col("_lead")).withColumn("_n", rank).where("_n = 1")
+    return alone.select(*names).unionByName(repeated.select(*names)).toDF(*docs.columns)

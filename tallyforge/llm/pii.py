@@ -1,10 +1,10 @@
 """Personal data: base patterns plus a character-level bidirectional LSTM with CRF transitions.
 
-The model is trained in numpy from labelled spans: those that the base patterns find in a bounded
-sample of documents, and made ones in looser spellings. A text is covered by overlapping windows
-around every digit, at sign and bracket (no span of any kind lacks one, so elsewhere the decoded tag
-is outside by construction); the emissions of overlapping windows are averaged and one Viterbi pass
-over each joined stretch reconciles them.
+The model is trained in numpy from labelled spans: those that the base patterns find in a bounded sample of
+documents, and made ones in looser spellings. Overlapping windows cover every character of a text; where they
+overlap their emissions are averaged, and the whole text is decoded as one path: characters where no best path
+can be anything but outside (a bound on what its neighbours' transitions could gain) part it into stretches,
+which are decoded exactly, so that the result equals one undivided Viterbi pass.
 
 Defined cases: null text counts as empty; spans that tie at a start are ordered by kind; a model span
 that touches a base span, or a match that the base rules dropped, is not added; repeated rows get
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import random
 import re
+import unicodedata
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, small_batches
+from .common import hash_sample, slices, small_batches
 
 # The base patterns and their kinds in listed order.
 KINDS = ("email", "ip", "card", "phone")
@@ -32,11 +34,14 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: The bounded training sample (documents with a trigger, of ten times as many chosen by hash) and the model's sizes.
-SAMPLE_DOCS, MADE, EPOCHS, HIDDEN, EMBED, WINDOW, STRIDE = 600, 600, 12, 16, 12, 64, 32
-#: How far windows reach around a trigger, and how long a stretch for one Viterbi pass may be.
-REACH, STRETCH = 24, 4096
-TRIGGER = re.compile(r"[0-9@\[(]")
+#: The bounded training sample: documents, passages around a digit or at sign and from anywhere of each, made spans; passes over it.
+SAMPLE_DOCS, NEAR, ANYWHERE, MARGIN, MADE, EPOCHS, BATCH = 400, 2, 3, 60, 2400, 9, 64
+#: Sizes of the model, of the windows that cover a text and of those that train, and characters decoded at a time.
+HIDDEN, EMBED, WINDOW, STRIDE, TRAINED, AT_ONCE = 16, 12, 128, 104, 80, 400_000
+#: Bound of a transition score, and the margin of training: certain characters part a text.
+STRONGEST, CLEAR = 1.0, 2.5
+#: What outside gains after training: a false span in clean text costs more than a missed loose spelling.
+DOUBT = 1.5
 CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .,:;@+-_()[]{}<>/\\\"'=#%&*!?\n\t"
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 
@@ -87,6 +92,10 @@ def _emails(text: str):
         at = m.end()
 
 
+def _tanh(z: np.ndarray) -> np.ndarray:
+    return 2 / (1 + np.exp(np.minimum(-2 * z, 80))) - 1
+
+
 class Tagger:
     """BiLSTM-CRF over characters in numpy."""
 
@@ -94,13 +103,13 @@ class Tagger:
         r = np.random.default_rng(seed)
         g = lambda *s: (r.standard_normal(s) * 0.15).astype(np.float32)
         h, e = HIDDEN, EMBED
-        self.p = {"emb": g(len(CHARS) + 1, e), "out": g(2 * h, TAGS), "ob": np.zeros(TAGS, np.float32), "tr": g(TAGS, TAGS)}
+        self.p = {"emb": g(len(CHARS) + 3, e), "out": g(2 * h, TAGS), "ob": np.zeros(TAGS, np.float32), "tr": g(TAGS, TAGS)}
         for d in "fb":
             self.p |= {f"wx{d}": g(e, 4 * h), f"wh{d}": g(h, 4 * h), f"b{d}": np.zeros(4 * h, np.float32)}
-        self.code = {c: i + 1 for i, c in enumerate(CHARS)}
+        self.code = _codes()
 
-    def codes(self, s: str) -> list[int]:
-        return [self.code.get(c, 0) for c in s]
+    def codes(self, s: str) -> np.ndarray:
+        return self.code[np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
     def _lstm(self, x: np.ndarray, d: str, keep: bool):
         """x: codes (n, t). Hidden states (t, n, h) and, for training, what backward needs."""
@@ -111,27 +120,64 @@ class Tagger:
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             z = pre[x[:, k]] + hh @ p[f"wh{d}"]
             s = 1 / (1 + np.exp(-z[:, : 3 * h]))
-            i, f, o, u = s[:, :h], s[:, h : 2 * h], s[:, 2 * h :], np.tanh(z[:, 3 * h :])
+            i, f, o, u = s[:, :h], s[:, h : 2 * h], s[:, 2 * h :], _tanh(z[:, 3 * h :])
             last, prev = c, hh
             c = f * c + i * u
-            tc = np.tanh(c)
+            tc = _tanh(c)
             hs[k] = hh = o * tc
             if keep:
                 memo.append((k, i, f, o, u, tc, last, prev))
         return hs, memo
 
     def emissions(self, x: np.ndarray, keep: bool = False):
+        if not keep:
+            return self._quick(x)
         hf, mf = self._lstm(x, "f", keep)
         hb, mb = self._lstm(x, "b", keep)
         both = np.concatenate([hf, hb], 2)
-        em = both @ self.p["out"] + self.p["ob"]
-        return (em, both, mf, mb) if keep else em
+        return both @ self.p["out"] + self.p["ob"], both, mf, mb
 
-    def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradients of the mean negative CRF log-likelihood of tags y (n, t)."""
+    def _quick(self, x: np.ndarray) -> np.ndarray:
+        """Emissions without what backward needs, in place."""
+        p, h = self.p, HIDDEN
+        turn = np.concatenate([np.full(3 * h, -1, np.float32), np.full(h, -2, np.float32)])  # tanh(u) = 2 / (1 + exp(-2 u)) - 1
+        n, t = x.shape
+        xt, out = np.ascontiguousarray(x.T), np.empty((t, TAGS, n), np.float32)
+        out[:] = p["ob"][:, None]
+        z, r, e, g = (np.empty((k, n), np.float32) for k in (4 * h, 4 * h, h, TAGS))
+        for d, part in (("f", p["out"][:h]), ("b", p["out"][h:])):
+            pre = np.ascontiguousarray(((p["emb"] @ p[f"wx{d}"] + p[f"b{d}"]) * turn).T)
+            wh, part = np.ascontiguousarray((p[f"wh{d}"] * turn).T), np.ascontiguousarray(part.T)
+            hh, c = np.zeros((h, n), np.float32), np.zeros((h, n), np.float32)
+            i, f, o, u = (z[j * h : (j + 1) * h] for j in range(4))
+            for k in range(t) if d == "f" else range(t - 1, -1, -1):
+                np.take(pre, xt[k], 1, z, "clip")
+                z += np.matmul(wh, hh, r)
+                np.minimum(z, 80, z)
+                np.exp(z, z)
+                z += 1
+                np.reciprocal(z, z)
+                c *= f
+                np.multiply(i, u, e)
+                e *= 2
+                e -= i
+                c += e
+                np.multiply(c, -2, e)
+                np.minimum(e, 80, e)
+                np.exp(e, e)
+                e += 1
+                np.divide(2, e, e)
+                e -= 1
+                np.multiply(e, o, hh)
+                out[k] += np.matmul(part, hh, g)
+        return out.transpose(0, 2, 1)
+
+    def gradients(self, x: np.ndarray, y: np.ndarray, margin: float = 0.0) -> dict[str, np.ndarray]:
+        """Gradients of the mean negative CRF log-likelihood of tags y (n, t), all other tags helped by a margin."""
         p, h = self.p, HIDDEN
         em, both, mf, mb = self.emissions(x, True)
         t, n, k = em.shape
+        em = em + np.float32(margin) * (np.arange(k) != y.T[:, :, None])
         lse = lambda a, ax: (m := a.max(ax, keepdims=True)).squeeze(ax) + np.log(np.exp(a - m).sum(ax))
         al, be = np.empty_like(em), np.zeros_like(em)
         al[0] = em[0]
@@ -167,19 +213,21 @@ class Tagger:
         return g | {"emb": demb}
 
     def fit(self, windows: list[tuple[str, list[int]]], epochs: int = EPOCHS, seed: int = 7) -> Tagger:
-        x = np.array([self.codes(s.ljust(WINDOW)[:WINDOW]) for s, _ in windows])
-        y = np.array([(t + [0] * WINDOW)[:WINDOW] for _, t in windows])
-        r, m, v, step = np.random.default_rng(seed), {}, {}, 0
+        x = np.array([self.codes(s.ljust(TRAINED)[:TRAINED]) for s, _ in windows]).astype(np.int64)
+        y = np.array([(t + [0] * TRAINED)[:TRAINED] for _, t in windows])
+        r, m, v, step, steps = np.random.default_rng(seed), {}, {}, 0, epochs * -(-len(x) // BATCH)
         for _ in range(epochs):
             order = r.permutation(len(x))
-            for at in range(0, len(x), 64):
-                b = order[at : at + 64]
+            for at in range(0, len(x), BATCH):
+                b = order[at : at + BATCH]
                 step += 1
-                for k, g in self.gradients(x[b], y[b]).items():
+                rate = 0.04 * (1 - 0.9 * step / steps)
+                for k, g in self.gradients(x[b], y[b], CLEAR).items():
                     g = np.clip(g, -1, 1)
                     m[k] = 0.9 * m.get(k, 0) + 0.1 * g
                     v[k] = 0.99 * v.get(k, 0) + 0.01 * g * g
-                    self.p[k] = (self.p[k] - 0.02 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+                    self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+                np.clip(self.p["tr"], -STRONGEST, STRONGEST, out=self.p["tr"])
         return self
 
     def viterbi(self, em: np.ndarray) -> np.ndarray:
@@ -195,28 +243,76 @@ class Tagger:
             out[i - 1] = back[i, out[i]]
         return out
 
-    def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-        """(start, kind, end) of the spans that the model finds in each text."""
-        stretches = [(d, a, b) for d, t in enumerate(texts) for a, b in stretches_of(t)]
-        places = [(j, a + k) for j, (_, a, b) in enumerate(stretches) for k in range(0, max(1, b - a - WINDOW + STRIDE), STRIDE)]
-        sums = [np.zeros((b - a, TAGS), np.float32) for _, a, b in stretches]
-        hits = [np.zeros((b - a, 1), np.float32) for _, a, b in stretches]
+    def covered(self, texts: list[str], pieces: list[tuple[int, int, int]]) -> list[np.ndarray]:
+        """Emissions of pieces (text, from, to): windows begin at every STRIDE of a text, and are averaged where they overlap."""
+        coded = {d: self.codes(texts[d]) for d, _, _ in pieces}
+        places = [(j, at) for j, (_, a, b) in enumerate(pieces) for at in range(max(0, -(-(a - WINDOW + 1) // STRIDE)) * STRIDE, b, STRIDE)]
+        places.sort(key=lambda p: -min(WINDOW, len(coded[pieces[p[0]][0]]) - p[1]))  # short windows together
+        sums = [np.zeros((b - a, TAGS), np.float32) for _, a, b in pieces]
+        hits = [np.zeros((b - a, 1), np.float32) for _, a, b in pieces]
         for lo in range(0, len(places), 1024):
             part = places[lo : lo + 1024]
-            x = np.zeros((len(part), WINDOW), np.int64)
+            x = np.zeros((len(part), min(WINDOW, max(len(coded[pieces[j][0]]) - at for j, at in part))), np.int64)
             for i, (j, at) in enumerate(part):
-                d, _, b = stretches[j]
-                c = self.codes(texts[d][at : min(at + WINDOW, b)])
+                c = coded[pieces[j][0]][at : at + WINDOW]
                 x[i, : len(c)] = c
             em = self.emissions(x)
             for i, (j, at) in enumerate(part):
-                _, a, b = stretches[j]
-                n = min(at + WINDOW, b) - at
-                sums[j][at - a : at - a + n] += em[:n, i]
-                hits[j][at - a : at - a + n] += 1
+                _, a, b = pieces[j]
+                f, t = max(a, at), min(b, at + WINDOW)
+                sums[j][f - a : t - a] += em[f - at : t - at, i]
+                hits[j][f - a : t - a] += 1
+        return [s / h for s, h in zip(sums, hits)]
+
+    def _sure(self, em: np.ndarray) -> np.ndarray:
+        """Where every best path is outside: it beats each other tag by more than its neighbours' transitions could give back."""
+        tr = self.p["tr"]
+        gain = np.maximum((tr - tr[:, :1]).max(0), 0) + np.maximum((tr - tr[:1]).max(1), 0) + np.float32(1e-4)
+        return (em[:, 0] - (em[:, 1:] + gain[1:]).max(1)) > 0
+
+    def _decode(self, runs: list[tuple[np.ndarray, bool, bool]]) -> list[np.ndarray]:
+        """Best tags of stretches (emissions, whether an outside character comes before, and after), in lockstep."""
+        tr, out = self.p["tr"], [np.zeros(0, np.int64)] * len(runs)
+        order = sorted(range(len(runs)), key=lambda i: -len(runs[i][0]))
+        for lo in range(0, len(order), 4096):
+            some = order[lo : lo + 4096]
+            size = np.array([len(runs[i][0]) for i in some])
+            em = np.zeros((size[0], len(some), TAGS), np.float32)
+            for k, i in enumerate(some):
+                em[: size[k], k] = runs[i][0]
+            score = em[0] + np.where(np.array([runs[i][1] for i in some])[:, None], tr[0], np.float32(0))
+            back = np.zeros(em.shape, np.int8)
+            for t in range(1, len(em)):
+                n = int((size > t).sum())
+                s = score[:n, :, None] + tr
+                back[t, :n] = s.argmax(1)
+                score[:n] = s.max(1) + em[t, :n]
+            tag = (score + np.where(np.array([runs[i][2] for i in some])[:, None], tr[:, 0], np.float32(0))).argmax(1)
+            tags = np.zeros(em.shape[:2], np.int64)
+            for t in range(len(em) - 1, -1, -1):
+                n = int((size > t).sum())
+                tags[t, :n] = tag[:n]
+                if t:
+                    tag[:n] = np.where(size[:n] > t, back[t, np.arange(n), tag[:n]], tag[:n])
+            for k, i in enumerate(some):
+                out[i] = tags[: size[k], k]
+        return out
+
+    def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """(start, kind, end) of the spans that the model finds in each text."""
+        pieces = [(d, a, min(len(t), a + AT_ONCE)) for d, t in enumerate(texts) for a in range(0, len(t), AT_ONCE)]
+        open_: list[list] = []  # unsure stretches: text, from, emissions
+        for lo, hi in slices([b - a for _, a, b in pieces], AT_ONCE):
+            for (d, a, b), em in zip(pieces[lo:hi], self.covered(texts, pieces[lo:hi])):
+                unsure = np.concatenate([[False], ~self._sure(em), [False]])
+                edges = np.nonzero(np.diff(unsure.astype(np.int8)))[0]
+                for f, t in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                    if open_ and open_[-1][0] == d and open_[-1][1] + len(open_[-1][2]) == a + f:
+                        open_[-1][2] = np.concatenate([open_[-1][2], em[f:t]])
+                    else:
+                        open_.append([d, a + f, em[f:t].copy()])
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        for (d, a, _), s, h in zip(stretches, sums, hits):
-            tags = self.viterbi(s / h)
+        for (d, a, em), tags in zip(open_, self._decode([(em, a > 0, a + len(em) < len(texts[d])) for d, a, em in open_])):
             i = 0
             while i < len(tags):
                 if tags[i] == 0:
@@ -230,58 +326,81 @@ class Tagger:
         return out
 
 
-def stretches_of(text: str) -> list[tuple[int, int]]:
-    """Joined surroundings of all triggers, cut where they grow beyond STRETCH."""
-    out: list[tuple[int, int]] = []
-    for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and a <= out[-1][1]:
-            if b - out[-1][0] <= STRETCH:
-                out[-1] = (out[-1][0], b)
-                continue
-            a = out[-1][1]
-            if a >= b:
-                continue
-        out.append((a, b))
-    return out
+@lru_cache(maxsize=1)
+def _codes() -> np.ndarray:
+    """Input numbers by code point: listed characters, digits of any script as theirs, other letters, and the rest."""
+    code = np.zeros(0x110000, np.uint8)
+    for c in range(128, 0x20000):
+        ch = chr(c)
+        d = unicodedata.digit(ch, -1)
+        code[c] = CHARS.index(str(d)) + 1 if d >= 0 else len(CHARS) + 1 if ch.isalpha() else len(CHARS) + 2
+    code[0x20000:] = len(CHARS) + 1
+    for i, ch in enumerate(CHARS):
+        code[ord(ch)] = i + 1
+    return code
 
 
 def _made(r: random.Random) -> tuple[str, list[int]]:
-    """One made window: words around a span in a common or loose spelling, or a number that is no personal data."""
+    """One made window: words around a span in a common or loose spelling, or something that is no personal data."""
     low = "abcdefghijklmnopqrstuvwxyz"
     w = lambda a, b: "".join(r.choice(low) for _ in range(r.randint(a, b)))
+    wide = str.maketrans("0123456789", "".join(chr(0xFF10 + i) for i in range(10)))
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
-    at, dot = r.choice([("@", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", ".")])
+    names = "zero one two three four five six seven eight nine".split()
+    said = lambda k: " ".join(r.choice(names) for _ in range(k))
+    at, dot = r.choice([("@", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "."), (" at ", " dot "), (" at ", " dot "), ("{at}", "."), (" AT ", " DOT ")])
+    mail = f"{w(2, 8)}{r.choice(['.', '_', ''])}{d(r.randint(0, 2))}{at}{w(3, 9)}{dot}{r.choice(['com', 'org', 'net', 'de', 'example' + dot + 'com'])}"
+    ring = r.choice([f"+{r.randint(1, 99)} ({d(3)}) {d(3)}-{d(4)}", f"+{r.randint(1, 99)}{r.choice([' ', '-'])}{d(3)}{r.choice([' ', '-'])}{d(3)} {d(4)}", f"({d(3)}) {d(3)}-{d(4)}"])
     kind, s = r.choice([
-        (0, f"{w(2, 8)}{r.choice(['.', '_', ''])}{d(r.randint(0, 2))}{at}{w(3, 8)}{dot}{r.choice(['com', 'org', 'net', 'de'])}"),
-        (1, ".".join(str(r.randint(0, 255)) for _ in range(4))),
-        (3, f"+{r.randint(1, 99)} ({d(3)}) {d(3)}-{d(4)}"), (3, f"+{r.randint(1, 99)}{r.choice([' ', '-'])}{d(3)}{r.choice([' ', '-'])}{d(3)} {d(4)}"),
-        (None, f"{r.randint(1900, 2030)}"), (None, f"Version {r.randint(0, 9)}.{r.randint(0, 20)}.{r.randint(0, 9)}"), (None, f"({w(2, 6)})"), (None, f"{w(2, 6)}_{d(2)} [{w(1, 4)}]"), (None, d(r.randint(1, 12))), (None, f"AKIA{w(16, 16).upper()}"), (None, "".join(r.choice("0123456789abcdef") for _ in range(20))),
+        (0, mail), (0, mail), (0, mail), (0, mail), (1, ".".join(str(r.randint(0, 255)) for _ in range(4))), (3, ring), (3, ring.translate(wide)), (3, said(r.randint(7, 10))), (2, f"{d(4)} {d(4)} {d(4)} {d(4)}".translate(wide)),
+        (None, f"{r.randint(1900, 2030)}"), (None, f"Version {r.randint(0, 9)}.{r.randint(0, 20)}.{r.randint(0, 9)}"), (None, f"({w(2, 6)})"), (None, f"{w(2, 6)}_{d(2)} [{w(1, 4)}]"), (None, d(r.randint(1, 12))), (None, f"AKIA{w(16, 16).upper()}"),
+        (None, "".join(r.choice("0123456789abcdef") for _ in range(20))), (None, f"{w(2, 6)} at {w(2, 6)} {w(2, 6)}"), (None, f"at the {w(2, 7)} of dot {w(1, 3)}"), (None, said(r.randint(1, 2))), (None, f"{d(2)}:{d(2)}"), (None, f"{d(2)}.{d(2)} {w(3, 3).upper()}"),
+        (None, f"{d(4)}-{d(2)}-{d(2)}"), (None, "| " * r.randint(2, 9)), (None, r.choice("-=*.!") * r.randint(5, 25)), (None, (w(3, 8) + r.choice([" ", ", "])) * r.randint(3, 9)), (None, (w(3, 8) + " ").capitalize() * 8),
     ])
-    before, after = " ".join(w(1, 8) for _ in range(4))[-20:] + " ", r.choice([" ", ". ", ", ", "\n"]) + " ".join(w(1, 8) for _ in range(4))
+    word = lambda: r.choice([w(1, 9), w(1, 9), r.choice(["the", "at", "of", "on", "dot", "and", "in", "to"]), w(2, 8).capitalize(), w(2, 6).upper()])
+    lead = " ".join(word() for _ in range(5))[-r.randint(8, 34) :]
+    before, after = lead + " ", r.choice([" ", ". ", ", ", "\n", "; "]) + " ".join(word() for _ in range(8))
     tags = [0] * len(before) + ([0] * len(s) if kind is None else [2 * kind + 1] + [2 * kind + 2] * (len(s) - 1)) + [0] * len(after)
-    return before + s + after, tags
+    return (before + s + after)[:TRAINED], tags[:TRAINED]
 
 
-def training_windows(texts: list[str], seed: int = 7) -> list[tuple[str, list[int]]]:
-    """Windows around the triggers of texts, tagged by the base spans, and made ones."""
-    r, out = random.Random(seed), [_made(random.Random(seed * 1000 + i)) for i in range(MADE)]
-    for t in texts:
+def training_windows(passages: list[str], seed: int = 7) -> list[tuple[str, list[int]]]:
+    """Windows of passages, tagged by the base spans, and made ones."""
+    r, out = random.Random(seed), [_made(random.Random(seed * 100_000 + i)) for i in range(MADE)]
+    for t in passages:
         tags = [0] * len(t)
         for s, k, e in base_spans(t)[0]:
             if s < e and not any(tags[s:e]):
                 tags[s:e] = [2 * k + 1] + [2 * k + 2] * (e - s - 1)
-        for a, b in stretches_of(t)[:8]:  # more windows of one text teach little
-            a = max(0, a - r.randint(0, 8))
-            out.append((t[a : min(b, a + WINDOW)], tags[a : min(b, a + WINDOW)]))
+        a = r.randint(0, max(0, len(t) - TRAINED))
+        out.append((t[a : a + TRAINED], tags[a : a + TRAINED]))
     return out
 
 
+def passages(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """NEAR passages around digits and at signs of about SAMPLE_DOCS documents that have some, and ANYWHERE passages of as many others."""
+    whole = docs.select(F.col(text_col).alias("t")).where(F.length("t") > 0)
+    signs = hash_sample(whole.where(F.col("t").rlike("[0-9@]")), SAMPLE_DOCS, "t").select("t", F.lit(True).alias("near"))
+
+    def choose(batches):
+        for b in batches:
+            out = []
+            for t, near in zip(b.column("t").to_pylist(), b.column("near").to_pylist()):
+                r = random.Random(zlib.crc32(t.encode("utf-8", "replace")))
+                at = [m.start() for m in re.finditer("@|[0-9]+", t)] if near else []
+                at = r.sample(at, min(NEAR, len(at))) if near else [r.randrange(len(t)) for _ in range(ANYWHERE)]
+                out += [t[max(0, a - MARGIN) : a + MARGIN] for a in at]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["p"])
+
+    both = signs.unionByName(hash_sample(whole, SAMPLE_DOCS, "t").select("t", F.lit(False).alias("near")))
+    return sorted({r["p"] for r in small_batches(both).mapInArrow(choose, "p string").collect()})
+
+
 def train(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray]:
-    """Parameters learned from at most SAMPLE_DOCS documents' labelled spans and MADE made ones."""
-    sample = hash_sample(docs, 10 * SAMPLE_DOCS, *docs.columns).select(F.substring(text_col, 1, 20_000).alias("t"))
-    rows = sample.where(F.col("t").rlike("[0-9@]")).orderBy(F.xxhash64("t"), "t").limit(SAMPLE_DOCS).collect()
-    return Tagger().fit(training_windows([r["t"] for r in rows])).p
+    """Parameters learned from the passages of a bounded sample and MADE made spans."""
+    tagger = Tagger().fit(training_windows(passages(docs, text_col)))
+    tagger.p["ob"][0] += DOUBT
+    return tagger.p
 
 
 @lru_cache(maxsize=1)
@@ -300,7 +419,7 @@ def spans_of(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
         base, bad = base_spans(text)
         base.sort()
         taken = [(s, e) for s, _, e in base] + bad
-        more = [x for x in found if x[2] - x[0] >= 6 and not any(s < x[2] and x[0] < e for s, e in taken)]
+        more = [x for x in found if not any(s < x[2] and x[0] < e for s, e in taken)]
         out.append((base, sorted(base + more)))
     return out
 

@@ -1,8 +1,8 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches (native).
 
-Each (lang, source) group gets KLL sketches of its documents' features; sketches of small groups
-give way to the merge of all sketches. A document that no base rule rejects is rejected when a
-feature lies far outside its group's quartiles. Nothing but DataFrame functions runs here.
+Each (lang, source) group gets KLL sketches of its documents' features; the quantiles of a group are
+bent towards those of the merge of all sketches by how few rows it has. A document that no base rule
+rejects is rejected when a feature lies far outside its group's quartiles. Nothing but DataFrame functions runs here.
 
 Defined cases: null or blank text has no words and fails the base rules; null lang or source forms
 a group of its own; repeated rows are judged alike; an empty table gives an empty result; extra
@@ -19,11 +19,12 @@ from .sqlkit import SPACE_CHARS, let, words
 
 #: Fixed value: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
-#: Features with (least spread, sides): a value is rejected beyond FENCE spreads from the quartiles.
-FEATURES = {"mean_word": (1.5, "both"), "symbol_rate": (0.05, "high"), "dup_line_rate": (0.1, "high"), "repeat_rate": (0.05, "high")}
-FENCE = 6.0
-#: Groups with fewer judged documents use the thresholds of all documents.
-LEAST_ROWS = 100
+#: Features with (side, room): a value is rejected beyond the group's quartiles by more than FENCE times its own middle
+#: half (which a quarter of junk cannot move) and `room`, what short clean texts need.
+FEATURES = {"mean_word": ("both", 0.75), "symbol_rate": ("high", 0.1), "dup_line_rate": ("high", 0.2), "repeat_rate": ("high", 0.1)}
+FENCE = 3.0
+#: A group of n rows bends its quantiles towards those of all rows by the weight PRIOR / (n + PRIOR).
+PRIOR = 100.0
 SKETCH_K = 800
 #: Groups (about 100 bytes each) that may be broadcast; with more, the thresholds are joined by shuffle.
 BROADCAST_GROUPS = 50_000
@@ -77,7 +78,8 @@ def features(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     return docs.withColumns({"_q": let(raw, derived), "_l": F.col(lang_col), "_src": F.col(source_col)})
 
 
-def _quartiles(sketch: Column) -> Column:
+def _quantiles(sketch: Column) -> Column:
+    """The quartiles of a sketch; null where it is empty."""
     return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.75))))
 
 
@@ -85,18 +87,18 @@ def thresholds(feats: DataFrame) -> DataFrame:
     """(lang, source, _t): the accepted range of each feature, a row per group.
 
     Sketches are built map-side per group and merged; the merge of all groups (one row of eight
-    numbers) comes to the driver as the fallback of small groups.
+    numbers) comes to the driver.
     """
     ok = ~F.col("_q.base_failed")  # a condition inside the aggregates: a filter would evaluate the features once more
     sketches = feats.groupBy("_l", "_src").agg(F.count_if(ok).alias("n"), *(F.kll_sketch_agg_double(F.when(ok, F.col(f"_q.{f}")), SKETCH_K).alias(f) for f in FEATURES))
     sketches = checkpointed(sketches)  # sketches draw random bits: they are made once
-    every = sketches.agg(*(F.kll_merge_agg_double(f, SKETCH_K).alias(f) for f in FEATURES)).select(*(_quartiles(F.col(f)).alias(f) for f in FEATURES)).first()
-    out = []
-    for f, (least, side) in FEATURES.items():
-        fall = F.array(*(F.lit(float(x)) for x in (every[f] or [0.0, 0.0])))
-        q = F.when(F.col("n") >= LEAST_ROWS, _quartiles(F.col(f))).otherwise(fall)
-        spread = F.greatest(F.get(q, F.lit(1)) - F.get(q, F.lit(0)), F.lit(least)) * FENCE
-        out += [(F.get(q, F.lit(0)) - spread if side == "both" else F.lit(float("-inf"))).alias(f"{f}_lo"), (F.get(q, F.lit(1)) + spread).alias(f"{f}_hi")]
+    every = sketches.agg(*(F.kll_merge_agg_double(f, SKETCH_K).alias(f) for f in FEATURES)).select(*(_quantiles(F.col(f)).alias(f) for f in FEATURES)).first()
+    own, out = F.col("n") / (F.col("n") + PRIOR), []
+    for f, (side, room) in FEATURES.items():
+        fall = [float(x) for x in (every[f] or [0.0] * 2)]
+        q1, q3 = (F.coalesce(F.get(_quantiles(F.col(f)), F.lit(i)) * own + F.lit(x) * (1 - own), F.lit(x)) for i, x in enumerate(fall))
+        wide = (q3 - q1) * FENCE + room
+        out += [(q1 - wide if side == "both" else F.lit(float("-inf"))).alias(f"{f}_lo"), (q3 + wide).alias(f"{f}_hi")]
     return sketches.select(F.col("_l").alias("_lang"), F.col("_src").alias("_source"), F.struct(*out).alias("_t"))
 
 
