@@ -473,7 +473,7 @@ def test_lm_words_share_one(docs):
     starts = np.cumsum(size) - size
     counts = np.bincount(ids, minlength=len(tok.token_bytes))
     speller = lm.Speller(counts, classes.n).fit(ids, starts[far], size[far], cls[far], steps=60)
-    t = np.random.default_rng(0).standard_normal((3, lm.WIDTH)).astype(np.float32)
+    t = np.random.default_rng(0).standard_normal((3, lm.LETTERS)).astype(np.float32)
     for row in t:  # the adaptive softmax of all subwords and the stop
         y = np.arange(len(counts) + 1)
         assert abs(np.exp(speller.logp(np.repeat(row[None], len(y), 0), y)).sum() - 1) < 1e-3
