@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 import re
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -91,14 +92,19 @@ def upsert(ledger: DataFrame, batch: DataFrame, now: str) -> DataFrame:
     return merge(ledger, batch, "transaction_id", [Arm(waiting, refresh), Arm(~F.coalesce(waiting, F.lit(False)), again)], insert)
 
 
-def write_batch(store: LedgerStore, s: Settings, ledger: str = "webhooks", dlq: str = "webhooks_dlq") -> Callable[[DataFrame, int], None]:
-    """The sink of one micro-batch. A batch that was applied before a failure is not applied again."""
+def write_batch(store: LedgerStore, s: Settings, ledger: str = "webhooks", dlq: str = "webhooks_dlq", stream: str = "default") -> Callable[[DataFrame, int], None]:
+    """The sink of one micro-batch of a stream, named by its checkpoint.
+
+    The number of the last batch of each stream is noted with the ledger's own pointer, in the same step as its rows: a batch
+    that was applied before a failure is not applied again, and a new checkpoint or another stream starts its own count.
+    Dead letters are written first; they are unique by content, so a repetition adds none.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         store.create(ledger, S.LEDGER)
         store.create(dlq, S.DLQ)
-        done = store._read(ledger, "applied.json") or {"batch": -1}
-        if batch_id <= done["batch"]:
+        done = store.note(ledger)
+        if batch_id <= done.get(stream, -1):
             return
         batch.persist()
         try:
@@ -106,21 +112,36 @@ def write_batch(store: LedgerStore, s: Settings, ledger: str = "webhooks", dlq:
             check(g, s)
             log.info("batch %s: %s", batch_id, {k: v for k, v in g.items() if k != "schema_ids"})
             now = s.now or time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
-            if g["rejected"] < g["rows"]:
-                store.commit(ledger, upsert(store.read(ledger), newest(batch), now))
             if g["rejected"]:
                 store.commit(dlq, D.append(store.read(dlq), batch.where(~D.accepted())))
-            store._write({"batch": batch_id}, ledger, "applied.json")
+            if g["rejected"] < g["rows"]:
+                store.commit(ledger, upsert(store.read(ledger), newest(batch), now), note=done | {stream: batch_id})
         finally:
             batch.unpersist()
 
     return run
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that a checkpoint folder belongs to, kept in it; a renewed folder has a new one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/tallyforge-stream")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        made = fs.create(path, False)
+        made.write(bytearray(uuid.uuid4().hex.encode()))
+        made.close()
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def start(frames: DataFrame, store: LedgerStore, checkpoint: str, s: Settings | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Start the stream: event frames to ledger and dead letters. Batch size is limited at the source."""
     s = s or Settings()
-    return events(frames).writeStream.foreachBatch(write_batch(store, s)).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "60 seconds"})).start()
+    sink = write_batch(store, s, stream=stream_name(frames.sparkSession, checkpoint))
+    return events(frames).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "60 seconds"})).start()
 
 
 def append_stream(frames: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

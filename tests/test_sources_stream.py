@@ -70,9 +70,10 @@ def test_stream_equals_batch_and_replays_once(spark, tmp_path):
     assert {k: (r.amount_paise, r.reconciliation_status) for k, r in rows.items()} == {"tx_1": (200, S.PENDING), "tx_2": (-5, S.REVERSAL)}
     assert store.read("webhooks_dlq").count() == 2  # the zero amount and the broken frame
     batch = ingest.events(spark.read.parquet(str(tmp_path / "in")))
-    ingest.write_batch(store, s)(batch, 0)  # the same batch again changes nothing
+    again = ingest.write_batch(store, s, stream=ingest.stream_name(spark, str(tmp_path / "cp")))
+    again(batch, 0)  # the same batch again changes nothing
     assert store.read("webhooks").agg(F.sum("duplicate_mutation_count")).first()[0] == 0
-    ingest.write_batch(store, s)(batch, 1)
+    again(batch, 1)
     after = {r.transaction_id: r for r in store.read("webhooks").collect()}
     assert after["tx_2"].duplicate_mutation_count == 1 and after["tx_1"].duplicate_mutation_count == 0  # tx_1 still waits
 
@@ -160,13 +161,55 @@ def test_daily(spark, tmp_path):
         daily.validate_file(spark, str(tmp_path / "settlement_20250613.csv"), str(tmp_path), "2025-06-13", o)
 
 
+def test_streams_and_crashes_lose_nothing(spark, tmp_path, monkeypatch):
+    """A second stream, a renewed checkpoint and a crash after each write: every event is applied once."""
+    frame = lambda i: (bytearray(wire.encode_event(EVENT | {"transaction_id": f"tx_{i}"})),)
+    batch = lambda i: ingest.events(spark.createDataFrame([frame(i), (bytearray(b"xx"),)], "value binary"))
+    settings = ingest.Settings(now="2025-06-10 12:00:00")
+    rows = lambda store: sorted((r.transaction_id, r.duplicate_mutation_count) for r in store.read("webhooks").collect())
+    store = LedgerStore(spark, str(tmp_path / "a"))
+    ingest.write_batch(store, settings, stream="one")(batch(1), 0)
+    ingest.write_batch(store, settings, stream="two")(batch(2), 0)
+    ingest.write_batch(store, settings, stream="one")(batch(3), 1)
+    ingest.write_batch(store, settings, stream="one")(batch(3), 1)
+    assert rows(store) == [("tx_1", 0), ("tx_2", 0), ("tx_3", 0)] and store.note("webhooks") == {"one": 1, "two": 0} and store.read("webhooks_dlq").count() == 1
+    a, b = ingest.stream_name(spark, str(tmp_path / "c1")), ingest.stream_name(spark, str(tmp_path / "c2"))
+    assert a != b and a == ingest.stream_name(spark, str(tmp_path / "c1"))
+    whole, calls = LedgerStore._write, []
+    for crash in (1, 2, 4, 5, 6):  # after pointer writes: schema, first snapshot, both tables made, dead letters, ledger
+
+        def write(self, value, *parts, **how):
+            whole(self, value, *parts, **how)
+            calls.append(parts)
+            if len(calls) == crash:
+                raise OSError("lost")
+
+        store = LedgerStore(spark, str(tmp_path / f"crash{crash}"))
+        calls.clear()
+        monkeypatch.setattr(LedgerStore, "_write", write)
+        try:
+            ingest.write_batch(store, settings, stream="one")(batch(1), 0)
+        except OSError:
+            pass
+        monkeypatch.setattr(LedgerStore, "_write", whole)
+        ingest.write_batch(store, settings, stream="one")(batch(1), 0)
+        assert rows(store) == [("tx_1", 0)] and store.read("webhooks_dlq").count() == 1
+    # a writer that comes second writes nothing
+    names = store._versions("webhooks", "branches", "main.json")
+    with pytest.raises(BranchError):
+        store._write({"snapshot": "x"}, "webhooks", "branches", "main.json", after=names[0] if len(names) > 1 else None)
+    assert rows(store) == [("tx_1", 0)]
+
+
 def test_signing():
     v, secret = control.Verdict, "s"
     head = control.sign(secret, 1000, b"body")
     recent = control.RecentIds()
-    check = lambda **k: control.verify(**({"secret": secret, "header": head, "body": "body", "delivery": "d", "now": 1000} | k)).verdict
+    check = lambda **k: control.verify(**({"secret": secret, "header": head, "body": "body", "delivery": "d", "now": 1000} | k))
     assert check() is v.VALID and check(secret=None) is v.NOT_CONFIGURED and check(header="") is v.MISSING_HEADER and check(delivery=None) is v.MISSING_DELIVERY_ID
     assert check(header="nonsense") is v.MALFORMED_HEADER and check(header="t=1000,v2=00") is v.UNKNOWN_VERSION and check(header="t=1000,v1=zz") is v.MALFORMED_HEADER
+    assert {check(header=h) for h in ("t=1000", "t=x,v1=00", "v1=00", "t=1000,,v1=00", "t=1000,v1", "=,", b"\xff\xfe")} == {v.MALFORMED_HEADER} and len(v) == 9
+    assert check(header=head.encode()) is v.VALID and check(header=f" {head} , v0=zz") is v.VALID and check(now=1300) is v.VALID
     assert check(now=1301) is v.EXPIRED and check(body="other") is v.BAD_SIGNATURE
     assert check(recent=recent) is v.VALID and check(recent=recent) is v.REPLAYED
     small = control.RecentIds(most=2, seconds=10)
