@@ -44,6 +44,8 @@ STRONGEST, CLEAR = 1.0, 2.5
 DOUBT = 1.5
 CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .,:;@+-_()[]{}<>/\\\"'=#%&*!?\n\t"
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
+#: The input number after a text's end, next to those of characters.
+PADDING = len(CHARS) + 3
 
 
 def luhn(digits: str) -> bool:
@@ -138,37 +140,41 @@ class Tagger:
         return both @ self.p["out"] + self.p["ob"], both, mf, mb
 
     def _quick(self, x: np.ndarray) -> np.ndarray:
-        """Emissions without what backward needs, in place."""
-        p, h = self.p, HIDDEN
-        turn = np.concatenate([np.full(3 * h, -1, np.float32), np.full(h, -2, np.float32)])  # tanh(u) = 2 / (1 + exp(-2 u)) - 1
+        """Emissions without what backward needs, in place.
+
+        A gate is (1 + tanh(z / 2)) / 2; the halves are taken into the weights, and the cell and the hidden
+        state are kept doubled. Embeddings, a one for the bias, a mark of padding and the hidden state lie
+        above each other, so that a step is one product. Padding closes all gates: a text's end does not
+        depend on the longer windows beside it.
+        """
+        p, h, e = self.p, HIDDEN, EMBED
         n, t = x.shape
-        xt, out = np.ascontiguousarray(x.T), np.empty((t, TAGS, n), np.float32)
+        xt, out = np.ascontiguousarray(x.T), np.empty((t, TAGS, n + 16), np.float32)[:, :, :n]  # 16: rows do not lie a power of two apart
         out[:] = p["ob"][:, None]
-        z, r, e, g = (np.empty((k, n), np.float32) for k in (4 * h, 4 * h, h, TAGS))
+        half = np.concatenate([np.full(3 * h, 0.5, np.float32), np.ones(h, np.float32)])
+        closed = np.concatenate([np.full(3 * h, -200, np.float32), np.zeros(h, np.float32)])
+        table = np.zeros((e + 2, PADDING + 1), np.float32)
+        table[:e, :PADDING], table[e], table[e + 1, PADDING] = p["emb"].T, 1, 1
+        fed, z, g = np.empty((e + 2 + h, n), np.float32), np.empty((4 * h, n), np.float32), np.empty((TAGS, n), np.float32)
+        seen, hh, gates = fed[: e + 2], fed[e + 2 :], z[: 3 * h]
+        i, f, o, u = (z[j * h : (j + 1) * h] for j in range(4))
+        c, tc = np.empty((h, n), np.float32), np.empty((h, n), np.float32)
         for d, part in (("f", p["out"][:h]), ("b", p["out"][h:])):
-            pre = np.ascontiguousarray(((p["emb"] @ p[f"wx{d}"] + p[f"b{d}"]) * turn).T)
-            wh, part = np.ascontiguousarray((p[f"wh{d}"] * turn).T), np.ascontiguousarray(part.T)
-            hh, c = np.zeros((h, n), np.float32), np.zeros((h, n), np.float32)
-            i, f, o, u = (z[j * h : (j + 1) * h] for j in range(4))
+            w = np.ascontiguousarray((np.concatenate([p[f"wx{d}"], p[f"b{d}"][None], closed[None], p[f"wh{d}"] / 2]) * half).T, np.float32)
+            part = np.ascontiguousarray(part.T / 2)
+            hh[:], c[:] = 0, 0
             for k in range(t) if d == "f" else range(t - 1, -1, -1):
-                np.take(pre, xt[k], 1, z, "clip")
-                z += np.matmul(wh, hh, r)
-                np.minimum(z, 80, z)
-                np.exp(z, z)
-                z += 1
-                np.reciprocal(z, z)
+                np.take(table, xt[k], 1, seen, "clip")
+                np.matmul(w, fed, z)
+                np.tanh(z, z)
+                gates += 1
                 c *= f
-                np.multiply(i, u, e)
-                e *= 2
-                e -= i
-                c += e
-                np.multiply(c, -2, e)
-                np.minimum(e, 80, e)
-                np.exp(e, e)
-                e += 1
-                np.divide(2, e, e)
-                e -= 1
-                np.multiply(e, o, hh)
+                c *= 0.5
+                i *= u
+                c += i
+                np.multiply(c, 0.5, tc)
+                np.tanh(tc, tc)
+                np.multiply(tc, o, hh)
                 out[k] += np.matmul(part, hh, g)
         return out.transpose(0, 2, 1)
 
@@ -244,31 +250,41 @@ class Tagger:
         return out
 
     def covered(self, texts: list[str], pieces: list[tuple[int, int, int]]) -> list[np.ndarray]:
-        """Emissions of pieces (text, from, to): windows begin at every STRIDE of a text, and are averaged where they overlap."""
-        coded = {d: self.codes(texts[d]) for d, _, _ in pieces}
-        places = [(j, at) for j, (_, a, b) in enumerate(pieces) for at in range(max(0, -(-(a - WINDOW + 1) // STRIDE)) * STRIDE, b, STRIDE)]
-        places.sort(key=lambda p: -min(WINDOW, len(coded[pieces[p[0]][0]]) - p[1]))  # short windows together
-        sums = [np.zeros((b - a, TAGS), np.float32) for _, a, b in pieces]
-        hits = [np.zeros((b - a, 1), np.float32) for _, a, b in pieces]
-        for lo in range(0, len(places), 1024):
-            part = places[lo : lo + 1024]
-            x = np.zeros((len(part), min(WINDOW, max(len(coded[pieces[j][0]]) - at for j, at in part))), np.int64)
-            for i, (j, at) in enumerate(part):
-                c = coded[pieces[j][0]][at : at + WINDOW]
-                x[i, : len(c)] = c
-            em = self.emissions(x)
-            for i, (j, at) in enumerate(part):
-                _, a, b = pieces[j]
-                f, t = max(a, at), min(b, at + WINDOW)
-                sums[j][f - a : t - a] += em[f - at : t - at, i]
-                hits[j][f - a : t - a] += 1
-        return [s / h for s, h in zip(sums, hits)]
+        """Emissions of pieces (text, from, to): windows begin at every STRIDE of a text, and are averaged where they overlap.
+
+        A text is followed by spaces, as in training, so that its end is read alike whatever lies beside it.
+        """
+        firsts = [max(0, -(-(a - WINDOW + 1) // STRIDE)) * STRIDE for _, a, _ in pieces]
+        lasts = [(b - 1) // STRIDE * STRIDE + WINDOW for _, _, b in pieces]
+        after = " " * (WINDOW - STRIDE)
+        coded = [self.codes((texts[d][a:b] + (after if b > len(texts[d]) else ""))[: b - a]) for (d, _, _), a, b in zip(pieces, firsts, lasts)]
+        base = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)
+        flat = np.concatenate([*coded, np.full(WINDOW, PADDING, np.uint8)])
+        starts = [np.arange(lo, lo + b - first, STRIDE) for lo, first, (_, _, b) in zip(base, firsts, pieces)]
+        ends = [np.minimum(s + WINDOW, hi) for s, hi in zip(starts, base[1:])]
+        start, end = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (starts, ends))
+        order = np.argsort(start - end, kind="stable")  # windows of equal length together
+        start, end = start[order], end[order]
+        hits = np.cumsum(np.bincount(start, minlength=len(flat) + 1) - np.bincount(end, minlength=len(flat) + 1))
+        sums = np.zeros((len(flat), TAGS), np.float32)
+        for lo in range(0, len(start), 1024):
+            s, t = start[lo : lo + 1024], end[lo : lo + 1024]
+            at = s[:, None] + np.arange((t - s).max())
+            em = self.emissions(np.where(at < t[:, None], flat[np.minimum(at, len(flat) - 1)], PADDING).astype(np.int64))
+            em = np.ascontiguousarray(em.transpose(1, 0, 2))
+            for x, f, e in zip(em, s.tolist(), t.tolist()):
+                sums[f:e] += x[: e - f]
+        sums /= np.maximum(hits[: len(flat)], 1).astype(np.float32)[:, None]
+        return [sums[lo + a - first : lo + b - first] for lo, first, (_, a, b) in zip(base.tolist(), firsts, pieces)]
 
     def _sure(self, em: np.ndarray) -> np.ndarray:
         """Where every best path is outside: it beats each other tag by more than its neighbours' transitions could give back."""
         tr = self.p["tr"]
         gain = np.maximum((tr - tr[:, :1]).max(0), 0) + np.maximum((tr - tr[:1]).max(1), 0) + np.float32(1e-4)
-        return (em[:, 0] - (em[:, 1:] + gain[1:]).max(1)) > 0
+        most = em[:, 1] + gain[1]
+        for k in range(2, TAGS):
+            np.maximum(most, em[:, k] + gain[k], out=most)
+        return em[:, 0] - most > 0
 
     def _decode(self, runs: list[tuple[np.ndarray, bool, bool]]) -> list[np.ndarray]:
         """Best tags of stretches (emissions, whether an outside character comes before, and after), in lockstep."""

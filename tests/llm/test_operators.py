@@ -230,6 +230,8 @@ def test_pii_bases_and_tagger(odd, docs):
                     elif k:
                         want[-1][2] = i + 1
             assert g == [tuple(w) for w in want]
+    alone = [tagger.spans([t])[0] for t in texts]
+    assert alone == tagger.spans(texts)  # a text is read alike whatever lies beside it
     assert tagger.spans(["write to john {at} example.org now"])[0]  # neither digit nor at sign
     for t in ("a@b.c+d@e.f+g@h.i", "a@b.c@d.e", "1.2.3.4.5.6.7.8"):
         assert [x for x in pii.base_spans(t)[0] if x[1] < 2] == [x for x in pii_bases(t) if x[1] < 2]
