@@ -43,11 +43,13 @@ def give_back() -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names; only where it names none (tests), set one."""
+    """Use the shared folder that the cluster names; only a local master (tests) gets one of its own, any other must name one."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
