@@ -328,10 +328,13 @@ def events_windows(spark, sf):
 
 
 def _shared(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below the checkpoint folder where the cluster names one."""
+    """A new folder that driver and executors share, below the checkpoint folder; only a local master may name none."""
     import uuid
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyforge-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir names no folder that the driver and the executors share")
+    shared = shared or tempfile.mkdtemp(prefix="tallyforge-")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -225,3 +225,18 @@ def test_journal(tmp_path):
     assert json.loads((tmp_path / "corrections.jsonl").read_text())["reason"] == "why"
     (tmp_path / "files.json").write_text("broken")
     assert control.FileRegistry(tmp_path / "files.json").load() == {}
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tallyforge.plans import registry
+
+    on = lambda master, folder: SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=lambda key, other=None: folder))
+    assert registry._shared(on("spark://host:7077", "/shared/")).startswith("/shared/")
+    assert registry._shared(on("local[2]", None))
+    try:
+        registry._shared(on("spark://host:7077", None))
+    except RuntimeError:
+        return
+    raise AssertionError("a cluster without a shared folder was accepted")
