@@ -31,4 +31,13 @@ reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.a, reac
 SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id FROM reach d LEFT JOIN sizes USING (doc_id) GROUP BY 1
 """
 
-SQL = {"op2_repeats": OP2, "op9_jaccard": OP9}
+OP13 = f"""
+WITH line AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents),
+keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS k FROM line),
+common AS (SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT doc_id, p, line, common.k IS NOT NULL AND doc_id IS DISTINCT FROM holder AS gone FROM keyed LEFT JOIN common USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY 1
+"""
+
+SQL = {"op2_repeats": OP2, "op9_jaccard": OP9, "op13_lines": OP13}

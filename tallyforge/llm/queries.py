@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, jaccard, langid, lm, packing, pii, quality, repeats, secrets
+from . import ann, bpe, jaccard, langid, lines, lm, packing, pii, quality, repeats, secrets
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm": op8_lm,
         "op9_jaccard": op9_jaccard,
         "op10_packing": op10_packing,
+        "op13_lines": op13_lines,
     }
 
 
