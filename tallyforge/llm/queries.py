@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, branches, jaccard, langid, lines, lm, packing, pii, quality, repeats, secrets
+from . import ann, bpe, branches, jaccard, langid, lines, lm, packing, pii, quality, repeats, secrets, whiten
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return branches.report(table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm": op8_lm,
         "op9_jaccard": op9_jaccard,
         "op10_packing": op10_packing,
+        "op11_whiten": op11_whiten,
         "op12_merge": op12_merge,
         "op13_lines": op13_lines,
     }
