@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, checkpointed, stored, text_bytes
+from .common import blocks_for, bucketed, checkpointed, stored, text_bytes
 
 #: Rows are dealt to this many buckets of the tree at most, so a list of buckets has a bounded size.
 BUCKETS = 4096
@@ -121,10 +121,16 @@ def _merged_leaf(pair: Column, y: Column) -> Column:
     return F.struct(line.alias("line"), after.alias("after"), line_kind.alias("k"), after_kind.alias("j"))
 
 
-def merge(base: DataFrame, left: DataFrame, right: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Each key that any version has: key, present, the columns, lines (array<string>; both null where the merged row is absent), COUNTS."""
+def merge(base: DataFrame, left: DataFrame, right: DataFrame, key: list[str], columns: list[str], new: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Each key that any version has: key, present, the columns, lines (array<string>; both null where the merged row is absent), COUNTS.
+
+    `new` may hold the rows of left and right that the base lacks, so that putting them in does not cost left and right their
+    partitioning; left and right then have none of their own.
+    """
     versions = {s: v.select(*key, *columns, "leaves") for s, v in zip(SIDES, (base, left, right))}
-    trees = stored(reduce(DataFrame.unionByName, [tree(v, key, columns).withColumn("side", F.lit(s)) for s, v in versions.items()]), "trees")
+    added = dict(zip(SIDES[1:], [v.select(*key, *columns, "leaves") for v in new or (left, right)]))
+    parts = [*versions.items(), *(added.items() if new else ())]
+    trees = stored(reduce(DataFrame.unionByName, [tree(v, key, columns).withColumn("side", F.lit(s)) for s, v in parts]), "trees")
     need = checkpointed(needs(trees, key))
     zero = F.lit(0).cast("long")
     of_kind = lambda kinds, i: F.size(F.filter(kinds, lambda k: k == i)).cast("long")
@@ -159,9 +165,9 @@ def merge(base: DataFrame, left: DataFrame, right: DataFrame, key: list[str], co
     )
 
     # rows that the base lacks: the one branch's, or what both agree on
-    new = need.where("NOT in_base")
-    whole = lambda s, which: versions[s].join(new.where(which).select(*key).hint("merge"), key).select(*key, F.lit(True).alias("present"), *columns, flat(F.col("leaves")).alias("lines"), *only("n_clean"))
-    clash = new.where("in_left AND in_right AND NOT same").select(*key, F.lit(False).alias("present"), *[F.lit(None).cast("string").alias(c) for c in columns], F.lit(None).cast("array<string>").alias("lines"), *only("n_insert_insert"))
+    fresh = need.where("NOT in_base")
+    whole = lambda s, which: added[s].join(fresh.where(which).select(*key).hint("merge"), key).select(*key, F.lit(True).alias("present"), *columns, flat(F.col("leaves")).alias("lines"), *only("n_clean"))
+    clash = fresh.where("in_left AND in_right AND NOT same").select(*key, F.lit(False).alias("present"), *[F.lit(None).cast("string").alias(c) for c in columns], F.lit(None).cast("array<string>").alias("lines"), *only("n_insert_insert"))
     return reduce(DataFrame.unionByName, [old, whole("left", "in_left AND (same OR NOT in_right)"), whole("right", "in_right AND NOT in_left"), clash])
 
 
@@ -175,35 +181,41 @@ def _code(branch: str, name: Column) -> Column:
 
 
 def base_version(docs: DataFrame, parts: int) -> DataFrame:
-    """documents as a version, dealt by key. Nulls become empty. The key is the id as text and a hash of the row, so that rows which
-    share an id but differ are merged one by one; equal rows are one."""
+    """documents as a version, in buckets of the key. Nulls become empty. The key is the id as text and a hash of the row, so that rows
+    which share an id but differ are merged one by one; equal rows are one."""
     text, lang, source = (F.coalesce(c, F.lit("")) for c in ("text", "lang", "source"))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64(text, F.lit(0), lang, F.lit(0), source).alias("origin"), lang.alias("lang"), source.alias("source"), text.alias("text"))
-    one = rows.repartition(parts, *KEY).dropDuplicates(KEY)
+    one = bucketed(rows.repartition(parts, *KEY).dropDuplicates(KEY), "base_version", parts, *KEY)
     return one.select(*KEY, *COLUMNS, F.transform(F.split("text", "\n", -1), lambda x: _leaf(x, F.lit(None).cast("string"))).alias("leaves"))
 
 
-def branch(base: DataFrame, name: str, shift: int, parts: int) -> DataFrame:
-    """A branch of base_version(): its rows, columns and lines changed by code, and the rows that it adds under the id `shift` - id.
-
-    A row without id adds none. Rows of one id add one row (the least lang and source).
-    """
+def branch(base: DataFrame, name: str) -> DataFrame:
+    """A branch of base_version(): its rows, columns and lines dropped and changed by code."""
     codes = F.transform("leaves", lambda x, i: _code(name, i.cast("string")))
     edit = lambda v, c: F.when(c == 1, F.concat(v, F.lit("!"))).when(c == 2, F.concat(v, F.lit("?")))
     change = lambda x, c: _leaf(F.when(c == 0, None).otherwise(F.coalesce(edit(x["line"], c), x["line"])), F.when(c == 3, "!").when(c == 4, "?"))
     cell = lambda c: F.when(_code(name, F.lit(c)) == 0, "").otherwise(F.coalesce(edit(F.col(c), _code(name, F.lit(c))), F.col(c)))
+    return base.where(_code(name, F.lit("row")) != 0).select(*KEY, *[cell(c).alias(c) for c in COLUMNS], F.zip_with("leaves", codes, change).alias("leaves"))
+
+
+def added_rows(base: DataFrame, name: str, shift: int) -> DataFrame:
+    """The rows that a branch of base_version() adds, under the id `shift` - id. A row without id adds none; rows of one id add one row
+    (the least lang and source)."""
     row = _code(name, F.lit("row"))
-    kept = base.where(row != 0).select(*KEY, *[cell(c).alias(c) for c in COLUMNS], F.zip_with("leaves", codes, change).alias("leaves"))
-    added = base.where((F.col("id") != "") & row.isin(3, 4)).select((F.lit(shift) - F.col("id").cast("long")).cast("string").alias("id"), F.struct(*COLUMNS, F.when(row == 3, "!").otherwise("?").alias("line")).alias("v"))
-    added = added.groupBy("id").agg(F.min("v").alias("v")).select("id", F.lit(0).cast("long").alias("origin"), *[F.col("v")[c].alias(c) for c in COLUMNS], F.array(_leaf(F.col("v")["line"], F.lit(None).cast("string"))).alias("leaves"))
-    return kept.unionByName(added.repartition(parts, *KEY))
+    rows = base.where((F.col("id") != "") & row.isin(3, 4)).select((F.lit(shift) - F.col("id").cast("long")).cast("string").alias("id"), F.struct(*COLUMNS, F.when(row == 3, "!").otherwise("?").alias("line")).alias("v"))
+    one = rows.groupBy("id").agg(F.min("v").alias("v"))
+    return one.select("id", F.lit(0).cast("long").alias("origin"), *[F.col("v")[c].alias(c) for c in COLUMNS], F.array(_leaf(F.col("v")["line"], F.lit(None).cast("string"))).alias("leaves"))
 
 
 def merge_documents(docs: DataFrame) -> DataFrame:
-    """The branches L and R of documents merged: doc_id, lang, source, text and the counts of each id ever present (absent rows: nulls)."""
+    """The branches L and R of documents merged: doc_id, lang, source, text and the counts of each id ever present (absent rows: nulls).
+
+    The base is shuffled and written once; the branches are derived from its buckets where they lie.
+    """
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks_for(text_bytes(docs)))
     base = base_version(docs, parts)
-    done = merge(base, branch(base, "L", -1, parts), branch(base, "R", -2, parts), KEY, COLUMNS)
+    new = (added_rows(base, "L", -1), added_rows(base, "R", -2))
+    done = merge(base, branch(base, "L"), branch(base, "R"), KEY, COLUMNS, new)
     text = F.when(F.col("present"), F.array_join("lines", "\n"))
     return done.select(F.nullif("id", F.lit("")).cast("long").alias("doc_id"), *COLUMNS, text.alias("text"), *COUNTS)
 

@@ -122,6 +122,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def bucketed(df: DataFrame, name: str, parts: int, *key: str) -> DataFrame:
+    """df written below the shared checkpoint folder in `parts` buckets of the key, each one sorted file, and read again.
+
+    Frames that are derived from it row by row, and keep the key, meet each other without a shuffle or a sort.
+    """
+    import uuid
+
+    ensure_checkpoint_dir(df.sparkSession)
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()}/{table}"
+    df.repartition(parts, *key).write.format("parquet").option("path", path).bucketBy(parts, *key).sortBy(*key).saveAsTable(table)
+    out = df.sparkSession.table(table)
+    out.schema  # resolved: the catalog is not needed any more, the files stay
+    df.sparkSession.sql(f"DROP TABLE {table}")
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet below the shared checkpoint folder, and read again."""
     import uuid
