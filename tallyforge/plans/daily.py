@@ -73,12 +73,13 @@ def reconcile_batch(store: LedgerStore, settlements: DataFrame, o: Options, bran
             rows = bank.with_tolerance(folded, o.book).select("transaction_id", "settled_amount_paise", "settlement_date", "tolerance")
             numbered = statements if "statement_id" in statements.columns else statements.withColumn("statement_id", F.monotonically_increasing_id())
             numbered = numbered.persist()
-            pairs = bank.evidence(rows, numbered, lag)
             before = store.read(table, branch)
-            after = bank.demote(before, bank.missing(rows, pairs))
-            counts |= {f"bank_{r['counter']}": r["n"] for r in bank.leg_counters(before, after, bank.orphans(numbered, pairs)).collect()}
+            unproven = bank.missing(rows, numbered, lag).persist()
+            after = bank.demote(before, unproven)
+            counts |= {f"bank_{r['counter']}": r["n"] for r in bank.leg_counters(before, unproven, bank.orphans(numbered, rows, lag)).collect()}
             store.commit(table, after, branch)
             numbered.unpersist()
+            unproven.unpersist()
         if "late" in o.legs:
             days = o.late_sla_days if o.late_sla_days is not None else int(o.providers.spec(None)["late_sla_days"])
             store.commit(table, reconcile.late_sweep(store.read(table, branch), o.as_of, days), branch)

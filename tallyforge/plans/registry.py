@@ -36,10 +36,10 @@ def _merged(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.settlement_merge(D.webhooks(spark, sf), _folded(spark, sf), _book())
 
 
-def _evidence(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _bank(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The folded settlements with their tolerance, and the statements."""
     s = bank.with_tolerance(_folded(spark, sf), _book()).select("transaction_id", "settled_amount_paise", "settlement_date", "tolerance")
-    b = D.statements(spark, sf)
-    return s, b, bank.evidence(s, b, D.LAG_DAYS)
+    return s, D.statements(spark, sf)
 
 
 def settlement_decision(spark, sf):
@@ -120,24 +120,21 @@ def mismatch_spread(spark, sf):
 
 
 def bank_missing(spark, sf):
-    s, _, pairs = _evidence(spark, sf)
-    return bank.missing(s, pairs).select("transaction_id", "settled_amount_paise", "settlement_date")
+    return bank.missing(*_bank(spark, sf), D.LAG_DAYS).select("transaction_id", "settled_amount_paise", "settlement_date")
 
 
 def bank_orphans(spark, sf):
-    _, b, pairs = _evidence(spark, sf)
-    return bank.orphans(b, pairs).select("statement_id", "amount_paise", "value_date", "link_tx")
+    s, b = _bank(spark, sf)
+    return bank.orphans(b, s, D.LAG_DAYS).select("statement_id", "amount_paise", "value_date", "link_tx")
 
 
 def bank_demote(spark, sf):
-    s, _, pairs = _evidence(spark, sf)
-    return bank.demote(_merged(spark, sf), bank.missing(s, pairs)).groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"))
+    return bank.demote(_merged(spark, sf), bank.missing(*_bank(spark, sf), D.LAG_DAYS)).groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"))
 
 
 def bank_counters(spark, sf):
-    s, b, pairs = _evidence(spark, sf)
-    before = _merged(spark, sf)
-    return bank.leg_counters(before, bank.demote(before, bank.missing(s, pairs)), bank.orphans(b, pairs))
+    s, b = _bank(spark, sf)
+    return bank.leg_counters(_merged(spark, sf), bank.missing(s, b, D.LAG_DAYS), bank.orphans(b, s, D.LAG_DAYS))
 
 
 def residual_score(spark, sf):

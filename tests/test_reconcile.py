@@ -113,16 +113,52 @@ def test_gates():
 def test_bank_evidence_labels(spark):
     s = spark.createDataFrame([(i, a, DAY, 1) for i, a in (("same", 97640), ("late", 96460), ("back", 50000), ("debit", 70000))], "transaction_id string, settled_amount_paise long, settlement_date string, tolerance int")
     b = spark.createDataFrame([(1, 97640, DAY, None), (2, 96460, "2025-06-14", None), (3, -50000, DAY, "back"), (4, -70000, DAY, None), (5, 97640, DAY, "elsewhere")], "statement_id long, amount_paise long, value_date string, link_tx string")
-    pairs = bank.evidence(s, b, 2)
-    assert {r[0] for r in bank.missing(s, pairs).collect()} == {"late", "debit"}
-    assert {r[0] for r in bank.orphans(b, pairs).collect()} == {2, 4, 5}
+    assert {r[0] for r in bank.missing(s, b, 2).collect()} == {"late", "debit"}
+    assert {r[0] for r in bank.orphans(b, s, 2).collect()} == {2, 4, 5}
+    counters = {r["counter"]: r["n"] for r in bank.leg_counters(s.withColumn("reconciliation_status", F.lit(S.MATCHED)), bank.missing(s, b, 2), bank.orphans(b, s, 2)).collect()}
+    assert counters == {"evidence": 2, "missing": 2, "orphans": 3}
+
+
+def test_bank_evidence_of_a_million_equal_prices(spark):
+    """One hot price and one hot link: no pair rows, no task with the hot key, right answers beside it."""
+    n = 1_000_000
+    s = spark.range(n).select(F.concat(F.lit("t"), "id").alias("transaction_id"), F.when(F.col("id") < n - 3, 9900).otherwise(F.col("id")).cast("long").alias("settled_amount_paise"), F.lit(DAY).alias("settlement_date"), F.lit(1).alias("tolerance"))
+    b = spark.range(n).select(F.col("id").alias("statement_id"), F.when(F.col("id") < n - 2, 9901).otherwise(F.col("id") + 1).cast("long").alias("amount_paise"), F.lit(DAY).alias("value_date"), F.when(F.col("id") % 3 == 0, F.lit("t5")).alias("link_tx"))
+    b = b.unionByName(spark.createDataFrame([(n, 1, None, None), (n + 1, None, DAY, None), (n + 2, 5, DAY, "nobody")], "statement_id long, amount_paise long, value_date string, link_tx string"))
+    flagged = bank.with_evidence(s, b, 2)
+    assert {r[0] for r in flagged.where("NOT evidence").collect()} == {f"t{n - 3}"} and flagged.count() == n
+    used = bank.with_use(b, s, 2)
+    assert sorted(r[0] for r in used.where("NOT used").collect()) == [n, n + 1, n + 2]
+    plan = flagged._jdf.queryExecution().executedPlan()
+    assert "Cartesian" not in plan.toString()
+
+
+def test_bank_evidence_equals_every_pair(spark):
+    """Random books against all pairs in plain Python."""
+    import random
+    from datetime import date, timedelta
+
+    r = random.Random(4)
+    day = lambda: None if r.random() < 0.05 else (date(2025, 6, 1) + timedelta(r.randrange(8))).isoformat()
+    s = [(f"t{i}", r.choice([None, r.randrange(-500, 500)]) if r.random() < 0.1 else r.randrange(-500, 500), day(), r.choice([0, 1, 7, 100])) for i in range(150)]
+    b = [(i, r.randrange(-600, 600), day(), r.choice([None, None, f"t{r.randrange(170)}"])) for i in range(150)]
+    near = lambda x, y: x[1] is not None and x[2] and y[2] and y[3] is None and abs(x[1] - y[1]) <= x[3] and abs((date.fromisoformat(x[2]) - date.fromisoformat(y[2])).days) <= 2
+    links = lambda x, y: y[3] == x[0]
+    sd = spark.createDataFrame(s, "transaction_id string, settled_amount_paise long, settlement_date string, tolerance int")
+    bd = spark.createDataFrame(b, "statement_id long, amount_paise long, value_date string, link_tx string")
+    assert {x[0] for x in bank.missing(sd, bd, 2).collect()} == {x[0] for x in s if not any(near(x, y) or links(x, y) for y in b)}
+    assert {x[0] for x in bank.orphans(bd, sd, 2).collect()} == {y[0] for y in b if not any(near(x, y) or links(x, y) for x in s)}
 
 
 def test_bank_join_has_no_nested_loop(spark, sf):
     from tallyforge.plans import registry
 
-    plan = registry.bank_missing(spark, sf)._jdf.queryExecution().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for query in (registry.bank_missing, registry.bank_orphans):
+        joins = [line for line in query(spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in line or "Cartesian" in line]
+        assert not any("Cartesian" in j for j in joins)
+        # the one nested loop has a side of one row: the number of all rows
+        assert all("BuildRight, Inner" in j or "BuildLeft, Inner" in j for j in joins if "NestedLoop" in j)
+        assert any("LeftSemi" in j for j in joins)  # the near ones are looked up, not paired
 
 
 def test_residual_scores():
