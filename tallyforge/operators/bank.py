@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import iso
 from ..functions.rates import MOST_TOLERANCE, RateBook
-from .merge import Arm, merge
+from .merge import Arm, changes, merge
 from .skew import flag_rows
 
 #: As wide as the widest range of amounts, so that a range touches at most two bins.
@@ -83,10 +83,18 @@ def orphans(statements: DataFrame, settlements: DataFrame, lag_days: int) -> Dat
     return with_use(statements, settlements, lag_days).where("NOT used").drop("used")
 
 
-def demote(ledger: DataFrame, unproven: DataFrame) -> DataFrame:
+def _demote_plan(unproven: DataFrame) -> tuple[DataFrame, str, list[Arm]]:
+    return unproven.select("transaction_id"), "transaction_id", [Arm(F.col("t.reconciliation_status") == S.MATCHED, {"reconciliation_status": F.lit(S.MISSING_BANK_STATEMENT)})]
+
+
+def demote(ledger: DataFrame, unproven: DataFrame, check: bool = False) -> DataFrame:
     """Matched ledger rows among the unproven settlements lose their status; nothing is inserted."""
-    hit = F.col("t.reconciliation_status") == S.MATCHED
-    return merge(ledger, unproven.select("transaction_id"), "transaction_id", [Arm(hit, {"reconciliation_status": F.lit(S.MISSING_BANK_STATEMENT)})])
+    return merge(ledger, *_demote_plan(unproven), check=check)
+
+
+def demotions(ledger: DataFrame, unproven: DataFrame, check: bool = False) -> DataFrame:
+    """Only the rows that demote() changes."""
+    return changes(ledger, *_demote_plan(unproven), check=check)
 
 
 def leg_counters(before: DataFrame, unproven: DataFrame, orphan_rows: DataFrame) -> DataFrame:

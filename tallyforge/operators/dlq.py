@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.text import payload_hash
-from .merge import delete_keys, insert_new
+from .merge import delete_keys, insert_new, new_rows
 
 PAYLOAD = [f.name for f in S.DLQ.fields[:6]]
 
@@ -57,10 +57,15 @@ def stranded() -> Column:
     return _sure(F.col("transaction_id").isNotNull() & (F.col("amount_paise") <= 0) & is_reversal_word(F.col("gateway_status")))
 
 
-def replay(ledger: DataFrame, dlq: DataFrame, now: str) -> DataFrame:
-    """The ledger with the replayable rows it lacks, pending and without currency; one row for each transaction."""
+def replay_rows(ledger: DataFrame, dlq: DataFrame, now: str) -> DataFrame:
+    """The replayable rows that the ledger lacks, pending and without currency; one row for each transaction."""
     rows = dlq.where(replayable()).select(*PAYLOAD, F.lit(S.PENDING).alias("reconciliation_status"), F.lit(now).cast("timestamp").alias("ingested_at"))
-    return insert_new(ledger, rows, "transaction_id")
+    return new_rows(ledger, rows, "transaction_id")
+
+
+def replay(ledger: DataFrame, dlq: DataFrame, now: str) -> DataFrame:
+    """The ledger with replay_rows()."""
+    return ledger.unionByName(replay_rows(ledger, dlq, now), allowMissingColumns=True).select(*ledger.columns)
 
 
 def replay_counts(ledger: DataFrame, dlq: DataFrame) -> DataFrame:
@@ -69,6 +74,11 @@ def replay_counts(ledger: DataFrame, dlq: DataFrame) -> DataFrame:
     return dlq.join(present, F.col("transaction_id") == F.col("_id"), "left").agg(F.count_if(replayable()).alias("replayable"), F.count_if(replayable() & F.col("_here").isNotNull()).alias("already"), F.count_if(stranded()).alias("stranded"))
 
 
+def replayed(dlq: DataFrame) -> DataFrame:
+    """The dead letters that a replay takes out: all of a transaction that has a replayable one."""
+    return dlq.join(dlq.where(replayable()).select("transaction_id").distinct(), "transaction_id", "left_semi").select(*dlq.columns)
+
+
 def purge(dlq: DataFrame) -> DataFrame:
     """The dead letters that a replay leaves behind."""
     return delete_keys(dlq, dlq.where(replayable()), "transaction_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from .. import schemas as S
 from ..functions.dates import event_time, iso
 from ..functions.rates import REASONS, Providers, RateBook
 from ..functions.tables import local_table
-from .merge import Arm, merge
+from .merge import Arm, changes, merge
 
 
 def merge_source(folded: DataFrame) -> DataFrame:
@@ -49,14 +51,14 @@ def decide(source: DataFrame, ledger: DataFrame, book: RateBook) -> DataFrame:
     return priced(source, ledger, book).select("transaction_id", "settled_amount_paise", "settlement_date", "instrument_type", "t_amount_paise", verdict.alias("status"))
 
 
-def settlement_merge(ledger: DataFrame, folded: DataFrame, book: RateBook) -> DataFrame:
-    """The ledger after all settlements: four ordered update arms and an insert arm."""
-    source = priced(merge_source(folded), ledger, book).drop("t_transaction_id", "t_amount_paise", "t_reconciliation_status", "t_currency")
+def _settlement_plan(folded: DataFrame, book: RateBook) -> tuple[DataFrame, list[Arm], dict[str, Column], Callable]:
+    """What merge() and changes() need: source, four ordered update arms, the insert arm, and the pricing of the joined rows."""
     t, s = (lambda c: F.col(f"t.{c}")), (lambda c: F.col(f"s.{c}"))
     stamp = {"bank_ref_id": s("bank_ref_id"), "instrument_type": s("instrument_type")}
     status = t("reconciliation_status")
-    # the net is of the row that is merged into, so it was priced with the join above
-    within = F.abs(s("rate_net") - s("settled_amount_paise")) <= s("rate_tol")
+    # rows are priced after the one join, when both sides of each are there
+    price = lambda joined: book.with_net(joined, "t.amount_paise", "s.instrument_type", "s.merchant_id", "s.settlement_date")
+    within = F.abs(F.col("rate_net") - s("settled_amount_paise")) <= F.col("rate_tol")
     arms = [
         Arm(status.isin(S.PLACEHOLDERS), stamp),
         Arm(t("amount_paise").isNull(), {**stamp, "reconciliation_status": F.lit(S.FEE_MISMATCH)}),
@@ -67,7 +69,19 @@ def settlement_merge(ledger: DataFrame, folded: DataFrame, book: RateBook) -> Da
         "transaction_id": s("transaction_id"), "amount_paise": s("settled_amount_paise"), "gateway_status": F.lit("UNKNOWN"), "timestamp_utc": s("settlement_date"),
         "merchant_id": s("merchant_id"), "reconciliation_status": F.lit(S.MISSING_WEBHOOK), "bank_ref_id": s("bank_ref_id"), "instrument_type": s("instrument_type"), "currency": s("currency"),
     }
-    return merge(ledger, source, "transaction_id", arms, insert)
+    return merge_source(folded), arms, insert, price
+
+
+def settlement_merge(ledger: DataFrame, folded: DataFrame, book: RateBook, check: bool = False) -> DataFrame:
+    """The ledger after all settlements. check refuses settlements with two rows of one transaction; folded ones have none."""
+    source, arms, insert, price = _settlement_plan(folded, book)
+    return merge(ledger, source, "transaction_id", arms, insert, check, price)
+
+
+def settlement_changes(ledger: DataFrame, folded: DataFrame, book: RateBook, check: bool = False) -> DataFrame:
+    """Only the ledger rows that settlement_merge() changes or inserts, with _deleted (never)."""
+    source, arms, insert, price = _settlement_plan(folded, book)
+    return changes(ledger, source, "transaction_id", arms, insert, check, price)
 
 
 # counters
@@ -120,6 +134,11 @@ def late_sweep(ledger: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     return ledger.withColumn("reconciliation_status", F.when(late_predicate(as_of, days), S.LATE_UNRESOLVED).otherwise(F.col("reconciliation_status")))
 
 
+def late_changes(ledger: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Only the rows that late_sweep() changes."""
+    return ledger.where(late_predicate(as_of, days) & (F.col("reconciliation_status") != S.LATE_UNRESOLVED)).withColumn("reconciliation_status", F.lit(S.LATE_UNRESOLVED))
+
+
 def missing_within_lag(ledger: DataFrame, folded: DataFrame, providers: Providers) -> DataFrame:
     """Batch rows whose webhook is missing but may still come: the settlement is 0 to lag days after the row's time."""
     row_day, day = F.to_date(event_time(F.col("timestamp_utc"))), iso(F.col("settlement_date"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.rates import RateBook
-from .merge import Arm, merge
+from .merge import Arm, changes, merge
 
 #: The score's shape and the limit of demotion.
 TAU = 0.9
@@ -47,13 +47,22 @@ def scored(ledger: DataFrame, folded: DataFrame, book: RateBook) -> DataFrame:
     return both.select("transaction_id", score(gap("d_"), F.col("d_tol"), gap("m_"), F.col("m_tol")).alias("score"))
 
 
-def demote(ledger: DataFrame, scores: DataFrame, tau: float = TAU, only: DataFrame | None = None) -> DataFrame:
+def _demote_plan(scores: DataFrame, tau: float, only: DataFrame | None) -> tuple[DataFrame, str, list[Arm]]:
+    worst = scores.where(F.col("score") >= tau).select("transaction_id")
+    if only is not None:
+        worst = worst.join(only.select("transaction_id"), "transaction_id", "left_semi")
+    return worst, "transaction_id", [Arm(F.col("s.transaction_id").isNotNull(), {"reconciliation_status": F.lit(S.FEE_MISMATCH)})]
+
+
+def demote(ledger: DataFrame, scores: DataFrame, tau: float = TAU, only: DataFrame | None = None, check: bool = False) -> DataFrame:
     """Rows with a score of tau or more become fee mismatches; `only` narrows the rows that may be demoted.
 
     As specified, a match at a negotiated rate scores high and is demoted; pass as `only` the rows without a
     negotiated rate to spare them.
     """
-    worst = scores.where(F.col("score") >= tau).select("transaction_id")
-    if only is not None:
-        worst = worst.join(only.select("transaction_id"), "transaction_id", "left_semi")
-    return merge(ledger, worst, "transaction_id", [Arm(F.col("s.transaction_id").isNotNull(), {"reconciliation_status": F.lit(S.FEE_MISMATCH)})])
+    return merge(ledger, *_demote_plan(scores, tau, only), check=check)
+
+
+def demotions(ledger: DataFrame, scores: DataFrame, tau: float = TAU, only: DataFrame | None = None, check: bool = False) -> DataFrame:
+    """Only the rows that demote() changes."""
+    return changes(ledger, *_demote_plan(scores, tau, only), check=check)

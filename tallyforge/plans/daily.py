@@ -14,6 +14,7 @@ from ..functions.rates import Providers, RateBook
 from ..operators import adapters, bank, fold, mart, reconcile, residual, validate
 from ..operators.ledger_store import LedgerStore
 from ..sources import mt940, settlement_files
+from ..streaming import ingest
 
 
 @dataclass
@@ -67,23 +68,23 @@ def reconcile_batch(store: LedgerStore, settlements: DataFrame, o: Options, bran
         if o.strict_rates and any(census.values()):
             raise reconcile.GateError(f"rows without a proper rate: {census}")
         counts |= reconcile.batch_counters(settlements).first().asDict()
-        store.commit(table, reconcile.settlement_merge(store.read(table, branch), folded, o.book), branch)
+        store.transact(table, lambda v: v.apply(reconcile.settlement_changes(v.rows, folded, o.book)), branch)
         if statements is not None and "bank" in o.legs:
             lag = int(o.providers.spec(None)["lag_days"])
             rows = bank.with_tolerance(folded, o.book).select("transaction_id", "settled_amount_paise", "settlement_date", "tolerance")
             numbered = statements if "statement_id" in statements.columns else statements.withColumn("statement_id", F.monotonically_increasing_id())
             numbered = numbered.persist()
-            before = store.read(table, branch)
+            at = store.open(table, branch)
             unproven = bank.missing(rows, numbered, lag).persist()
-            after = bank.demote(before, unproven)
-            counts |= {f"bank_{r['counter']}": r["n"] for r in bank.leg_counters(before, unproven, bank.orphans(numbered, rows, lag)).collect()}
-            store.commit(table, after, branch)
+            counts |= {f"bank_{r['counter']}": r["n"] for r in bank.leg_counters(at.rows, unproven, bank.orphans(numbered, rows, lag)).collect()}
+            at.apply(bank.demotions(at.rows, unproven))
             numbered.unpersist()
             unproven.unpersist()
         if "late" in o.legs:
             days = o.late_sla_days if o.late_sla_days is not None else int(o.providers.spec(None)["late_sla_days"])
-            store.commit(table, reconcile.late_sweep(store.read(table, branch), o.as_of, days), branch)
-        ledger = store.read(table, branch)
+            store.transact(table, lambda v: v.apply(reconcile.late_changes(v.rows, o.as_of, days)), branch)
+        at = store.open(table, branch)
+        ledger = at.rows
         counts["missing_within_lag"] = reconcile.missing_within_lag(ledger, folded, o.providers).count()
         tile = reconcile.status_tile(ledger, folded).collect()
         counts["table"] = {r["status"]: r["n"] for r in tile if r["scope"] == "table"}
@@ -96,7 +97,7 @@ def reconcile_batch(store: LedgerStore, settlements: DataFrame, o: Options, bran
             scores = residual.scored(ledger, folded, o.book).persist()
             demoted = scores.where(F.col("score") >= residual.TAU).count()
             if demoted:
-                store.commit(table, residual.demote(ledger, scores), branch)
+                at.apply(residual.demotions(ledger, scores))
                 counts["batch"] = reconcile.fold_residual(counts["batch"], demoted)
                 counts["match_rate"] = reconcile.match_rate(counts["batch"].get(S.MATCHED, 0), counts["evaluated"], counts["missing_within_lag"])
             counts["residual_demoted"] = demoted
@@ -111,8 +112,7 @@ def run_daily(spark: SparkSession, store: LedgerStore, folder: str, batch_date:
     source = settlement_files.resolve(spark, folder, batch_date, o.allow_unvalidated)
     settlements = settlement_files.read_curated(spark, source)
     statements = mt940.read(spark, statement_path) if statement_path else None
-    store.create("webhooks", S.LEDGER)
-    store.create("webhooks_dlq", S.DLQ)
+    ingest.create_tables(store)
     branch = f"ingest_{batch_date}"
     store.branch("webhooks", branch)
     try:
@@ -123,7 +123,7 @@ def run_daily(spark: SparkSession, store: LedgerStore, folder: str, batch_date:
         store.publish("webhooks", branch, validated=True)
         facts = mart.fact_reconciliation(store.read("webhooks"))
         store.create("fact_reconciliation", facts.schema)
-        store.commit("fact_reconciliation", facts)
+        store.open("fact_reconciliation").replace(facts)
     finally:
         store.drop("webhooks", branch)
     counts["dlq_depth"] = store.read("webhooks_dlq").count()
@@ -137,18 +137,21 @@ def replay_dead_letters(store: LedgerStore, now: str, delete: bool = False, reas
     """Insert replayable dead letters into the ledger; delete them only with a reason and an approver, both journalled."""
     from ..operators import dlq
 
-    ledger, letters = store.read("webhooks"), store.read("webhooks_dlq")
+    at, kept = store.open("webhooks"), store.open("webhooks_dlq")
+    ledger, letters = at.rows, kept.rows
     counts = dlq.replay_counts(ledger, letters).first().asDict()
     if not counts["replayable"]:
         return {"replayable": 0, "inserted": 0, "reversal_stranded": counts["stranded"]}
     validate.refuse_pans(letters.where(dlq.replayable()).drop("payload_hash"))
     if delete and not (reason.strip() and approved_by.strip()):
         raise ValueError("deleting dead letters needs a reason and an approver")
-    after = dlq.replay(ledger, letters, now)
-    before = ledger.count()
-    store.commit("webhooks", after)
-    inserted = store.read("webhooks").count() - before
+    fresh = dlq.replay_rows(ledger, letters, now).persist()
+    try:
+        inserted = fresh.count()
+        at.apply(fresh)  # refused if the ledger has moved since it was read
+    finally:
+        fresh.unpersist()
     if delete:
-        store.commit("webhooks_dlq", dlq.purge(letters))
+        kept.apply(dlq.replayed(letters).withColumn("_deleted", F.lit(True)))
         control.journal(journal_folder or ".", "dlq_purge", reason, approved_by, {"rows": counts["replayable"]})
     return {"replayable": counts["replayable"], "inserted": inserted, "deleted": delete, "reversal_stranded": counts["stranded"]}

@@ -251,6 +251,7 @@ SQL = {
     "ledger_seed": _q(f"""SELECT reconciliation_status, count(*) AS n, CAST(sum(amount_paise) AS BIGINT) AS paise FROM (
       SELECT reconciliation_status, amount_paise FROM webhooks WHERE transaction_id NOT IN (SELECT transaction_id FROM base WHERE {_h("seed")} < 20)
       UNION ALL SELECT 'PENDING_RECONCILIATION', gross FROM base WHERE {_h("seed")} < 20) GROUP BY 1"""),
+    "branch_publish": _q("SELECT 'before' AS seen, reconciliation_status, count(*) AS n FROM webhooks GROUP BY 2 UNION ALL SELECT 'after', reconciliation_status, count(*) FROM merged GROUP BY 2"),
     "benchmark_slice": _q("SELECT DISTINCT s.transaction_id, s.settlement_date FROM settlements s JOIN (SELECT transaction_id FROM webhooks ORDER BY 1 LIMIT 500) USING (transaction_id)"),
     "json_decode": "SELECT event_type, count(*) AS n, CAST(sum(CAST(regexp_extract(props, ':\\s*(-?\\d+)', 1) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1",
     "events_windows": "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",

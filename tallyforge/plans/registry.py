@@ -287,16 +287,17 @@ def stream_ingest(spark, sf):
 
 
 def branch_publish(spark, sf):
-    """A batch written on a branch, seen on main only when published."""
+    """A batch merged on a branch, seen on main only when published; both are read before and after."""
     store = LedgerStore(spark, f"{_shared(spark)}/store")
-    store.create("webhooks", S.LEDGER)
-    store.commit("webhooks", D.webhooks(spark, sf))
+    store.create("webhooks", S.LEDGER, key="transaction_id")
+    store.open("webhooks").replace(D.webhooks(spark, sf))
     store.branch("webhooks", "ingest_2027-01-01")
-    store.commit("webhooks", _merged(spark, sf), "ingest_2027-01-01")
-    before = store.read("webhooks").where(F.col("reconciliation_status") == S.MATCHED).count()
+    store.transact("webhooks", lambda v: v.apply(reconcile.settlement_changes(v.rows, _folded(spark, sf), _book())), "ingest_2027-01-01")
+    tally = lambda df, when: df.groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n")).select(F.lit(when).alias("seen"), "reconciliation_status", "n")
+    before = tally(store.read("webhooks"), "before")
     store.publish("webhooks", "ingest_2027-01-01", validated=True)
-    after = store.read("webhooks").agg(F.count_if(F.col("reconciliation_status") == S.MATCHED).alias("matched_after"))
-    return after.select(F.lit(before).cast("long").alias("matched_before"), "matched_after")
+    store.compact("webhooks")
+    return before.unionByName(tally(store.read("webhooks"), "after"))
 
 
 def ledger_seed(spark, sf):

@@ -18,8 +18,8 @@ from .. import schemas as S
 from ..functions.dates import event_time
 from ..functions.text import has_pan, payload_hash
 from ..operators import dlq as D
-from ..operators.ledger_store import LedgerStore
-from ..operators.merge import Arm, merge
+from ..operators.ledger_store import LedgerStore, Version
+from ..operators.merge import Arm, changes, merge, new_rows
 from ..sources.wire import decode
 
 log = logging.getLogger(__name__)
@@ -81,30 +81,43 @@ def newest(batch: DataFrame) -> DataFrame:
     return batch.where(D.accepted()).withColumn("_n", rank).where("_n = 1").drop("_n")
 
 
-def upsert(ledger: DataFrame, batch: DataFrame, now: str) -> DataFrame:
-    """The ledger after a batch of unique events: waiting rows are refreshed, finished ones count a duplicate, new ones are inserted."""
+def _upsert_plan(batch: DataFrame, now: str) -> tuple[DataFrame, str, list[Arm], dict]:
     t, s, at = (lambda c: F.col(f"t.{c}")), (lambda c: F.col(f"s.{c}")), F.lit(now).cast("timestamp")
     fields = ["amount_paise", "gateway_status", "timestamp_utc", "merchant_id", "processing_run_id"]
     waiting = t("reconciliation_status").isin(S.UNRESOLVED)
     refresh = {c: s(c) for c in fields} | {"reconciliation_status": F.lit(S.PENDING), "ingested_at": at}
     again = {"duplicate_mutation_count": F.coalesce(t("duplicate_mutation_count"), F.lit(0)) + 1, "last_duplicate_at": at}
     insert = {c: s(c) for c in ["transaction_id", *fields, "currency"]} | {"reconciliation_status": F.when(s("amount_paise") <= 0, S.REVERSAL).otherwise(S.PENDING), "ingested_at": at, "duplicate_mutation_count": F.lit(0)}
-    return merge(ledger, batch, "transaction_id", [Arm(waiting, refresh), Arm(~F.coalesce(waiting, F.lit(False)), again)], insert)
+    return batch, "transaction_id", [Arm(waiting, refresh), Arm(~F.coalesce(waiting, F.lit(False)), again)], insert
+
+
+def upsert(ledger: DataFrame, batch: DataFrame, now: str, check: bool = False) -> DataFrame:
+    """The ledger after a batch of unique events: waiting rows are refreshed, finished ones count a duplicate, new ones are inserted."""
+    return merge(ledger, *_upsert_plan(batch, now), check)
+
+
+def upsert_changes(ledger: DataFrame, batch: DataFrame, now: str, check: bool = False) -> DataFrame:
+    """Only the rows that upsert() changes or inserts; `ledger` need hold no other rows than the batch's."""
+    return changes(ledger, *_upsert_plan(batch, now), check)
+
+
+def create_tables(store: LedgerStore, ledger: str = "webhooks", dlq: str = "webhooks_dlq") -> None:
+    store.create(ledger, S.LEDGER, key="transaction_id")
+    store.create(dlq, S.DLQ, key="payload_hash")
 
 
 def write_batch(store: LedgerStore, s: Settings, ledger: str = "webhooks", dlq: str = "webhooks_dlq", stream: str = "default") -> Callable[[DataFrame, int], None]:
     """The sink of one micro-batch of a stream, named by its checkpoint.
 
-    The number of the last batch of each stream is noted with the ledger's own pointer, in the same step as its rows: a batch
-    that was applied before a failure is not applied again, and a new checkpoint or another stream starts its own count.
+    The number of the last batch of each stream is noted in the same commit as its rows: a batch that was applied before a failure is
+    not applied again, and a new checkpoint or another stream starts its own count. Two streams may write at once: the one that
+    comes second reads again and repeats. Only the buckets of the batch's keys are read, only the batch's rows are written.
     Dead letters are written first; they are unique by content, so a repetition adds none.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        store.create(ledger, S.LEDGER)
-        store.create(dlq, S.DLQ)
-        done = store.note(ledger)
-        if batch_id <= done.get(stream, -1):
+        create_tables(store, ledger, dlq)
+        if batch_id <= store.note(ledger).get(stream, -1):
             return
         batch.persist()
         try:
@@ -113,9 +126,16 @@ def write_batch(store: LedgerStore, s: Settings, ledger: str = "webhooks", dlq:
             log.info("batch %s: %s", batch_id, {k: v for k, v in g.items() if k != "schema_ids"})
             now = s.now or time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
             if g["rejected"]:
-                store.commit(dlq, D.append(store.read(dlq), batch.where(~D.accepted())))
+                letters = D.dead_letters(batch.where(~D.accepted()))
+                store.transact(dlq, lambda v: v.apply(new_rows(v.of_keys(letters), letters, "payload_hash")))
             if g["rejected"] < g["rows"]:
-                store.commit(ledger, upsert(store.read(ledger), newest(batch), now), note=done | {stream: batch_id})
+                once = newest(batch)
+
+                def apply(v: Version) -> None:
+                    if batch_id > v.notes.get(stream, -1):  # else a twin of this stream has applied it meanwhile
+                        v.apply(upsert_changes(v.of_keys(once), once, now), notes={stream: batch_id})
+
+                store.transact(ledger, apply)
         finally:
             batch.unpersist()
 

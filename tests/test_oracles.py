@@ -28,7 +28,3 @@ def test_twin(name, spark, sf, duck):
     assert sorted(names) == sorted(df.columns)
     want = sorted((tuple(plain(r[names.index(c)]) for c in sorted(names)) for r in got.fetchall()), key=repr)
     assert sorted((tuple(plain(r[c]) for c in sorted(names)) for r in df.collect()), key=repr) == want
-
-
-def test_all_run(spark, sf):
-    assert registry.queries()["branch_publish"](spark, sf).first()["matched_after"] > 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge import control
 from tallyforge import schemas as S
 from tallyforge.operators import dlq
-from tallyforge.operators.ledger_store import BranchError, LedgerStore
+from tallyforge.operators.ledger_store import BranchError, ConflictError, LedgerStore
 from tallyforge.plans import daily
 from tallyforge.sources import mt940, settlement_files, wire
 from tallyforge.streaming import ingest
@@ -108,20 +108,114 @@ def test_store_branches_and_upkeep(spark, tmp_path):
     store = LedgerStore(spark, str(tmp_path))
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     store.create("t", a.schema)
-    store.commit("t", a)
+    store.open("t").replace(a)
     store.branch("t", "b")
-    store.commit("t", a.unionByName(spark.createDataFrame([(2, "y")], a.schema)), "b")
+    store.open("t", "b").replace(a.unionByName(spark.createDataFrame([(2, "y")], a.schema)))
     assert store.read("t").count() == 1 and store.read("t", "b").count() == 2
     with pytest.raises(BranchError):
         store.publish("t", "b", validated=False)
-    store.commit("t", a)  # main moves on
-    with pytest.raises(BranchError):
+    store.open("t").replace(a)  # main moves on
+    with pytest.raises(ConflictError):
         store.publish("t", "b", validated=True)
     store.drop("t", "b")
     store.create("t", spark.createDataFrame([], "k int, v string, w long").schema)
     assert store.read("t").first().w is None
     assert store.maintain({"t": 1, "missing": 1})["missing"].startswith("failed") and len(store.snapshots("t")) == 1
     assert store.read("t").count() == 1 and store.files("t").count() >= 1
+    with pytest.raises(ValueError):
+        store.open("t").apply(a)  # no key
+
+
+KV = "k string, v int"
+
+
+def test_row_changes_are_laid_over_and_folded(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path))
+    rows = spark.range(20_000).selectExpr("concat('k', id) AS k", "cast(id AS int) AS v")
+    store.create("t", rows.schema, key="k", buckets=4)
+    first = store.open("t").replace(rows)
+    size = lambda at: store._fs().getContentSummary(store._path("t", "data", at)).getLength()
+    d = store.open("t").apply(spark.createDataFrame([("k1", -1, False), ("new", 7, False), ("k2", None, True)], f"{KV}, _deleted boolean"))
+    assert size(d) < size(first) / 10  # what is written grows with the batch
+    d2 = store.open("t").apply(spark.createDataFrame([("k1", -2)], KV))
+    now = lambda: {r.k: r.v for r in store.read("t").where("v < 5 OR k = 'new'").collect()}
+    assert now() == {"k0": 0, "k1": -2, "k3": 3, "k4": 4, "new": 7} and store.read("t").count() == 20_000
+    assert {r.k: r.v for r in store.open("t").of_keys(spark.createDataFrame([("k1", 0), ("k2", 0), ("k9", 0)], KV)).collect()} == {"k1": -2, "k9": 9}
+    before = store.open("t").manifest
+    touched = store.compact("t")
+    after = store.open("t").manifest
+    assert set(touched) == {b for x in before["deltas"] for b in x["buckets"]} and after["deltas"] == [] and 0 < len(touched) < 4
+    assert all(after["base"][b] == before["base"][b] for b in before["base"] if b not in touched)  # untouched buckets are not rewritten
+    assert now() == {"k0": 0, "k1": -2, "k3": 3, "k4": 4, "new": 7} and store.read("t").count() == 20_000
+    assert store.read("t", snapshot=first).count() == 20_000 and store.read("t", snapshot=d2).where("k = 'k2'").count() == 0
+    store.expire("t", 1)
+    assert store.snapshots("t") == [store.head("t")] and now()["k1"] == -2 and d not in store._names("t", "data")
+    assert store.compact("t") == []
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path))
+    row = lambda k, v: spark.createDataFrame([(k, v)], KV)
+    store.create("t", row("a", 1).schema, key="k", buckets=2)
+    one, two = store.open("t"), store.open("t")
+    one.replace(one.rows.unionByName(row("a", 1)))
+    with pytest.raises(ConflictError):
+        two.replace(two.rows.unionByName(row("b", 2)))
+    tries = []
+
+    def slow(v):
+        tries.append(v.pointer)
+        if len(tries) == 1:  # another stream commits between the reading and the writing
+            store.transact("t", lambda w: w.apply(row("c", 3), notes={"A": 3}))
+        v.apply(row("d", 4), notes={"B": 7})
+
+    store.transact("t", slow)
+    assert len(tries) == 2 and store.note("t") == {"A": 3, "B": 7}
+    assert {r.k: r.v for r in store.read("t").collect()} == {"a": 1, "c": 3, "d": 4}
+    with pytest.raises(ConflictError):
+        store.transact("t", lambda v: (store.open("t").apply(row("e", 5)), v.apply(row("f", 6))), tries=2)
+
+
+def test_threads_of_writers_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = LedgerStore(spark, str(tmp_path))
+    store.create("t", spark.createDataFrame([], KV).schema, key="k", buckets=2)
+    add = lambda i: LedgerStore(spark, str(tmp_path)).transact("t", lambda v: v.apply(spark.createDataFrame([(f"k{i}", i)], KV), notes={f"s{i}": i}), tries=30)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(add, range(6)))
+    assert sorted(r.v for r in store.read("t").collect()) == list(range(6)) and store.note("t") == {f"s{i}": i for i in range(6)}
+
+
+def test_orphans_of_failed_writers_go(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path))
+    row = spark.createDataFrame([("a", 1)], KV)
+    store.create("t", row.schema, key="k", buckets=2)
+    kept = store.open("t").apply(row)
+    lost, _ = store._put("t", store._meta("t"), row)  # written, never named
+    assert store.remove_orphans("t") == []  # too young
+    assert store.remove_orphans("t", older_than_hours=1, now=__import__("time").time() + 7200) == [lost]
+    assert store._names("t", "data") == [kept] and store.read("t").count() == 1
+
+
+def test_replay_is_refused_when_the_ledger_moves(spark, tmp_path, monkeypatch):
+    store = LedgerStore(spark, str(tmp_path))
+    ingest.create_tables(store)
+    letter = ("tx_1", 5, "CAPTURED", "2026-06-10T09:00:00Z", "m", "r", "hash")
+    store.open("webhooks_dlq").apply(spark.createDataFrame([letter], S.DLQ))
+    event = lambda i: ingest.events(spark.createDataFrame([(bytearray(wire.encode_event(EVENT | {"transaction_id": i})),)], "value binary"))
+    rows = dlq.replay_rows
+
+    def meanwhile(*a):
+        ingest.write_batch(store, ingest.Settings(now="2026-06-12 00:00:00"), stream="s")(event("tx_9"), 0)
+        return rows(*a)
+
+    monkeypatch.setattr(dlq, "replay_rows", meanwhile)
+    with pytest.raises(ConflictError):
+        daily.replay_dead_letters(store, "2026-06-12 00:00:00")
+    monkeypatch.setattr(dlq, "replay_rows", rows)
+    done = daily.replay_dead_letters(store, "2026-06-12 00:00:00", delete=True, reason="why", approved_by="who", journal_folder=str(tmp_path))
+    assert done["inserted"] == 1 and {r.transaction_id for r in store.read("webhooks").collect()} == {"tx_1", "tx_9"} and store.read("webhooks_dlq").count() == 0
 
 
 def test_dead_letters(spark):
@@ -142,16 +236,16 @@ def test_daily(spark, tmp_path):
     got = daily.validate_file(spark, str(tmp_path / "settlement_20250611.csv"), str(tmp_path), "2025-06-11", o, registry=control.FileRegistry(tmp_path / "files.json"))
     assert got == {"rows": 20, "quarantined": 0, "usual_volume": True} and len(control.FileRegistry(tmp_path / "files.json").load()) == 1
     store = LedgerStore(spark, str(tmp_path / "store"))
-    store.create("webhooks", S.LEDGER)
+    ingest.create_tables(store)
     hooks = spark.createDataFrame([tuple({"transaction_id": f"tx_{i:06d}", "amount_paise": 100000, "timestamp_utc": "2025-06-10T00:00:00Z", "reconciliation_status": S.PENDING, "currency": "INR"}.get(f.name) for f in S.LEDGER.fields) for i in range(20)], S.LEDGER)
-    store.commit("webhooks", hooks)
+    store.open("webhooks").replace(hooks)
     c = daily.run_daily(spark, store, str(tmp_path), "2025-06-11", o, metrics=str(tmp_path / "metrics.json"))
     assert c["match_rate"] == 1.0 and store.read("fact_reconciliation").where("status = 'MATCHED'").count() == 20
     assert json.loads((tmp_path / "metrics.json").read_text())["counts"]["evaluated"] == 20
     # a failed gate leaves main as it was
     (tmp_path / "settlement_20250612.csv").write_text(head + "".join(f"tx_{i:06d},c{i},5,2025-06-12,UPI\n" for i in range(20)))
     daily.validate_file(spark, str(tmp_path / "settlement_20250612.csv"), str(tmp_path), "2025-06-12", o)
-    store.commit("webhooks", hooks)
+    store.open("webhooks").replace(hooks)
     before = store.head("webhooks")
     with pytest.raises(daily.reconcile.GateError):
         daily.run_daily(spark, store, str(tmp_path), "2025-06-12", o)
