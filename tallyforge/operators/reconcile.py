@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from ..functions.rates import REASONS, Providers, RateBook
 from ..functions.tables import local_table
 from .merge import Arm, changes, merge
 
+log = logging.getLogger(__name__)
+
 
 def merge_source(folded: DataFrame) -> DataFrame:
     """The columns that the merge reads, of rows with a key and an amount."""
@@ -115,12 +118,22 @@ def fallback_census(folded: DataFrame, book: RateBook) -> DataFrame:
 
 
 def status_tile(ledger: DataFrame, batch_ids: DataFrame) -> DataFrame:
-    """(scope, status, n): the table by status, the batch by status, and the sum of duplicate mutations."""
-    count = F.count(F.lit(1)).alias("n")
-    table = ledger.groupBy(F.col("reconciliation_status").alias("status")).agg(count).select(F.lit("table").alias("scope"), "status", "n")
-    batch = ledger.join(batch_ids.select("transaction_id"), "transaction_id", "left_semi").groupBy(F.col("reconciliation_status").alias("status")).agg(count).select(F.lit("batch").alias("scope"), "status", "n")
-    dup = ledger.agg(F.coalesce(F.sum("duplicate_mutation_count"), F.lit(0)).cast("long").alias("n")).select(F.lit("duplicates").alias("scope"), F.lit(S.DUPLICATE_WEBHOOK).alias("status"), "n")
-    return table.unionByName(batch).unionByName(dup)
+    """(scope, status, n): the table by status, the batch by status, and the sum of duplicate mutations. One look at the ledger."""
+    flagged = ledger.join(batch_ids.select("transaction_id").distinct().withColumn("_in", F.lit(True)), "transaction_id", "left")
+    by = flagged.groupBy(F.col("reconciliation_status").alias("status"), F.col("_in")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("duplicate_mutation_count"), F.lit(0)).cast("long").alias("d"))
+    row = lambda scope, status, n: F.struct(F.lit(scope).alias("scope"), status.alias("status"), n.alias("n"))
+    parts = F.array(row("table", F.col("status"), F.col("n")), F.when(F.col("_in"), row("batch", F.col("status"), F.col("n"))), row("duplicates", F.lit(S.DUPLICATE_WEBHOOK), F.col("d")))
+    none = local_table(ledger.sparkSession, [("duplicates", S.DUPLICATE_WEBHOOK, 0)], "scope string, status string, n long")
+    return by.select(F.explode(parts).alias("p")).where("p IS NOT NULL").select("p.*").unionByName(none).groupBy("scope", "status").agg(F.sum("n").alias("n"))
+
+
+def rate_counts(ledger: DataFrame, folded: DataFrame, providers: Providers) -> DataFrame:
+    """One row: matched, evaluated, within_lag of a batch. One join of the batch with the ledger."""
+    rows = ledger.select("transaction_id", F.col("reconciliation_status").alias("_status"), F.col("timestamp_utc").alias("_time"))
+    both = folded.select("transaction_id", "settlement_date", "provider", "settled_amount_paise").join(rows, "transaction_id", "left")
+    gap = F.datediff(iso(F.col("settlement_date")), F.to_date(event_time(F.col("_time"))))
+    waits = (F.col("_status") == S.MISSING_WEBHOOK) & gap.between(F.lit(0), providers.lag(F.col("provider")))
+    return both.agg(F.count_if(F.col("_status") == S.MATCHED).alias("matched"), F.count("settled_amount_paise").alias("evaluated"), F.count_if(waits).alias("within_lag"))
 
 
 def late_predicate(as_of: str, days: int) -> Column:
@@ -170,11 +183,17 @@ class GateError(RuntimeError):
     """A batch that must not be published."""
 
 
-def check_drift(counts: dict[str, int], evaluated: int) -> None:
-    """The batch's statuses must add up to what was evaluated."""
+def check_drift(counts: dict[str, int], evaluated: int | None, deduped: int | None = None) -> bool:
+    """The batch's statuses must add up to what was evaluated (where that was not counted: to the transactions). A batch in which
+    nothing was evaluated cannot be judged: a warning, and False."""
     total = sum(n for s, n in counts.items() if s != S.DUPLICATE_SETTLEMENT)
-    if evaluated and total != evaluated:
-        raise GateError(f"the batch has {total} rows by status but {evaluated} were evaluated")
+    base = evaluated if evaluated is not None else deduped or 0
+    if not base:
+        log.warning("nothing was evaluated in this batch, its statuses and match rate cannot be checked")
+        return False
+    if total != base:
+        raise GateError(f"the batch has {total} rows by status but {base} were evaluated")
+    return True
 
 
 def check_slo(rate: float | None, slo: float = 0.95) -> None:
@@ -191,21 +210,44 @@ def fold_residual(counts: dict[str, int], demoted: int) -> dict[str, int]:
     return out
 
 
-def mismatch_spread(decided: DataFrame) -> DataFrame:
-    """(p50, p90, largest) of the absolute differences of mismatched rows, picked by position; zeros when there are none.
+#: Bits of a value that one pass of the selection settles; a pass brings at most 2**DIGIT counts a rank to the driver.
+DIGIT = 10
+
 
-    A position in a distributed order: counts per difference are cumulated, so no group holds all rows.
+def at_ranks(values: DataFrame, column: str, ranks: list[int], largest: int) -> list[int]:
+    """The values (whole, not negative) at the given ranks, counted from 1, of all rows in order.
+
+    A histogram of the leading bits says in which cell a rank lies; the cell is refined until it holds one value. No row is
+    sorted, and no task or driver gets more than the cells.
     """
-    from pyspark.sql import Window as W
-
-    # differences repeat, so the histogram is far smaller than the rows; it is range-partitioned and cumulated in two steps
-    hist = decided.groupBy("difference").agg(F.count(F.lit(1)).alias("c"))
-    parts = hist.repartitionByRange(8, "difference").withColumn("p", F.spark_partition_id())
-    sizes = parts.groupBy("p").agg(F.sum("c").alias("s"))
-    before = sizes.select(F.col("p").alias("p2"), (F.sum("s").over(W.orderBy("p")) - F.col("s")).alias("b"))
-    upto = parts.join(before, F.col("p") == F.col("p2")).withColumn("hi", F.col("b") + F.sum("c").over(W.partitionBy("p").orderBy("difference")))
-    n = decided.agg(F.count(F.lit(1)).alias("n"))
-    at50, at90 = F.floor(F.col("n") / 2) + 1, F.greatest(F.floor(F.col("n") * 9 / 10), F.lit(1))
-    pick = lambda at: F.min(F.when(F.col("hi") >= at, F.col("difference")))
-    out = upto.join(F.broadcast(n)).agg(pick(at50).alias("p50"), pick(at90).alias("p90"), F.max("difference").alias("largest"))
-    return out.select(*(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("p50", "p90", "largest")))
+    bits = max(1, largest.bit_length())
+    found = [(0, r) for r in ranks]  # the leading bits so far, and the rank inside of that cell
+    while bits > 0:
+        step = min(DIGIT, bits)
+        cells = sorted({p for p, _ in found})
+        prefix = F.shiftright(F.col(column), bits)
+        digit = F.shiftright(F.col(column), bits - step)
+        hist = values.where(prefix.isin(cells)).groupBy(digit.alias("cell")).agg(F.sum("c").alias("c")).collect()
+        counts = sorted((r["cell"], r["c"]) for r in hist)
+        refined = []
+        for p, rank in found:
+            for cell, c in counts:
+                if cell >> step == p:
+                    if rank <= c:
+                        refined.append((cell, rank))
+                        break
+                    rank -= c
+        found, bits = refined, bits - step
+    return [p for p, _ in found]
+
+
+def mismatch_spread(decided: DataFrame) -> DataFrame:
+    """(p50, p90, largest) of the absolute differences of mismatched rows, picked by position; zeros when there are none."""
+    spark = decided.sparkSession
+    hist = decided.where(F.col("difference").isNotNull()).groupBy("difference").agg(F.count(F.lit(1)).alias("c")).persist()
+    try:
+        n, largest = hist.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.max("difference"), F.lit(0))).first()
+        p50, p90 = at_ranks(hist, "difference", [n // 2 + 1, max(n * 9 // 10, 1)], largest) if n else (0, 0)
+    finally:
+        hist.unpersist()
+    return local_table(spark, [(p50, p90, largest)], "p50 long, p90 long, largest long")

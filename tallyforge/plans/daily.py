@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 from .. import control
 from .. import schemas as S
 from ..functions.rates import Providers, RateBook
-from ..operators import adapters, bank, fold, mart, reconcile, residual, validate
-from ..operators.ledger_store import LedgerStore
+from ..operators import adapters, bank, fold, migrations, reconcile, residual, validate
+from ..operators.ledger_store import LedgerStore, Version
 from ..sources import mt940, settlement_files
 from ..streaming import ingest
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Options:
@@ -33,6 +36,7 @@ class Options:
     allow_unvalidated: bool = False
     legs: tuple[str, ...] = ("bank", "residual", "late")
     retain: int = 10
+    mart_folder: str = str(Path(__file__).resolve().parent.parent / "config" / "mart")
 
 
 def validate_file(spark: SparkSession, path: str, out: str, batch_date: str, o: Options, rows_before: int | None = None, registry: control.FileRegistry | None = None, hint: str | None = None) -> dict:
@@ -94,19 +98,33 @@ def reconcile_batch(store: LedgerStore, settlements: DataFrame, o: Options, bran
         if o.strict_slo:
             reconcile.check_slo(counts["match_rate"], o.match_rate_slo)
         if "residual" in o.legs:
-            scores = residual.scored(ledger, folded, o.book).persist()
-            demoted = scores.where(F.col("score") >= residual.TAU).count()
-            if demoted:
-                at.apply(residual.demotions(ledger, scores))
-                counts["batch"] = reconcile.fold_residual(counts["batch"], demoted)
-                counts["match_rate"] = reconcile.match_rate(counts["batch"].get(S.MATCHED, 0), counts["evaluated"], counts["missing_within_lag"])
-            counts["residual_demoted"] = demoted
-            scores.unpersist()
+            try:
+                _residual(at, folded, o, counts)
+            except reconcile.GateError:
+                raise
+            except Exception as e:
+                if o.strict_slo:
+                    raise RuntimeError(f"the residual leg failed: {e}") from e
+                log.warning("the residual leg failed, the batch goes on without it: %s", e)
     finally:
         folded.unpersist()
     return counts
 
 
+def _residual(at: Version, folded: DataFrame, o: Options, counts: dict) -> None:
+    """Demote suspicious matches of a version that was just read, and correct the counts."""
+    scores = residual.scored(at.rows, folded, o.book).persist()
+    try:
+        demoted = scores.where(F.col("score") >= residual.TAU).count()
+        if demoted:
+            at.apply(residual.demotions(at.rows, scores))
+            counts["batch"] = reconcile.fold_residual(counts["batch"], demoted)
+            counts["match_rate"] = reconcile.match_rate(counts["batch"].get(S.MATCHED, 0), counts["evaluated"], counts["missing_within_lag"])
+        counts["residual_demoted"] = demoted
+    finally:
+        scores.unpersist()
+
+
 def run_daily(spark: SparkSession, store: LedgerStore, folder: str, batch_date: str, o: Options, statement_path: str | None = None, metrics: str | None = None) -> dict:
     """One batch from curated file to published ledger, mart and metrics. A failed gate leaves main as it was."""
     source = settlement_files.resolve(spark, folder, batch_date, o.allow_unvalidated)
@@ -117,13 +135,11 @@ def run_daily(spark: SparkSession, store: LedgerStore, folder: str, batch_date:
     store.branch("webhooks", branch)
     try:
         counts = reconcile_batch(store, settlements, o, branch, statements)
-        reconcile.check_drift(counts["batch"], counts["evaluated"])
+        reconcile.check_drift(counts["batch"], counts.get("evaluated"), counts.get("deduped_rows"))
         if o.strict_slo:
             reconcile.check_slo(counts["match_rate"], o.match_rate_slo)
         store.publish("webhooks", branch, validated=True)
-        facts = mart.fact_reconciliation(store.read("webhooks"))
-        store.create("fact_reconciliation", facts.schema)
-        store.open("fact_reconciliation").replace(facts)
+        counts["mart_version"] = migrations.refresh(store, store.read("webhooks"), migrations.load(o.mart_folder), strict=o.strict_slo)
     finally:
         store.drop("webhooks", branch)
     counts["dlq_depth"] = store.read("webhooks_dlq").count()

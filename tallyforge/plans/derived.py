@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.rates import RateBook
-from ..functions.text import bucket
+from ..functions.text import ALIASES, bucket
 from ..operators.dlq import PAYLOAD
 
 SHIFT_DAYS = 10_400  # moves the orders' dates to 2023 to 2030
@@ -91,7 +91,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A micro-batch of events: new, repeated, undecodable, reversed and broken ones."""
-    o = base(spark, sf_dir).where(h("arr") < 20)
+    o = base(spark, sf_dir)
     cols = {
         "decodable": h("dec") >= 3, "schema_id": F.lit("1"),
         "amount_paise": F.when(h("aamt") < 4, -F.col("gross")).when(h("aamt") < 5, F.lit(0).cast("long")).otherwise(F.col("gross") + 1),
@@ -129,3 +129,5 @@ def provider_file(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
 
 #: Payment methods as providers spell them.
 METHODS = ["upi", "Card - Visa Credit", "Debit Card", "net banking", "PayLater", "international_card", "barter", " ", "NB"]
+#: All spellings of instruments that the queries try.
+SPELLINGS = [*ALIASES, *METHODS, "cash", "Net-Banking", "my upi app", "emi-card"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.text import ALIASES
-from .derived import AS_OF, INSTRUMENTS, LAG_DAYS, LATE_DAYS, METHODS, NOW, SHIFT_DAYS
+from .derived import AS_OF, INSTRUMENTS, LAG_DAYS, LATE_DAYS, METHODS, NOW, SHIFT_DAYS, SPELLINGS
 
 
 def _h(tag: str, key: str = "k") -> str:
@@ -123,7 +123,7 @@ arrivals AS (
     CASE WHEN {_h("aamt")} < 4 THEN -gross WHEN {_h("aamt")} < 5 THEN 0 ELSE gross + 1 END AS amount_paise,
     CASE WHEN {_h("aamt")} < 2 THEN ' refund ' WHEN {_h("aamt")} < 3 THEN 'CAPTURED' WHEN {_h("aamt")} < 5 THEN NULL ELSE 'CAPTURED' END AS gateway_status,
     strftime(od + INTERVAL {SHIFT_DAYS + 1} DAY, '%Y-%m-%dT%H:%M:%SZ') AS timestamp_utc, od + INTERVAL {SHIFT_DAYS + 1} DAY AS came, merchant_id, 'run_2' AS processing_run_id, 'INR' AS currency
-  FROM base WHERE {_h("arr")} < 20),
+  FROM base),
 judged AS (
   SELECT *, CASE WHEN decodable AND transaction_id IS NOT NULL AND amount_paise > 0 THEN 'forward'
     WHEN decodable AND transaction_id IS NOT NULL AND amount_paise <= 0 AND upper(trim(gateway_status)) IN ('REFUND', 'REFUNDED', 'REFUND_PENDING', 'PARTIAL_REFUND', 'REVERSED', 'REVERSAL', 'CHARGEBACK', 'DISPUTE') THEN 'reversal'
@@ -192,8 +192,6 @@ def _canon(provider: str) -> str:
       {ref} AS utr, cur AS currency, CAST({'NULL' if generic else 'paise'} AS BIGINT) AS gross_amount_paise, '{'acme' if generic else provider}' AS provider FROM canon"""
 
 
-_SPELLINGS = [*ALIASES, *METHODS, "cash", "Net-Banking", "my upi app", "emi-card"]
-
 SQL = {
     "settlement_decision": _q("SELECT status, count(*) AS n, CAST(sum(settled_amount_paise) AS BIGINT) AS settled_paise FROM decided GROUP BY 1"),
     "settlement_fold": _q("SELECT transaction_id, settled_amount_paise, fee_paise, gst_paise, settlement_date, bank_ref_id, settlement_id, utr, gross_amount_paise, instrument_type, merchant_id, currency, provider, instalments FROM folded"),
@@ -243,15 +241,23 @@ SQL = {
       settled_amount_paise > 0 AND settlement_date <> 'not-a-date' AND instrument_type <> 'CRYPTO' AND coalesce(currency = 'INR', true) AS ok FROM settlements)) UNPIVOT (n FOR part IN (valid, quarantined))"""),
     "calendar_mask": _q("""SELECT settlement_id, day FROM (SELECT settlement_id, substr(settlement_date, 1, 8) || lpad(CAST(length(settlement_id) * 7 % 40 AS VARCHAR), 2, '0') AS day FROM settlements)
       WHERE regexp_full_match(day, '\\d{4}-\\d{2}-\\d{2}') AND try_strptime(day, '%Y-%m-%d') IS NULL"""),
-    "instrument_alias": "SELECT raw, " + _alias("raw") + " AS instrument, (SELECT count(*) FROM orders) AS orders FROM (VALUES " + ", ".join(f"('{s}')" for s in _SPELLINGS) + ") t(raw)",
+    "instrument_alias": _q(f"SELECT raw, {_alias('raw')} AS instrument, count(*) AS orders FROM (SELECT {_pick(SPELLINGS, _h('spell') + ' % ' + str(len(SPELLINGS)))} AS raw FROM base) GROUP BY 1, 2"),
     "inr_to_paise": _q("SELECT CAST(k AS VARCHAR) AS order_id, CAST(paise AS BIGINT) AS paise FROM canon"),
     "iso_date": _q("SELECT CAST(k AS VARCHAR) AS order_id, day FROM canon"),
     "provider_lag": _q("SELECT provider, CAST(CASE provider WHEN 'cashfree' THEN 1 WHEN 'payu' THEN 3 ELSE 2 END AS INTEGER) AS lag, count(*) AS n FROM settlements GROUP BY 1, 2"),
     "fault_bucket": _q(f"SELECT CAST({_h('fault')} AS INTEGER) AS bucket, count(*) AS n FROM base GROUP BY 1"),
-    "ledger_seed": _q(f"""SELECT reconciliation_status, count(*) AS n, CAST(sum(amount_paise) AS BIGINT) AS paise FROM (
-      SELECT reconciliation_status, amount_paise FROM webhooks WHERE transaction_id NOT IN (SELECT transaction_id FROM base WHERE {_h("seed")} < 20)
-      UNION ALL SELECT 'PENDING_RECONCILIATION', gross FROM base WHERE {_h("seed")} < 20) GROUP BY 1"""),
+    "ledger_seed": _q("SELECT 'PENDING_RECONCILIATION' AS reconciliation_status, count(*) AS n, CAST(sum(gross) AS BIGINT) AS paise FROM base"),
     "branch_publish": _q("SELECT 'before' AS seen, reconciliation_status, count(*) AS n FROM webhooks GROUP BY 2 UNION ALL SELECT 'after', reconciliation_status, count(*) FROM merged GROUP BY 2"),
+    "mart_versions": _q("SELECT reconciliation_status AS status, day, count(*) AS n, CAST(sum(CASE WHEN reconciliation_status = 'MATCHED' THEN amount_paise END) AS BIGINT) AS matched_paise FROM merged GROUP BY 1, 2"),
+    "click_windows": """WITH c AS (SELECT *, coalesce(month(arrived_at), 13) AS lot FROM clicks WHERE ts IS NOT NULL),
+      lots AS (SELECT lot, max(max(ts)) OVER (ORDER BY lot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM c GROUP BY lot),
+      judged AS (SELECT c.*, coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR > date_trunc('milliseconds', seen) - INTERVAL 1 HOUR, true) AS taken FROM c JOIN lots USING (lot))
+      SELECT CAST(ts AS DATE) AS day, kind, count(*) AS n, count(DISTINCT date_trunc('hour', ts)) AS hours, max(value) AS most FROM judged WHERE taken GROUP BY 1, 2
+      UNION ALL SELECT NULL, 'too late', count(*) FILTER (WHERE NOT taken), 0, NULL FROM judged""",
+    "click_sessions": """WITH c AS (SELECT client_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY client_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM clicks WHERE ts IS NOT NULL),
+      s AS (SELECT client_id, sum(new) OVER (PARTITION BY client_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM c),
+      g AS (SELECT client_id, k, count(*) AS n FROM s GROUP BY 1, 2)
+      SELECT client_id, count(*) AS sessions, CAST(sum(n) AS BIGINT) AS n, max(n) AS longest FROM g GROUP BY 1""",
     "benchmark_slice": _q("SELECT DISTINCT s.transaction_id, s.settlement_date FROM settlements s JOIN (SELECT transaction_id FROM webhooks ORDER BY 1 LIMIT 500) USING (transaction_id)"),
     "json_decode": "SELECT event_type, count(*) AS n, CAST(sum(CAST(regexp_extract(props, ':\\s*(-?\\d+)', 1) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1",
     "events_windows": "SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ from .. import schemas as S
 from ..functions import dates, money, text
 from ..functions.rates import Providers, RateBook
 from ..functions.workers import find_package
-from ..operators import adapters, bank, dlq, fold, mart, reconcile, residual, seed, validate
+from ..operators import adapters, bank, dlq, fold, mart, migrations, reconcile, residual, seed, validate
 from ..operators.ledger_store import LedgerStore
 from ..sources import mt940, wire
-from ..streaming import ingest
+from ..streaming import ingest, windows
 from . import derived as D
 
 Query = Callable[[SparkSession, str], DataFrame]
+MART_FOLDER = Path(__file__).resolve().parent.parent / "config" / "mart"
 
 
 def _book() -> RateBook:
@@ -86,15 +88,9 @@ def batch_counters(spark, sf):
 
 
 def match_rate(spark, sf):
-    merged, folded = _merged(spark, sf), _folded(spark, sf)
-    swept = reconcile.late_sweep(merged, D.AS_OF, D.LATE_DAYS)
-    matched = swept.join(folded.select("transaction_id"), "transaction_id", "left_semi").agg(F.count_if(F.col("reconciliation_status") == S.MATCHED).alias("n")).select(F.lit("m").alias("what"), "n")
-    waiting = reconcile.missing_within_lag(swept, folded, Providers.load()).agg(F.count(F.lit(1)).alias("n")).select(F.lit("w").alias("what"), "n")
-    evaluated = folded.agg(F.count("settled_amount_paise").alias("n")).select(F.lit("e").alias("what"), "n")
-    parts = matched.unionByName(waiting).unionByName(evaluated)
-    get = lambda w: F.max(F.when(F.col("what") == w, F.col("n")))
-    base = F.greatest(get("e") - get("w"), F.lit(0))
-    return parts.agg(get("m").alias("matched"), get("e").alias("evaluated"), get("w").alias("within_lag"), F.when(base > 0, get("m").cast("double") / base).alias("rate"))
+    counts = reconcile.rate_counts(reconcile.late_sweep(_merged(spark, sf), D.AS_OF, D.LATE_DAYS), _folded(spark, sf), Providers.load())
+    base = F.greatest(F.col("evaluated") - F.col("within_lag"), F.lit(0))
+    return counts.select("*", F.when(base > 0, F.col("matched").cast("double") / base).alias("rate"))
 
 
 def late_sweep(spark, sf):
@@ -221,9 +217,10 @@ def _normalise(provider: str) -> Query:
 
 
 def instrument_alias(spark, sf):
-    raw = spark.createDataFrame([(m,) for m in [*text.ALIASES, *D.METHODS, "cash", "Net-Banking", "my upi app", "emi-card"]], "raw string")
-    n = spark.read.parquet(f"{sf}/orders.parquet").agg(F.count(F.lit(1)).alias("orders"))
-    return raw.join(F.broadcast(n)).select("raw", text.instrument(F.col("raw")).alias("instrument"), "orders")
+    """Every order with one of the known spellings, in rotation."""
+    raw = F.element_at(F.array(*[F.lit(x) for x in D.SPELLINGS]), (D.h("spell") % len(D.SPELLINGS)).cast("int") + 1)
+    rows = D.base(spark, sf).select(raw.alias("raw"))
+    return rows.groupBy("raw", text.instrument(F.col("raw")).alias("instrument")).agg(F.count(F.lit(1)).alias("orders"))
 
 
 def inr_to_paise(spark, sf):
@@ -301,8 +298,8 @@ def branch_publish(spark, sf):
 
 
 def ledger_seed(spark, sf):
-    """Every fifth order staged anew."""
-    staged = D.base(spark, sf).where(D.h("seed") < 20).select("transaction_id", F.col("gross").alias("amount_paise"), F.date_format("od", "yyyy-MM-dd").alias("day"), "merchant_id")
+    """All orders staged anew."""
+    staged = D.base(spark, sf).select("transaction_id", F.col("gross").alias("amount_paise"), F.date_format("od", "yyyy-MM-dd").alias("day"), "merchant_id")
     after = seed.seed(D.webhooks(spark, sf), staged, allow=True)
     return after.groupBy("reconciliation_status").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_paise").alias("paise"))
 
@@ -325,6 +322,33 @@ def events_windows(spark, sf):
     return w.select(F.col("w.start").cast("date").alias("day"), "event_type", "n")
 
 
+def click_windows(spark, sf):
+    """Hourly windows of the clicks as a stream forms them that is started anew for each month's deliveries; rows that come too late are counted."""
+    clicks = spark.read.parquet(f"{sf}/clicks.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    month = F.coalesce(F.month("arrived_at"), F.lit(13))
+    lots = [clicks.where(month == r[0]) for r in clicks.select(month.alias("m")).distinct().orderBy("m").collect()]  # 13 at most
+    shape = lambda df: windows.tumbling(df, "ts", "1 hour", "1 hour", ["kind"], [F.count(F.lit(1)).alias("n"), F.max("value").alias("most")])
+    run = windows.over_deliveries(lots, shape, _shared(spark), "ts")
+    by_day = run.windows.groupBy(F.col("start").cast("date").alias("day"), "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hours"), F.max("most").alias("most"))
+    late = spark.range(1).select(F.lit(None).cast("date").alias("day"), F.lit("too late").alias("kind"), F.lit(run.late).cast("long").alias("n"), F.lit(0).cast("long").alias("hours"), F.lit(None).cast("double").alias("most"))
+    return by_day.unionByName(late)
+
+
+def click_sessions(spark, sf):
+    """Sessions of clients with pauses of half an hour at most, as a stream with state forms them."""
+    clicks = spark.read.parquet(f"{sf}/clicks.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    shape = lambda df: windows.sessions(df, "ts", "30 minutes", "1 hour", ["client_id"], [F.count(F.lit(1)).alias("n")])
+    run = windows.over_deliveries([clicks], shape, _shared(spark), "ts")
+    return run.windows.groupBy("client_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("n"), F.max("n").alias("longest"))
+
+
+def mart_versions(spark, sf):
+    """The mart brought through all its versions in a store, and read from there."""
+    store = LedgerStore(spark, f"{_shared(spark)}/store")
+    migrations.refresh(store, _merged(spark, sf), migrations.load(MART_FOLDER))
+    return store.read("fact_reconciliation").groupBy("status", F.col("transacted_at").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("matched_amount_paise").alias("matched_paise"))
+
+
 def _shared(spark: SparkSession) -> str:
     """A new folder that driver and executors share, below the checkpoint folder; only a local master may name none."""
     import uuid
@@ -344,7 +368,7 @@ def queries() -> dict[str, Query]:
         settlement_decision, settlement_fold, partial_settlements, redelivery_collapse, fee_net, rate_card_asof, fee_fallback_census, settlement_merge, status_counts, batch_counters,
         match_rate, late_sweep, missing_within_lag, depth_gauges, provider_batches, mismatch_spread, bank_missing, bank_orphans, bank_demote, bank_counters, residual_score, residual_demote,
         dlq_split, reversal_split, ingest_upsert, duplicate_mutation, dlq_content_hash, dlq_replayable, dlq_replay, dlq_purge, ingest_gauges, schema_ids, q_dlq_depth, validation_violations,
-        quarantine_split, calendar_mask, instrument_alias, inr_to_paise, iso_date, provider_lag, fault_bucket, pan_scan, avro_decode, mt940_roundtrip, stream_ingest, branch_publish, ledger_seed, benchmark_slice, json_decode, events_windows,
+        quarantine_split, calendar_mask, instrument_alias, inr_to_paise, iso_date, provider_lag, fault_bucket, pan_scan, avro_decode, mt940_roundtrip, stream_ingest, branch_publish, click_windows, click_sessions, mart_versions, ledger_seed, benchmark_slice, json_decode, events_windows,
     ]
     out = {f.__name__: f for f in plain}
     out |= {f"q_{n}": _mart(n) for n in MART} | {"mart": _mart("fact_reconciliation")}

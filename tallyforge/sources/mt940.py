@@ -1,6 +1,6 @@
 """MT940 bank statements: a reader of :61:/:86: lines in built-in functions, and a writer.
 
-Files are read whole, one row each, and cut into statement lines where they lie.
+A file is cut into records at its :61: tags by the text reader, so a large file is read by many tasks; a record holds one statement line.
 """
 
 from __future__ import annotations
@@ -47,17 +47,37 @@ def parse(files: DataFrame) -> DataFrame:
     return entries.select("path", *(c.cast(STATEMENT[n].dataType).alias(n) for n, c in parse_entry(F.col("entry")).items()))
 
 
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """(path, entry): the statement lines of all files at path, null for the part of a file that stands before its first line.
+
+    What follows a :61: tag is a line even if it makes no sense; a file's head begins with another tag or an envelope.
+    """
+    cut = spark.read.option("lineSep", "\n:61:").text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = F.when(F.col("value").startswith(":61:"), F.col("value")).otherwise(F.concat(F.lit(":61:"), F.col("value")))
+    head = F.col("value").rlike(r"^\s*[:{]") & ~F.col("value").startswith(":61:")
+    return cut.select("path", F.when(~head, F.regexp_extract(whole, ENTRY, 0)).alias("entry"))
+
+
+def _empty_files(spark: SparkSession, path: str) -> list[str]:
+    """The files at path without a byte, which no reader sees."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s for top in fs.globStatus(at) or [] for s in (fs.listStatus(top.getPath()) if top.isDirectory() else [top])]
+    return [s.getPath().toString() for s in found if s.isFile() and s.getLen() == 0 and not s.getPath().getName().startswith(("_", "."))]
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The statements of all files at path. A file without lines, a line without a date or amount, or a card number refuses all."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    empty = files.where(F.size(parse_text(F.col("value"))) == 0).select("path").limit(3).collect()
-    if empty:
-        raise StatementError(f"no statement lines in {[r['path'] for r in empty]}")
-    rows = parse(files)
+    cut = records(spark, path)
+    lines_of = cut.groupBy("path").agg(F.count("entry").alias("n"))
+    none = _empty_files(spark, path)[:3] or [r["path"] for r in lines_of.where("n = 0").limit(3).collect()]
+    if none:
+        raise StatementError(f"no statement lines in {none}")
+    rows = cut.where("entry IS NOT NULL").select(*(c.cast(STATEMENT[n].dataType).alias(n) for n, c in parse_entry(F.col("entry")).items()))
     if rows.where(F.col("value_date").isNull() | F.col("amount_paise").isNull()).limit(1).count():
         raise StatementError(f"a statement line in {path} has no date or no amount")
-    refuse_pans(rows.drop("path"))
-    return rows.drop("path")
+    refuse_pans(rows)
+    return rows
 
 
 def lines(settlements: DataFrame) -> DataFrame:
@@ -71,9 +91,15 @@ def lines(settlements: DataFrame) -> DataFrame:
 
 
 def write(settlements: DataFrame, path: str, account: str = "TALLYFORGE", files: int = 1) -> None:
-    """Statement files with an opening line, the settlements' lines and the closing balance of each file."""
-    body = lines(settlements).repartitionByRange(files, "transaction_id").withColumn("p", F.spark_partition_id())
-    text = body.groupBy("p").agg(F.sum("settled_amount_paise").alias("s"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("transaction_id", "line"))), lambda x: x["line"]), "\n").alias("b"))
+    """Statement files with an opening line, the settlements' lines by transaction and the closing balance of each file.
+
+    A settlement's file follows from its transaction. Only the sums of the files are gathered; the lines are sorted where
+    their file is written and stream into it one by one.
+    """
+    body = lines(settlements).select(F.pmod(F.xxhash64("transaction_id"), F.lit(files)).cast("int").alias("p"), F.lit(1).alias("part"), "transaction_id", "line", "settled_amount_paise")
+    sums = body.groupBy("p").agg(F.sum("settled_amount_paise").alias("s"))
     total = F.concat(F.call_function("div", F.col("s"), F.lit(100).cast("long")).cast("string"), F.lit(","), F.lpad((F.col("s") % 100).cast("string"), 2, "0"))
-    head = F.lit(f":20:STATEMENT\n:25:{account}\n:28C:1/1\n:60F:C000101INR0,00\n")
-    text.select(F.concat(head, F.col("b"), F.lit("\n:62F:C000101INR"), total).alias("value")).write.mode("overwrite").text(path)
+    frame = lambda part, text: sums.select("p", F.lit(part).alias("part"), F.lit("").alias("transaction_id"), text.alias("line"))
+    head, foot = F.lit(f":20:STATEMENT\n:25:{account}\n:28C:1/1\n:60F:C000101INR0,00"), F.concat(F.lit(":62F:C000101INR"), total)
+    rows = body.drop("settled_amount_paise").unionByName(frame(0, head)).unionByName(frame(2, foot))
+    rows.repartitionById(files, "p").sortWithinPartitions("part", "transaction_id").select("line").write.mode("overwrite").text(path)

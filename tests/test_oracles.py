@@ -5,7 +5,7 @@ import pytest
 
 from tallyforge.plans import registry
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks".split()
 
 
 @pytest.fixture(scope="module")
