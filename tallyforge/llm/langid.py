@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import slices, small_batches
 
-#: The bounded training sample: documents of a language (of all its rows, by hash), characters of a passage of each, bytes of a language and of all.
-TRAIN_DOCS, PASSAGE_CHARS, LANG_BYTES, ALL_BYTES = 200, 1000, 40_000, 800_000
+#: The bounded training sample: documents of a language (of all its rows, by hash) and characters of a passage of each. Where there are more
+#: than MANY languages, passages are shorter in proportion, so that the automata of all stay in memory; no document of the sample is left out.
+TRAIN_DOCS, PASSAGE_CHARS, MANY = 200, 200, 25
 #: Bytes of a segment, and of texts parsed at a time.
 SEGMENT, AT_ONCE = 512, 8 << 20
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
@@ -41,7 +42,7 @@ def sample(docs: DataFrame) -> dict[str, bytes]:
     Only (lang, hash, id) is ranked, with Spark's limit for each group ahead of the shuffle; what comes to the driver is
     bounded by the parameters and the number of languages.
     """
-    known = docs.where(F.col("lang").isNotNull() & (F.length("text") > 20) & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     order = F.xxhash64("doc_id", F.lit("lang"))
     first = known.select("lang", F.col("doc_id").alias("id"), order.alias("h")).withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))).where(F.col("r") <= TRAIN_DOCS)
     picked = F.broadcast(first.select("lang", "id").distinct())  # at most TRAIN_DOCS a language
@@ -50,8 +51,8 @@ def sample(docs: DataFrame) -> dict[str, bytes]:
     by: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"])):
         by.setdefault(r["lang"], []).append(r["text"])
-    each = min(LANG_BYTES, ALL_BYTES // max(1, len(by)))
-    return {lang: letters(" ".join(texts))[:each] for lang, texts in by.items()}
+    most = PASSAGE_CHARS if len(by) <= MANY else max(20, PASSAGE_CHARS * MANY // len(by))
+    return {lang: letters(" ".join(t[:most] for t in texts)) for lang, texts in by.items()}
 
 
 def letters(text: str) -> bytes:
@@ -103,7 +104,7 @@ class Parser:
         self.width = len(used) + 1
         self.table = automaton(self.code[np.frombuffer(text, np.uint8)].tolist(), self.width).ravel()
         self.restart = self.table[self.width : 2 * self.width]
-        self.bits = float(np.log2(len(text) + 1))
+        self.bits = float(np.log2(len(text) + 256))  # a language with hardly any text gains nothing by that
 
     def _next(self, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(states after codes c, whether a phrase began with them)."""
