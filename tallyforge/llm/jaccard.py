@@ -23,7 +23,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import blocks_for, checkpointed, give_back, mix64, small_batches, split_by_bucket, text_bytes, u64
@@ -439,16 +438,20 @@ def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """docs with one row of each component, of those with its smallest id the first by hash of its text; rows without an id stay.
+    """docs with one row of each component: of its rows with the smallest id the one whose text has the least hash. Rows without an id stay.
 
-    Only rows whose id is repeated are shuffled again, to be ranked within that id.
+    Rows are linked by their texts, not by their ids: of an id that stands on two different texts both stay, unless the texts are
+    linked. Of rows that agree in id and text any one stays.
     """
-    found = join(docs, k, num, den, text_col, id_col)
-    lead = checkpointed(found.where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_lead")).agg(F.count(F.lit(1)).alias("_rows")))
     names = [f"_c{i}" for i in range(len(docs.columns))]  # the caller's names come back at the end
     key, text = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
-    rows = docs.toDF(*names)
-    alone = rows.join(lead, rows[key] == lead["_lead"], "left").where((F.col("_rows") == 1) | F.col(key).isNull())
-    rank = F.row_number().over(W.partitionBy("_lead").orderBy(F.xxhash64(text), text))
-    repeated = rows.join(lead.where("_rows > 1"), rows[key] == F.col("_lead")).withColumn("_n", rank).where("_n = 1")
+    row = F.when(F.col(key).isNotNull(), F.xxhash64(F.coalesce(F.col(text), F.lit("")), key))  # a number for each different row
+    rows = docs.toDF(*names).withColumn("_row", row)
+    found = join(rows.select(F.col("_row").alias("doc_id"), F.col(text).alias("text")), k, num, den).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_of")).distinct()
+    ids = rows.where(F.col("_row").isNotNull()).groupBy("_row").agg(F.first(key).alias("_id"), F.count(F.lit(1)).alias("_rows"))
+    lead = found.join(ids, "_row").groupBy("_of").agg(F.min(F.struct("_id", "_row", "_rows")).alias("l")).select(F.col("l._row").alias("_lead"), F.col("l._rows").alias("_rows"))
+    lead = checkpointed(lead)
+    met = rows.join(lead, rows["_row"] == lead["_lead"], "left")
+    alone = met.where((F.col("_rows") == 1) | F.col("_row").isNull())
+    repeated = rows.join(lead.where("_rows > 1"), rows["_row"] == F.col("_lead")).dropDuplicates(["_lead"])
     return alone.select(*names).unionByName(repeated.select(*names)).toDF(*docs.columns)

@@ -181,6 +181,7 @@ def test_languages_of_six_scripts(spark):
     scripts = {"la": (97, 26), "cy": (0x430, 32), "gr": (0x3B1, 25), "ge": (0x10D0, 33), "zh": (0x4E00, 2000), "ko": (0xAC00, 2000), "hi": (0x905, 60)}
     rows = [(i, " ".join("".join(chr(lo + min(int(r.integers(n)), int(r.integers(n)))) for _ in range(5)) for _ in range(60)), lang) for i, (lang, (lo, n)) in enumerate([*scripts.items()] * 40)]
     rows = [x for x in rows if x[2] != "hi" or x[0] < 100]  # one language is rare
+    rows += [(1000 + i, "".join(chr(0x531 + int(r.integers(38))) for _ in range(12)), "hy") for i in range(60)]  # one has short texts alone
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {x.doc_id: x.lang_pred for x in langid.identify(d).collect()}
     assert all(got[i] == lang for i, _, lang in rows)
@@ -237,6 +238,62 @@ def test_pii_bases_and_tagger(odd, docs):
         assert [x for x in pii.base_spans(t)[0] if x[1] < 2] == [x for x in pii_bases(t) if x[1] < 2]
 
 
+def test_pii_windows_one_by_one(docs):
+    """Windows read one after the other by the plain LSTM and averaged in plain Python."""
+    tagger = pii.Tagger(5)
+    for t in [*list(texts_of(docs).values())[:12], "x", "ab " * 200]:
+        if not t:
+            continue
+        t = t[:900]
+        end = min(len(t) + pii.WINDOW - pii.STRIDE, (len(t) - 1) // pii.STRIDE * pii.STRIDE + pii.WINDOW)
+        padded, sums, n = (t + " " * pii.WINDOW)[:end], np.zeros((end, pii.TAGS)), np.zeros(end)
+        for s in range(0, len(t), pii.STRIDE):
+            part = padded[s : s + pii.WINDOW]
+            sums[s : s + len(part)] += tagger.emissions(tagger.codes(part)[None].astype(np.int64), True)[0][:, 0]
+            n[s : s + len(part)] += 1
+        got = tagger.covered([t], [(0, 0, len(t))])[0]
+        assert np.allclose(got, (sums / n[:, None])[: len(t)], atol=2e-4)
+
+
+def test_pii_reading():
+    ok = [("anna.lee (at) mail (dot) org", 0), ("john at example dot com", 0), ("x[at]y[dot]de", 0), ("a {at} b.org", 0), ("(555) 123-4567", 3), ("555-123-4567", 3), ("\uff15\uff15\uff15-\uff11\uff12\uff13-\uff14\uff15\uff16\uff17", 3), ("five five five one two three four", 3), ("\uff14111 1111 1111 1111", 2), ("1 dot 2 dot 3 dot 4", 1)]
+    no = [("the the the the", 3), ("at the house of dot com", 0), ("2024-01-15", 3), ("1234567890", 3), ("2024 123 4567", 3), ("4111 1111 1111 1112", 2), ("said one two three", 3), ("one one one one one one one", 3), ("a at b", 0), ("1.2.3", 1), ("999.1.1.1", 1), ("", 3), ("", 0)]
+    assert [x for x in ok if not pii.read_as(*x)] == [] and [x for x in no if pii.read_as(*x)] == []
+
+
+def test_pii_planted_in_real_texts(docs):
+    """Loose spellings planted in real texts: nearly all are found whole, and nothing else is."""
+    import random
+
+    tagger = pii.Tagger()
+    tagger.p = pii.train(docs)
+    r = random.Random(99)
+    d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    wide = str.maketrans("0123456789", "".join(chr(0xFF10 + i) for i in range(10)))
+    names, hosts = "anna john maria peter lukas chen fatima olga pierre ines".split(), "example mailbox corp uni post".split()
+    said = "zero one two three four five six seven eight nine".split()
+
+    def planted():
+        n = r.choice(names) + r.choice(["", ".lee", "_x", "7"])
+        return r.choice([
+            (0, f"{n} at {r.choice(hosts)} dot {r.choice(['com', 'org', 'net'])}"), (0, f"{n} (at) {r.choice(hosts)} (dot) org"), (0, f"{n}[at]{r.choice(hosts)}[dot]com"),
+            (3, f"({d(3)}) {d(3)}-{d(4)}"), (3, f"{d(3)}-{d(3)}-{d(4)}".translate(wide)), (3, " ".join(r.choice(said) for _ in range(r.randint(7, 10)))),
+        ])
+
+    plain = [t for t in texts_of(docs).values() if len(t) > 100 and not pii.base_spans(t)[0]]
+    assert [s for b, a in pii.spans_of(plain, tagger) for s in a] == []
+    texts, want = [], []
+    for t in (plain * 3)[:240]:
+        (kind, s), words = planted(), t.split(" ")
+        i = r.randrange(1, len(words))
+        lead = " ".join(words[:i]) + " "
+        texts.append(lead + s + " " + " ".join(words[i:]))
+        want.append((len(lead), kind, len(lead) + len(s)))
+    got = [[x for x in a if x not in b] for b, a in pii.spans_of(texts, tagger)]
+    hit = sum(w in g for w, g in zip(want, got))
+    assert hit >= 0.9 * len(want) and hit >= 0.9 * sum(map(len, got))
+
+
 def test_pii_gradients():
     t = pii.Tagger(3)
     x, y = np.random.default_rng(0).integers(0, 20, (3, 8)), np.random.default_rng(1).integers(0, pii.TAGS, (3, 8))
@@ -557,6 +614,10 @@ def test_keep_one_of_repeated_ids(spark):
     rows = [(1, words[0]), (1, words[0]), (2, words[0]), (3, words[1]), (3, words[1]), (None, words[2]), (None, words[2]), (4, words[3])]
     d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("m", F.create_map(F.lit("a"), F.lit(1))).withColumn("_n", F.lit(3))
     assert sorted(str(r.doc_id) for r in jaccard.keep_one(d).collect()) == ["1", "3", "4", "None", "None"]
+    # one id on different texts: only equal or linked ones go
+    rows = [(5, words[0]), (5, words[1]), (5, words[1]), (6, words[1]), (7, words[2]), (7, words[2] + " more"), (8, words[3]), (5, ""), (5, None)]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, (r.text or "")[:4]) for r in kept) == [(5, ""), (5, "w0x0"), (5, "w1x0"), (7, "w2x0"), (8, "w3x0")]
 
 
 def test_packing_is_optimal_and_whole(odd, docs):
