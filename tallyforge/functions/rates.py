@@ -200,16 +200,18 @@ class RateBook:
         out = out.withColumn(f"{prefix}fee_gst", bps_amount(F.col(f"{prefix}fee"), F.col(f"{prefix}gst")))
         return out.withColumn(f"{prefix}net", F.col(amount) - F.col(f"{prefix}fee") - F.col(f"{prefix}fee_gst"))
 
-    def fallback_reason(self, merchant: Column, instrument: Column, day: Column) -> Column:
-        """Why a row's rate is a fallback; the first reason only; null when it is none."""
+    def with_reason(self, df: DataFrame, merchant: str, instrument: str, day: str, reason: str = "reason") -> DataFrame:
+        """df with why a row's rate is a fallback: the first reason only, null when it is none. The merchants with rates are a table to join, not an expression."""
         known = sorted({m for c in self.cards for m in c.own_merchants})
-        named = merchant.isNotNull() & (merchant != "UNKNOWN")
-        return (
-            F.when(iso(day).isNull(), "card_unparseable_date")
-            .when(day < self.cards[0].start, "card_out_of_range")
-            .when(named & ~merchant.isin(known), "merchant_unknown")
-            .when(instrument.isNull() | ~instrument.isin(INSTRUMENTS), "instrument_unknown")
+        own = local_table(df.sparkSession, [(m,) for m in known] or [(None,)], "_own string")
+        named = F.col(merchant).isNotNull() & (F.col(merchant) != "UNKNOWN")
+        why = (
+            F.when(iso(F.col(day)).isNull(), "card_unparseable_date")
+            .when(F.col(day) < self.cards[0].start, "card_out_of_range")
+            .when(named & F.col("_own").isNull(), "merchant_unknown")
+            .when(F.col(instrument).isNull() | ~F.col(instrument).isin(INSTRUMENTS), "instrument_unknown")
         )
+        return df.join(own, F.col(merchant) == F.col("_own"), "left").select(*[F.col(c) for c in df.columns], why.alias(reason))
 
 
 REASONS = ["card_unparseable_date", "card_out_of_range", "merchant_unknown", "instrument_unknown"]

@@ -111,8 +111,8 @@ def batch_counters(settlements: DataFrame) -> DataFrame:
 
 def fallback_census(folded: DataFrame, book: RateBook) -> DataFrame:
     """(reason, n): rows priced by a fallback, every reason present."""
-    reason = book.fallback_reason(F.col("merchant_id"), F.col("instrument_type"), F.col("settlement_date"))
-    counts = folded.where(F.col("settled_amount_paise").isNotNull()).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    rows = folded.where(F.col("settled_amount_paise").isNotNull()).select("merchant_id", "instrument_type", "settlement_date")
+    counts = book.with_reason(rows, "merchant_id", "instrument_type", "settlement_date").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     every = local_table(folded.sparkSession, [(r,) for r in REASONS], "reason string")
     return every.join(counts, "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
 
