@@ -128,7 +128,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
         for b in batches:
             x, n = _matrix(b), b.num_rows
             for i in range(orderings):
-                tie = mix64(b.column("id").to_numpy().astype(np.uint64) + np.uint64(i) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
+                tie = mix64(b.column("id").to_numpy().astype(np.uint64) + np.uint64(i * 0x9E3779B97F4A7C15 % 2**64)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i, np.int32)), pa.array(curves.value.keys(x, i)), pa.array(tie), b.column("id"), b.column("cand"), b.column("ask")], names=["o", "key", "tie", "id", "cand", "ask"])
 
     # rows of one key lie in another order each time
@@ -173,7 +173,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
                 m = min(k, len(c))
                 if not m:
                     continue
-                edge = np.partition(row, len(row) - m)[len(row) - m] - 1e-12
+                edge = np.partition(row, len(row) - m)[len(row) - m]
+                edge -= 1e-12 * max(1.0, abs(edge)) if np.isfinite(edge) else 0.0
                 near = np.nonzero((row >= edge) & (row > -np.inf))[0]
                 near = near[np.lexsort((ids[c[near]], -row[near]))]
                 out_q.append(np.full(len(near), ids[i]))
