@@ -42,10 +42,12 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SAMPLE_DOCS, NEAR, ANYWHERE, MARGIN, MADE, EPOCHS, BATCH = 400, 2, 3, 60, 2400, 9, 64
 #: Sizes of the model, of the windows that cover a text and of those that train, and characters decoded at a time.
 HIDDEN, EMBED, WINDOW, STRIDE, TRAINED, AT_ONCE = 16, 12, 128, 104, 80, 400_000
+#: Characters of stretches that are decoded beside each other, the shorter ones filled up.
+DECODED = 400_000
 #: Bound of a transition score, and the margin of training: certain characters part a text.
 STRONGEST, CLEAR = 1.0, 2.5
 #: What outside may gain (or lose) after training, and one passage in HELD that does not train but judges it: the least doubt that leaves those clean.
-DOUBTS, HELD = (-3.0, -2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 1.5, 2.0, 3.0), 5
+DOUBTS, HELD = (-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 1.5, 2.0, 3.0), 5
 CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .,:;@+-_()[]{}<>/\\\"'=#%&*!?\n\t"
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 #: The input number after a text's end, next to those of characters.
@@ -294,8 +296,10 @@ class Tagger:
         """Best tags of stretches (emissions, whether an outside character comes before, and after), in lockstep."""
         tr, out = self.p["tr"], [np.zeros(0, np.int64)] * len(runs)
         order = sorted(range(len(runs)), key=lambda i: -len(runs[i][0]))
-        for lo in range(0, len(order), 4096):
-            some = order[lo : lo + 4096]
+        lo = 0
+        while lo < len(order):  # long ones, of which few fit beside each other, come first
+            some = order[lo : lo + max(1, min(4096, DECODED // len(runs[order[lo]][0])))]
+            lo += len(some)
             size = np.array([len(runs[i][0]) for i in some])
             em = np.zeros((size[0], len(some), TAGS), np.float32)
             for k, i in enumerate(some):
@@ -318,15 +322,22 @@ class Tagger:
                 out[i] = tags[: size[k], k]
         return out
 
-    def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-        """(start, kind, end) of the spans that the model finds in each text."""
+    def spans(self, texts: list[str], gated: bool = False) -> list[list[tuple[int, int, int]]]:
+        """(start, kind, end) of the spans that the model finds in each text.
+
+        gated leaves out stretches beside which nothing stands that reconciled() could read as personal data; it would drop their spans.
+        """
         pieces = [(d, a, min(len(t), a + AT_ONCE)) for d, t in enumerate(texts) for a in range(0, len(t), AT_ONCE)]
         open_: list[list] = []  # unsure stretches: text, from, emissions
         for lo, hi in slices([b - a for _, a, b in pieces], AT_ONCE):
             for (d, a, b), em in zip(pieces[lo:hi], self.covered(texts, pieces[lo:hi])):
                 unsure = np.concatenate([[False], ~self._sure(em), [False]])
-                edges = np.nonzero(np.diff(unsure.astype(np.int8)))[0]
-                for f, t in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                edges = np.nonzero(np.diff(unsure.astype(np.int8)))[0].reshape(-1, 2)
+                if gated and len(edges):
+                    marks = np.array([m.start() - a for m in EVIDENCE.finditer(texts[d], max(0, a - REACH), min(len(texts[d]), b + REACH))] or [-(10**9)])
+                    beside = np.searchsorted(marks, edges[:, 0] - REACH) < np.searchsorted(marks, edges[:, 1] + REACH)
+                    edges = edges[beside | (edges[:, 0] == 0) | (edges[:, 1] == b - a)]  # those at a piece's end may go on in the next
+                for f, t in edges.tolist():
                     if open_ and open_[-1][0] == d and open_[-1][1] + len(open_[-1][2]) == a + f:
                         open_[-1][2] = np.concatenate([open_[-1][2], em[f:t]])
                     else:
@@ -365,6 +376,10 @@ SAID = {w: str(i) for i, w in enumerate("zero one two three four five six seven
 AT_SIGN = re.compile(r"(?i)\s*(?:@|\(\s*at\s*\)|\[\s*at\s*\]|\{\s*at\s*\}|\s(?:at)\s)\s*")
 DOT_SIGN = re.compile(r"(?i)\s*(?:\.|\(\s*dot\s*\)|\[\s*dot\s*\]|\{\s*dot\s*\}|\s(?:dot)\s)\s*")
 NAME = re.compile(r"[\w%+-]+", re.A)
+#: What a span that can be read must have beside it: a figure of any script, an at sign in some spelling, or a digit in words; and how far
+#: spans are grown at most.
+EVIDENCE = re.compile(r"(?i)[\d@]|\b(?:at|" + "|".join(SAID) + r")\b")
+REACH = 100
 #: Characters that may stand between the pieces of one span, by kind.
 JOINTS = {0: 9, 1: 1, 2: 2, 3: 3}
 #: Groups of digits of a telephone number without a country code.
@@ -608,7 +623,7 @@ def _tagger(key: bytes) -> Tagger:
 def spans_of(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text, as (start, kind, end) in order."""
     out = []
-    for text, found in zip(texts, tagger.spans(texts)):
+    for text, found in zip(texts, tagger.spans(texts, gated=True)):
         base, _ = base_spans(text)
         base.sort()
         out.append((base, sorted(base + reconciled(text, found, [(s, e) for s, _, e in base]))))
