@@ -374,7 +374,9 @@ def _codes() -> np.ndarray:
 # Digits in words, and how the signs of an address are spelled out.
 SAID = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 AT_SIGN = re.compile(r"(?i)\s*(?:@|\(\s*at\s*\)|\[\s*at\s*\]|\{\s*at\s*\}|\s(?:at)\s)\s*")
-DOT_SIGN = re.compile(r"(?i)\s*(?:\.|\(\s*dot\s*\)|\[\s*dot\s*\]|\{\s*dot\s*\}|\s(?:dot)\s)\s*")
+DOT_SIGN = re.compile(r"(?i)(?:\.(?!\s)|\s*(?:\(\s*dot\s*\)|\[\s*dot\s*\]|\{\s*dot\s*\}|\s(?:dot)\s)\s*)")
+#: The at sign as a plain word, which prose holds too: then a dot must be spelled out as well.
+BARE_AT = re.compile(r"(?i)\sat\s")
 NAME = re.compile(r"[\w%+-]+", re.A)
 #: What a span that can be read must have beside it: a figure of any script, an at sign in some spelling, or a digit in words; and how far
 #: spans are grown at most.
@@ -412,6 +414,8 @@ def read_as(s: str, kind: int) -> bool:
         names = AT_SIGN.split(s.strip())
         if len(names) != 2 or not NAME.fullmatch(DOT_SIGN.sub("", names[0])):
             return False
+        if BARE_AT.search(s) and "dot" not in names[1].lower():
+            return False
         parts = DOT_SIGN.split(names[1])
         return len(parts) > 1 and all(NAME.fullmatch(p) for p in parts) and 2 <= len(parts[-1]) <= 12 and parts[-1].isalpha()
     if kind == 1:

@@ -257,7 +257,7 @@ def test_pii_windows_one_by_one(docs):
 
 def test_pii_reading():
     ok = [("anna.lee (at) mail (dot) org", 0), ("john at example dot com", 0), ("x[at]y[dot]de", 0), ("a {at} b.org", 0), ("(555) 123-4567", 3), ("555-123-4567", 3), ("\uff15\uff15\uff15-\uff11\uff12\uff13-\uff14\uff15\uff16\uff17", 3), ("five five five one two three four", 3), ("\uff14111 1111 1111 1111", 2), ("1 dot 2 dot 3 dot 4", 1)]
-    no = [("the the the the", 3), ("at the house of dot com", 0), ("2024-01-15", 3), ("1234567890", 3), ("2024 123 4567", 3), ("4111 1111 1111 1112", 2), ("said one two three", 3), ("one one one one one one one", 3), ("a at b", 0), ("1.2.3", 1), ("999.1.1.1", 1), ("", 3), ("", 0)]
+    no = [("the the the the", 3), ("at the house of dot com", 0), ("2024-01-15", 3), ("1234567890", 3), ("2024 123 4567", 3), ("4111 1111 1111 1112", 2), ("said one two three", 3), ("one one one one one one one", 3), ("a at b", 0), ("rehe at eron. Atrehe", 0), ("look at example.com", 0), ("a@b. Com", 0), ("1.2.3", 1), ("999.1.1.1", 1), ("", 3), ("", 0)]
     assert [x for x in ok if not pii.read_as(*x)] == [] and [x for x in no if pii.read_as(*x)] == []
 
 
