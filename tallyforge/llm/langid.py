@@ -210,7 +210,7 @@ def _parser(texts: tuple[tuple[str, bytes], ...]) -> CrossParser:
 def predict(docs: DataFrame, trained: dict[str, bytes]) -> DataFrame:
     """(doc_id, lang_pred, score) from the texts alone; the automata are built once in each Python worker."""
     texts = tuple(sorted(trained.items()))
-    shared = docs.sparkSession.sparkContext.broadcast(texts)  # at most ALL_BYTES bytes
+    shared = docs.sparkSession.sparkContext.broadcast(texts)  # TRAIN_DOCS passages a language at most
 
     def run(batches):
         parser = _parser(shared.value)
