@@ -40,8 +40,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: The bounded training sample: documents, passages around a digit or at sign and from anywhere of each, made spans; passes over it.
 SAMPLE_DOCS, NEAR, ANYWHERE, MARGIN, MADE, EPOCHS, BATCH = 400, 2, 3, 60, 2400, 9, 64
-#: Sizes of the model, of the windows that cover a text and of those that train, and characters decoded at a time.
-HIDDEN, EMBED, WINDOW, STRIDE, TRAINED, AT_ONCE = 16, 12, 128, 104, 80, 400_000
+#: Sizes of the model, of the windows that cover a text and of those that train, windows beside each other (their state fits a core's cache),
+#: and characters decoded at a time.
+HIDDEN, EMBED, WINDOW, STRIDE, TRAINED, BESIDE, AT_ONCE = 16, 12, 256, 232, 80, 512, 400_000
 #: Characters of stretches that are decoded beside each other, the shorter ones filled up.
 DECODED = 400_000
 #: Bound of a transition score, and the margin of training: certain characters part a text.
@@ -100,8 +101,14 @@ def _emails(text: str):
         at = m.end()
 
 
-def _tanh(z: np.ndarray) -> np.ndarray:
-    return 2 / (1 + np.exp(np.minimum(-2 * z, 80))) - 1
+def _gate(z: np.ndarray) -> np.ndarray:
+    """A sigmoid of straight pieces: no exponential for each character."""
+    return np.clip(0.25 * z + 0.5, 0, 1)
+
+
+def _squash(z: np.ndarray) -> np.ndarray:
+    """Softsign, in the place of tanh; its slope is (1 - |value|) squared."""
+    return z / (1 + np.abs(z))
 
 
 class Tagger:
@@ -127,11 +134,11 @@ class Tagger:
         hs, hh, c, memo = np.empty((t, n, h), np.float32), np.zeros((n, h), np.float32), np.zeros((n, h), np.float32), []
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             z = pre[x[:, k]] + hh @ p[f"wh{d}"]
-            s = 1 / (1 + np.exp(-z[:, : 3 * h]))
-            i, f, o, u = s[:, :h], s[:, h : 2 * h], s[:, 2 * h :], _tanh(z[:, 3 * h :])
+            s = _gate(z[:, : 3 * h])
+            i, f, o, u = s[:, :h], s[:, h : 2 * h], s[:, 2 * h :], _squash(z[:, 3 * h :])
             last, prev = c, hh
             c = f * c + i * u
-            tc = _tanh(c)
+            tc = _squash(c)
             hs[k] = hh = o * tc
             if keep:
                 memo.append((k, i, f, o, u, tc, last, prev))
@@ -148,41 +155,53 @@ class Tagger:
     def _quick(self, x: np.ndarray) -> np.ndarray:
         """Emissions without what backward needs, in place.
 
-        A gate is (1 + tanh(z / 2)) / 2; the halves are taken into the weights, and the cell and the hidden
-        state are kept doubled. Embeddings, a one for the bias, a mark of padding and the hidden state lie
-        above each other, so that a step is one product. Padding closes all gates: a text's end does not
-        depend on the longer windows beside it.
+        The slope and the offset of the gates are taken into the weights. Embeddings, a one for the bias, a
+        mark of padding and the hidden state lie above each other, so that a step is one product. Padding
+        closes all gates: a text's end does not depend on the longer windows beside it. Windows are filled up
+        to a multiple of 16 columns, so that every column goes through the same kernel, and equal windows get equal bits.
         """
         p, h, e = self.p, HIDDEN, EMBED
-        n, t = x.shape
+        asked, t = x.shape
+        n = -(-asked // 16) * 16
+        x = np.concatenate([x, np.full((n - asked, t), PADDING, x.dtype)])
         xt, out = np.ascontiguousarray(x.T), np.empty((t, TAGS, n + 16), np.float32)[:, :, :n]  # 16: rows do not lie a power of two apart
         out[:] = p["ob"][:, None]
-        half = np.concatenate([np.full(3 * h, 0.5, np.float32), np.ones(h, np.float32)])
-        closed = np.concatenate([np.full(3 * h, -200, np.float32), np.zeros(h, np.float32)])
+        slope = np.concatenate([np.full(3 * h, 0.25, np.float32), np.ones(h, np.float32)])
+        closed = np.concatenate([np.full(3 * h, -400, np.float32), np.zeros(h, np.float32)])
         table = np.zeros((e + 2, PADDING + 1), np.float32)
         table[:e, :PADDING], table[e], table[e + 1, PADDING] = p["emb"].T, 1, 1
-        fed, z, g = np.empty((e + 2 + h, n), np.float32), np.empty((4 * h, n), np.float32), np.empty((TAGS, n), np.float32)
-        seen, hh, gates = fed[: e + 2], fed[e + 2 :], z[: 3 * h]
+        fed, z = np.empty((e + 2 + h, n), np.float32), np.empty((4 * h + TAGS, n), np.float32)
+        seen, hh, gates, last = fed[: e + 2], fed[e + 2 :], z[: 3 * h], z[4 * h :]
+        shut, open_ = np.zeros_like(gates), np.ones_like(gates)  # whole arrays: numpy compares those much faster than with a number
         i, f, o, u = (z[j * h : (j + 1) * h] for j in range(4))
-        c, tc = np.empty((h, n), np.float32), np.empty((h, n), np.float32)
+        c, size = np.empty((h, n), np.float32), np.empty((h, n), np.float32)
         for d, part in (("f", p["out"][:h]), ("b", p["out"][h:])):
-            w = np.ascontiguousarray((np.concatenate([p[f"wx{d}"], p[f"b{d}"][None], closed[None], p[f"wh{d}"] / 2]) * half).T, np.float32)
-            part = np.ascontiguousarray(part.T / 2)
-            hh[:], c[:] = 0, 0
+            w = np.concatenate([p[f"wx{d}"], p[f"b{d}"][None], closed[None], p[f"wh{d}"]]) * slope
+            w[e, : 3 * h] += 0.5
+            # the same product gives what the state before this step emits
+            w = np.ascontiguousarray(np.concatenate([w, np.concatenate([np.zeros((e + 2, TAGS), np.float32), part])], 1).T, np.float32)
+            hh[:], c[:], at = 0, 0, None
             for k in range(t) if d == "f" else range(t - 1, -1, -1):
                 np.take(table, xt[k], 1, seen, "clip")
                 np.matmul(w, fed, z)
-                np.tanh(z, z)
-                gates += 1
+                if at is not None:
+                    out[at] += last
+                at = k
+                np.maximum(gates, shut, gates)
+                np.minimum(gates, open_, gates)
+                np.abs(u, size)
+                size += 1
+                u /= size
                 c *= f
-                c *= 0.5
                 i *= u
                 c += i
-                np.multiply(c, 0.5, tc)
-                np.tanh(tc, tc)
-                np.multiply(tc, o, hh)
-                out[k] += np.matmul(part, hh, g)
-        return out.transpose(0, 2, 1)
+                np.abs(c, size)
+                size += 1
+                np.divide(c, size, hh)
+                hh *= o
+            if at is not None:
+                out[at] += part.T @ hh
+        return out.transpose(0, 2, 1)[:, :asked]
 
     def gradients(self, x: np.ndarray, y: np.ndarray, margin: float = 0.0) -> dict[str, np.ndarray]:
         """Gradients of the mean negative CRF log-likelihood of tags y (n, t), all other tags helped by a margin."""
@@ -213,8 +232,9 @@ class Tagger:
             dh, dc = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
             for at, i, f, o, u, tc, last, prev in reversed(memo):
                 dh = dh + part[at]
-                dc = dc + dh * o * (1 - tc * tc)
-                dz = np.concatenate([dc * u * i * (1 - i), dc * last * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - u * u)], 1)
+                dc = dc + dh * o * (1 - np.abs(tc)) ** 2
+                steep = [0.25 * ((v > 0) & (v < 1)) for v in (i, f, o)]
+                dz = np.concatenate([dc * u * steep[0], dc * last * steep[1], dh * tc * steep[2], dc * i * (1 - np.abs(u)) ** 2], 1).astype(np.float32)
                 xe = p["emb"][x[:, at]]
                 dwx += xe.T @ dz
                 dwh += prev.T @ dz
@@ -244,7 +264,7 @@ class Tagger:
 
     def viterbi(self, em: np.ndarray) -> np.ndarray:
         """The best tags of one stretch of emissions (t, k)."""
-        tr, score, back = self.p["tr"], em[0], np.empty(em.shape, np.int8)
+        tr, score, back = self.p["tr"], em[0].astype(np.float64), np.empty(em.shape, np.int8)  # sums of long texts need double precision
         for i in range(1, len(em)):
             s = score[:, None] + tr
             back[i] = s.argmax(0)
@@ -273,8 +293,8 @@ class Tagger:
         start, end = start[order], end[order]
         hits = np.cumsum(np.bincount(start, minlength=len(flat) + 1) - np.bincount(end, minlength=len(flat) + 1))
         sums = np.zeros((len(flat), TAGS), np.float32)
-        for lo in range(0, len(start), 1024):
-            s, t = start[lo : lo + 1024], end[lo : lo + 1024]
+        for lo in range(0, len(start), BESIDE):
+            s, t = start[lo : lo + BESIDE], end[lo : lo + BESIDE]
             at = s[:, None] + np.arange((t - s).max())
             em = self.emissions(np.where(at < t[:, None], flat[np.minimum(at, len(flat) - 1)], PADDING).astype(np.int64))
             em = np.ascontiguousarray(em.transpose(1, 0, 2))
@@ -304,7 +324,7 @@ class Tagger:
             em = np.zeros((size[0], len(some), TAGS), np.float32)
             for k, i in enumerate(some):
                 em[: size[k], k] = runs[i][0]
-            score = em[0] + np.where(np.array([runs[i][1] for i in some])[:, None], tr[0], np.float32(0))
+            score = em[0].astype(np.float64) + np.where(np.array([runs[i][1] for i in some])[:, None], tr[0], np.float32(0))
             back = np.zeros(em.shape, np.int8)
             for t in range(1, len(em)):
                 n = int((size > t).sum())
