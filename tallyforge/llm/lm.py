@@ -13,10 +13,10 @@ is spelled: a second causal attention layer, started by the class, gives the wor
 from all subwords of the tokenizer (an adaptive softmax, ordered by corpus counts) and then a stop. The
 probabilities of all words, known or not, sum to at most 1.
 
-Training: class vectors and a first fit use a bounded sample of passages (parameters below); the attention
-layer is then trained by every partition on whole texts of a fixed share of its documents, so what is
-learned from grows with the input, and the partitions' changes are averaged. Overlapping windows give
-each word its context and score each word once.
+Training: class vectors and a first fit use a bounded sample of passages (parameters below). From there every
+block trains the attention layer on each word of all its training texts, and the task of a bucket trains the
+speller on each distinct training word of it; their changes are averaged by what each has learned from.
+Overlapping windows give each word its context and score each word once.
 
 Defined cases: null text counts as empty and has the end token alone; repeated rows count and score
 once each; with no training text every count is 0; extra columns are dropped.
@@ -24,6 +24,7 @@ once each; with no training text every count is 0; extra columns are dropped.
 
 from __future__ import annotations
 
+import copy
 import pickle
 import zlib
 from functools import lru_cache
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import blocks_for, checkpointed, hash_sample, slices, small_batches, text_bytes
+from .common import blocks_for, bucketed, checkpointed, hash_sample, slices, small_batches, text_bytes
 
 #: Widths of the attention layer and of the speller, subwords scored and seen by a window, subwords that the speller sees.
 WIDTH, LETTERS, STEP, SEEN, SPELLED = 16, 32, 32, 64, 16
@@ -45,8 +46,10 @@ TOP, CLUSTERS, PROJECTED = 95, 32, 24
 HEAD, TAIL = 128, 768
 #: The bounded sample of the first fit: documents, passages of each, characters of a passage; distinct words that the speller learns from.
 SAMPLE_DOCS, PASSAGES, PASSAGE_CHARS, SAMPLE_WORDS = 800, 4, 1500, 60_000
-#: Steps of the first fits; one document in SHARE trains the attention layer where it lies.
-STEPS, SPELL_STEPS, BATCH, SPELL_BATCH, SHARE = 300, 1500, 64, 256, 100
+#: Steps of the first fits and their batches.
+STEPS, SPELL_STEPS, BATCH, SPELL_BATCH = 300, 1500, 64, 256
+#: The pass over all training texts: rates of the attention layer and the speller, words of one part and parts of a step, subwords that the speller takes a step.
+RATE, SPELL_RATE, PART, PARTS, SPELL_PART = 0.004, 0.001, 512, 2, 8192
 PAD, BOS, FIRST = 0, 1, 2
 #: Rows that a bucket of words returns: its sums, its subwords' words, its most frequent words, words to learn from, and all words with who asked.
 NUMBERS, SUBWORDS, MOST, LEARN, ALL = range(5)
@@ -251,20 +254,82 @@ class Attention:
         dx, g = _attend_back(self.p, memo, dt.reshape(t.shape))
         return float(-got.mean()), g | {"u": flat[rows].T @ dz, "b": dz.sum(0), "e": _rows(x, dx)}
 
-    def fit(self, sequences: list[tuple[np.ndarray, np.ndarray]], steps: int | None = STEPS, rate: float = 0.01, seed: int = 5) -> int:
-        """Adam on windows of the sequences: `steps` batches drawn, or every window once; how many windows there are."""
+    def fit(self, sequences: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, rate: float = 0.01, seed: int = 5) -> int:
+        """Adam on windows of the sequences, `steps` batches drawn; how many windows there are."""
         x, y, _ = self.windows(sequences)
         some, self.tables = (y >= 0).any(1), None
         x, y, r, adam = x[some], y[some], np.random.default_rng(seed), _Adam(self.p, rate)
         if not len(x):
             return 0
-        order = r.permutation(len(x))
-        for i in range(-(-len(x) // BATCH) if steps is None else steps):
-            at = order[i * BATCH : i * BATCH + BATCH] if steps is None else r.integers(0, len(x), BATCH)
-            adam.rate = rate * (1 if steps is None else 1 - 0.9 * i / steps)
+        for i in range(steps):
+            at = r.integers(0, len(x), BATCH)
+            adam.rate = rate * (1 - 0.9 * i / steps)
             adam(self.gradients(x[at], y[at])[1])
         return len(x)
 
+    def learn(self, sequences: list[tuple[np.ndarray, np.ndarray]], adam: _Adam, seed: int = 5) -> int:
+        """One pass of Adam over every class of the sequences; how many there are.
+
+        A step takes parts of windows; those of a part have equally many classes, so that nothing is filled up.
+        """
+        x, y, _ = self._laid(sequences)
+        lead, r, parts, self.tables = SEEN - STEP, np.random.default_rng(seed), [], None
+        asks = np.nonzero(y >= 0)[0]
+        window, start, many = np.unique((asks - lead) // STEP, return_index=True, return_counts=True)
+        for n in np.unique(many):
+            group = r.permutation(np.nonzero(many == n)[0])
+            each = max(1, PART // int(n))
+            parts += [(window[w], asks[start[w][:, None] + np.arange(n)]) for w in (group[i : i + each] for i in range(0, len(group), each))]
+        order = r.permutation(len(parts))
+        for i in range(0, len(order), PARTS):
+            adam(self.parts_gradients(x, y, [parts[j] for j in order[i : i + PARTS]])[1])
+        return len(asks)
+
+    def parts_gradients(self, x: np.ndarray, y: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[float, dict]:
+        """Mean loss and gradients for the classes at the asking positions of windows (window numbers, positions (n, asks)).
+
+        The same function as gradients(), from products of matrices: a score is e_i (q k) e_j, an output e_i + sum a_j e_j (v o).
+        """
+        p, d, lead = self.p, WIDTH, SEEN - STEP
+        scale, n_all = np.float32(1 / np.sqrt(d)), sum(at.size for _, at in parts)
+        mix, out, bias, far = p["q"] @ p["k"].T * scale, p["v"] @ p["o"], _bias(p["near"], lead, SEEN), np.maximum(_distance(lead, SEEN), 0)
+        g = {k: np.zeros_like(p[k]) for k in ("u", "b", "near")}
+        dmix, dout, loss, ids, de = np.zeros_like(mix), np.zeros_like(out), 0.0, [], []
+        for window, at in parts:
+            seen = x[window[:, None] * STEP + np.arange(SEEN)]
+            e, own = p["e"][seen], p["e"][x[at].ravel()]
+            q = (own @ mix).reshape(*at.shape, d)
+            a = np.matmul(q, e.transpose(0, 2, 1))
+            a += bias[at % STEP]
+            a[seen[:, lead - 1] == PAD, :, :lead] = -1e4
+            np.minimum(a, 60, out=a)
+            np.exp(a, out=a)
+            a /= a.sum(2, keepdims=True) + np.float32(1e-20)
+            h = np.matmul(a, e)
+            t = np.tanh(own + h.reshape(-1, d) @ out)
+            got, dz = _softmax_loss(t @ p["u"] + p["b"], y[at].ravel())
+            loss -= got.sum() / n_all
+            dz *= np.float32(1 / n_all)
+            g["u"] += t.T @ dz
+            g["b"] += dz.sum(0)
+            dt = dz @ p["u"].T
+            dt *= 1 - t * t
+            dout += h.reshape(-1, d).T @ dt
+            dh = (dt @ out.T).reshape(h.shape)
+            ds = np.matmul(dh, e.transpose(0, 2, 1))
+            ds -= (dh * h).sum(2, keepdims=True)
+            ds *= a
+            g["near"] += np.bincount(far[at % STEP].ravel(), ds.ravel(), len(p["near"])).astype(np.float32)  # 0 where nothing is seen
+            dq = np.matmul(ds, e).reshape(-1, d)
+            dmix += own.T @ dq
+            more = np.matmul(a.transpose(0, 2, 1), dh)
+            more += np.matmul(ds.transpose(0, 2, 1), q)
+            ids += [seen.ravel(), x[at].ravel()]
+            de += [more.reshape(-1, d), dt + dq @ mix.T]
+        dmix *= scale
+        g |= {"q": dmix @ p["k"], "k": dmix.T @ p["q"], "v": dout @ p["o"].T, "o": p["v"].T @ dout}
+        return float(loss), g | {"e": _rows(np.concatenate(ids), np.concatenate(de))}
+
     def score(self, sequences: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The summed log-probability (natural) of each sequence's classes.
 
@@ -398,10 +463,14 @@ class Speller:
             total += self.logp(t.reshape(-1, LETTERS)[keep], y[at[:, half:].ravel()[keep]]).sum()
         return float(total)
 
-    def gradients(self, s: np.ndarray, cls: np.ndarray) -> tuple[float, dict]:
-        """Mean loss and gradients for words of one length: subwords s (n, length), classes."""
-        t, memo = _attend(self.p, self._inputs(s, cls), 0)
-        flat, y = t.reshape(-1, LETTERS), np.concatenate([self.rank[s], np.zeros((len(s), 1), np.int32)], 1).ravel()
+    def gradients(self, s: np.ndarray, cls: np.ndarray | None, y: np.ndarray | None = None) -> tuple[float, dict]:
+        """Mean loss and gradients for words of one length: subwords s (n, length), classes, targets (by default the subwords and the stop).
+
+        Without classes s are windows from inside words, with targets after their last ones only.
+        """
+        y = np.concatenate([self.rank[s], np.zeros((len(s), 1), np.int32)], 1) if y is None else y
+        t, memo = _attend(self.p, self.p["e"][s] if cls is None else self._inputs(s, cls), 0 if cls is not None else s.shape[1] - y.shape[1])
+        flat, y = t.reshape(-1, LETTERS), y.ravel()
         got, dz = _softmax_loss(self._logits(flat), self._entry(y))
         dz /= len(y)
         loss = -got.sum() / len(y)
@@ -419,10 +488,10 @@ class Speller:
         dx, g = _attend_back(self.p, memo, dt.reshape(t.shape))
         at = np.concatenate(rows)
         g |= {"w": (at, np.concatenate(dw)), "b": (at, np.concatenate(db)), "gw": dz[:, HEAD:].T @ flat, "gb": dz[:, HEAD:].sum(0)}
-        return float(loss), g | {"c": _rows(cls, dx[:, 0]), "e": _rows(s, dx[:, 1:])}
+        return float(loss), g | ({"e": _rows(s, dx)} if cls is None else {"c": _rows(cls, dx[:, 0]), "e": _rows(s, dx[:, 1:])})
 
     def fit(self, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, cls: np.ndarray, steps: int = SPELL_STEPS, rate: float = 0.01, seed: int = 6) -> Speller:
-        """Adam on batches of words of equal length; a longer word gives its first SPELLED - 1 subwords, the rest is rare."""
+        """Adam on batches of words of equal length below SPELLED, drawn; learn() takes the longer ones too."""
         r, adam = np.random.default_rng(seed), _Adam(self.p, rate)
         by = {n: np.nonzero(sizes == n)[0] for n in range(1, SPELLED)}
         by = {n: at for n, at in by.items() if len(at)}
@@ -436,6 +505,30 @@ class Speller:
             adam(self.gradients(ids[starts[at][:, None] + np.arange(n)], cls[at])[1])
         return self
 
+    def learn(self, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, cls: np.ndarray, adam: _Adam, seed: int = 6) -> int:
+        """One pass of Adam over every word, of any length, in batches of one length; how many words there are."""
+        r, parts = np.random.default_rng(seed), []
+        batches = lambda at, n: [(n, at[i : i + max(1, SPELL_PART // n)]) for i in range(0, len(at), max(1, SPELL_PART // n))]
+        for n in range(1, SPELLED):
+            parts += batches(r.permutation(np.nonzero(sizes == n)[0]), n)
+        far = np.nonzero(sizes >= SPELLED)[0]
+        parts += batches(r.permutation(far), SPELLED)
+        half = SPELLED // 2
+        # windows inside long words, each with SPELLED subwords and targets after its second half: word, first subword
+        lows = [np.append(np.arange(half - 1, sizes[i] - SPELLED, half), sizes[i] - SPELLED) for i in far]
+        word, low = np.repeat(far, [len(x) for x in lows]), np.concatenate([np.zeros(0, np.int64), *lows])
+        inside = batches(r.permutation(len(low)), SPELLED)
+        for i in r.permutation(len(parts) + len(inside)):
+            n, at = parts[i] if i < len(parts) else inside[i - len(parts)]
+            if i < len(parts):
+                s = ids[starts[at][:, None] + np.arange(n)]
+                adam(self.gradients(s, cls[at])[1] if n < SPELLED else self.gradients(s[:, :-1], cls[at], self.rank[s])[1])
+            else:
+                to = low[at][:, None] + np.arange(half + 1, SPELLED + 1)  # the subwords after, or the stop after the last
+                after_it = self.rank[ids[starts[word[at]][:, None] + np.minimum(to, sizes[word[at]][:, None] - 1)]]
+                adam(self.gradients(ids[(starts[word[at]] + low[at])[:, None] + np.arange(SPELLED)], None, np.where(to < sizes[word[at]][:, None], after_it, 0))[1])
+        return len(sizes)
+
 
 # ---------------------------------------------------------------- classes, and the whole model
 
@@ -598,21 +691,11 @@ def fit(tokenizer: str, passages: list[str], top: list[bytes], learn: list[bytes
     return Model(classes, net, speller)
 
 
-def refine(docs: DataFrame, tokenizer: str, model: Model) -> None:
-    """Every partition trains the attention layer on whole texts of one document in SHARE; the changes are averaged.
+def averaged(changes: DataFrame) -> dict[str, np.ndarray]:
+    """The mean of changes of parameters (d, n), weighed by what each was learned from.
 
     Partial sums are formed by at most 32 tasks, each streaming, so the driver gets 32 sets of changes at most.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # fixed by the tokenizer's size
-
-    def learn(batches):
-        tok, base = bpe.load(tokenizer), _model(shared.value)
-        seqs = [s for b in batches for s in sequences(b.column("text").cast(pa.binary()).to_pylist(), tok, base.classes)]
-        if seqs:
-            net = Attention.__new__(Attention)
-            net.p = {k: x.copy() for k, x in base.net.p.items()}
-            n = net.fit(seqs, None, 0.002)
-            yield _change({k: x - base.net.p[k] for k, x in net.p.items()}, n)
 
     def add(batches):
         total, weight = None, 0
@@ -624,17 +707,31 @@ def refine(docs: DataFrame, tokenizer: str, model: Model) -> None:
         if weight:
             yield _change({k: x / np.float32(weight) for k, x in total.items()}, weight)
 
-    some = docs.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE)) == 0)).select("text")
-    got = some.mapInArrow(learn, "d binary, n long").repartition(32).mapInArrow(add, "d binary, n long").toLocalIterator()
-    total, weight = None, 0
-    for r in got:
-        d = _opened(r["d"])
-        total = {k: (total[k] if total else 0) + x * np.float32(r["n"]) for k, x in d.items()}
+    total, weight = {}, 0
+    for r in changes.repartition(32).mapInArrow(add, "d binary, n long").toLocalIterator():
+        for k, x in _opened(r["d"]).items():
+            total[k] = total.get(k, 0) + x * np.float32(r["n"])
         weight += r["n"]
-    if weight:
-        for k, x in total.items():
-            model.net.p[k] += x / np.float32(weight)
-    shared.destroy()
+    return {k: x / np.float32(weight) for k, x in total.items()}
+
+
+def spelling_learned(totals: DataFrame, shared) -> DataFrame:
+    """The changes (d, n) of the speller that each task learns from all known words of its buckets, bucket after bucket."""
+
+    def learn(batches):
+        base, n = _model(shared.value), 0
+        speller = copy.copy(base.speller)
+        speller.p = {k: x.copy() for k, x in base.speller.p.items()}
+        adam = _Adam(speller.p, SPELL_RATE)
+        for r in (r for b in batches for r in b.to_pylist()):
+            sizes, ids = np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.frombuffer(r["ids"], np.int32)
+            cls = base.classes.of(r["words"].split(b"\n"), ids, sizes)
+            use = (np.frombuffer(r["totals"], np.int64) > 0) & (cls >= base.classes.first)
+            n += speller.learn(ids, (np.cumsum(sizes) - sizes)[use], sizes[use], cls[use], adam, r["bucket"])
+        if n:
+            yield _change({k: x - base.speller.p[k] for k, x in speller.p.items()}, n)
+
+    return totals.where(F.col("kind") == ALL).select("bucket", "words", "totals", "sizes", "ids").mapInArrow(learn, "d binary, n long")
 
 
 def _change(d: dict[str, np.ndarray], n: int) -> pa.RecordBatch:
@@ -663,25 +760,23 @@ def score(docs: DataFrame, tokenizer: str) -> DataFrame:
     docs = small_batches(docs).select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     n_blocks = blocks_for(text_bytes(docs))
-    blocks = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("out"), F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int").alias("block")).repartition(n_blocks, "block")
+    # written in buckets: counting, training and scoring read the texts where they lie
+    blocks = bucketed(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("out"), F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int").alias("block")), "lm_blocks", n_blocks, "block")
     learn_words = -(-SAMPLE_WORDS // n_blocks)
 
     sent = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
     told = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("words", "totals", "sizes", "ids", "blocks", "places"))])
     answer = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("totals", "sizes", "ids", "cls", "spelled"))])
 
-    def count(batches):
-        by: dict[int, tuple[Words, list]] = {}
-        for b in batches:
-            for text, out, block in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("out").to_pylist(), b.column("block").to_pylist()):
-                words, seen = by.setdefault(block, (Words(), []))
-                ids = words.ids(text or b"")
-                if not out:
-                    seen.append(ids.astype(np.int32))
-        for block, (words, seen) in by.items():
-            n = np.bincount(np.concatenate(seen), minlength=len(words.index)) if seen else np.zeros(len(words.index), np.int64)
-            for bucket, w, at in words.dealt(n_blocks):
-                yield pa.RecordBatch.from_pylist([{"bucket": bucket, "block": block, "words": b"\n".join(w), "counts": n[at].astype(np.int64).tobytes()}], sent)
+    def count(group):
+        words, seen = Words(), []
+        for text, out in zip(group.column("text").cast(pa.binary()).to_pylist(), group.column("out").to_pylist()):
+            ids = words.ids(text or b"")
+            if not out:
+                seen.append(ids.astype(np.int32))
+        n = np.bincount(np.concatenate(seen), minlength=len(words.index)) if seen else np.zeros(len(words.index), np.int64)
+        block = group.column("block")[0].as_py()
+        return pa.Table.from_pylist([{"bucket": bucket, "block": block, "words": b"\n".join(w), "counts": n[at].astype(np.int64).tobytes()} for bucket, w, at in words.dealt(n_blocks)], sent)
 
     def total(group):
         tok, rows = bpe.load(tokenizer), group.to_pylist()
@@ -709,38 +804,29 @@ def score(docs: DataFrame, tokenizer: str) -> DataFrame:
         ]
         return pa.Table.from_pylist(out, told)
 
-    def answers(batches):
-        model = _model(shared.value)
-        for r in (r for b in batches for r in b.to_pylist()):
-            sums, size, ids = np.frombuffer(r["totals"], np.int64), np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.frombuffer(r["ids"], np.int32)
-            cls = model.classes.of(r["words"].split(b"\n"), ids, size)
-            spelled, starts = model.spelled(cls, ids, size), np.cumsum(size) - size
-            places, lo = np.frombuffer(r["places"], np.int32), 0
-            for block, n in np.frombuffer(r["blocks"], np.int32).reshape(-1, 2).tolist():
-                mine = places[lo : lo + n]
-                lo += n
-                yield pa.RecordBatch.from_pylist([{
-                    "block": block, "bucket": r["bucket"], "totals": sums[mine].tobytes(), "sizes": size[mine].astype(np.int32).tobytes(),
-                    "ids": _pieces(ids, starts[mine], size[mine]).tobytes(), "cls": cls[mine].astype(np.int16).tobytes(), "spelled": spelled[mine].tobytes(),
-                }], answer)
-
-    counted = blocks.mapInArrow(count, "bucket int, block int, words binary, counts binary")
-    totals = checkpointed(counted.groupBy("bucket").applyInArrow(total, "kind int, bucket int, words binary, totals binary, sizes binary, ids binary, blocks binary, places binary"))
-    # the sums of all buckets: a few numbers each, and at most one count a subword of the tokenizer
-    n_all, n_distinct, once, twice = _numbers(totals)
-    every = totals.where(F.col("kind") == SUBWORDS).mapInArrow(_summed, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    subwords = np.zeros(len(bpe.load(tokenizer).token_bytes))
-    subwords[[r["id"] for r in every]] = [r["n"] for r in every]
-    learn = [w for r in totals.where(F.col("kind") == LEARN).select("words").collect() for w in r["words"].split(b"\n") if w]  # SAMPLE_WORDS, and one a bucket more
-    model = first_fit(docs, tokenizer, _most_frequent(totals), learn, subwords)
-    refine(docs, tokenizer, model)
-    model.discount = once / (once + 2 * twice) if once and twice else 0.5
-    model.mass, model.types = _class_sums(totals, model)
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # fixed by the tokenizer's size
-    shift = float(np.log10(n_all + n_distinct + 1))
-
-    def rate(left, right):
-        model, words = _model(shared.value), Words()
+    def told_blocks(shared, spell: bool) -> DataFrame:
+        """What each bucket tells each block of its words; their spelling only for the scores."""
+
+        def answers(batches):
+            model = _model(shared.value)
+            for r in (r for b in batches for r in b.to_pylist()):
+                sums, size, ids = np.frombuffer(r["totals"], np.int64), np.frombuffer(r["sizes"], np.int32).astype(np.int64), np.frombuffer(r["ids"], np.int32)
+                cls = model.classes.of(r["words"].split(b"\n"), ids, size)
+                spelled, starts = model.spelled(cls, ids, size) if spell else np.zeros(len(cls), np.float32), np.cumsum(size) - size
+                places, lo = np.frombuffer(r["places"], np.int32), 0
+                for block, n in np.frombuffer(r["blocks"], np.int32).reshape(-1, 2).tolist():
+                    mine = places[lo : lo + n]
+                    lo += n
+                    yield pa.RecordBatch.from_pylist([{
+                        "block": block, "bucket": r["bucket"], "totals": sums[mine].tobytes(), "sizes": size[mine].astype(np.int32).tobytes(),
+                        "ids": _pieces(ids, starts[mine], size[mine]).tobytes(), "cls": cls[mine].astype(np.int16).tobytes(), "spelled": spelled[mine].tobytes(),
+                    }], answer)
+
+        return totals.where(F.col("kind") == ALL).drop("kind").mapInArrow(answers, "block int, bucket int, totals binary, sizes binary, ids binary, cls binary, spelled binary")
+
+    def laid(left, right):
+        """Word numbers of each text of a block; by number: count, subwords, class and spelling; and all subwords in that order."""
+        words = Words()
         docs_ids = [words.ids(t or b"") for t in left.column("text").cast(pa.binary()).to_pylist()]
         n_words = len(words.index)
         c, size, cls, spelled = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64), np.zeros(n_words, np.int32), np.zeros(n_words)
@@ -755,11 +841,52 @@ def score(docs: DataFrame, tokenizer: str) -> DataFrame:
         order, sub = np.concatenate(at) if at else np.zeros(0, np.int64), np.concatenate(parts) if parts else np.zeros(0, np.int32)
         came = np.zeros(n_words, np.int64)
         came[order] = np.cumsum(size[order]) - size[order]
-        sub, starts = _pieces(sub, came, size), np.cumsum(size) - size
+        return docs_ids, c, size, cls, spelled, _pieces(sub, came, size)
+
+    def some(docs_ids, size):
+        return slices([int(size[i].sum()) + 1 for i in docs_ids], 300_000)  # a bounded number of subwords at a time
+
+    def rehearse(left, right):
+        """The changes of the attention layer that one block learns from all its training texts."""
+        base, (docs_ids, _, size, cls, _, sub) = _model(shared.value), laid(left, right)
+        docs_ids, starts, n = [i for i, out in zip(docs_ids, left.column("out").to_pylist()) if not out], np.cumsum(size) - size, 0
+        net = copy.copy(base.net)
+        net.p = {k: x.copy() for k, x in base.net.p.items()}
+        adam = _Adam(net.p, RATE)
+        for lo, hi in some(docs_ids, size):
+            n += net.learn([(_pieces(sub, starts[i], size[i]), after(cls[i], size[i])) for i in docs_ids[lo:hi]], adam, lo)
+        got = [_change({k: x - base.net.p[k] for k, x in net.p.items()}, n)] if n else []
+        return pa.Table.from_batches(got, pa.schema([("d", pa.binary()), ("n", pa.int64())]))
+
+    counted = blocks.groupBy("block").applyInArrow(count, "bucket int, block int, words binary, counts binary")
+    totals = checkpointed(counted.groupBy("bucket").applyInArrow(total, "kind int, bucket int, words binary, totals binary, sizes binary, ids binary, blocks binary, places binary"))
+    # the sums of all buckets: a few numbers each, and at most one count a subword of the tokenizer
+    n_all, n_distinct, once, twice = _numbers(totals)
+    every = totals.where(F.col("kind") == SUBWORDS).mapInArrow(_summed, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    subwords = np.zeros(len(bpe.load(tokenizer).token_bytes))
+    subwords[[r["id"] for r in every]] = [r["n"] for r in every]
+    learn = [w for r in totals.where(F.col("kind") == LEARN).select("words").collect() for w in r["words"].split(b"\n") if w]  # SAMPLE_WORDS, and one a bucket more
+    model = first_fit(docs, tokenizer, _most_frequent(totals), learn, subwords)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # fixed by the tokenizer's size
+    for part, changes in (
+        (model.net, blocks.groupBy("block").cogroup(told_blocks(shared, False).groupBy("block")).applyInArrow(rehearse, "d binary, n long")),
+        (model.speller, spelling_learned(totals, shared)),
+    ):
+        for k, x in averaged(changes).items():
+            part.p[k] += x
+    shared.destroy()
+    model.discount = once / (once + 2 * twice) if once and twice else 0.5
+    model.mass, model.types = _class_sums(totals, model)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # fixed by the tokenizer's size
+    shift = float(np.log10(n_all + n_distinct + 1))
+
+    def rate(left, right):
+        model, (docs_ids, c, size, cls, spelled, sub) = _model(shared.value), laid(left, right)
+        starts = np.cumsum(size) - size
         inside = model.inside(cls, c, spelled)
         logs, known = np.log10(c + 1.0), c > 0
         got = np.array([inside[i].sum() for i in docs_ids])
-        for lo, hi in slices([int(size[i].sum()) for i in docs_ids], 300_000):  # a bounded number of subwords at a time
+        for lo, hi in some(docs_ids, size):
             got[lo:hi] += model.net.score([(_pieces(sub, starts[i], size[i]), after(cls[i], size[i])) for i in docs_ids[lo:hi]])
         n = np.array([len(i) for i in docs_ids], np.int64)
         return pa.table({
@@ -767,9 +894,8 @@ def score(docs: DataFrame, tokenizer: str) -> DataFrame:
             "train_tokens": pa.array(np.full(len(n), n_all, np.int64)), "base_score": pa.array(np.array([logs[i].sum() for i in docs_ids]) - n * shift), "score": pa.array(got / np.log(10)),
         })
 
-    back = totals.where(F.col("kind") == ALL).drop("kind").mapInArrow(answers, "block int, bucket int, totals binary, sizes binary, ids binary, cls binary, spelled binary")
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(rate, schema)
+    return blocks.groupBy("block").cogroup(told_blocks(shared, True).groupBy("block")).applyInArrow(rate, schema)
 
 
 def _numbers(totals: DataFrame) -> list[int]:
