@@ -280,9 +280,12 @@ class Attention:
             group = r.permutation(np.nonzero(many == n)[0])
             each = max(1, PART // int(n))
             parts += [(window[w], asks[start[w][:, None] + np.arange(n)]) for w in (group[i : i + each] for i in range(0, len(group), each))]
-        order = r.permutation(len(parts))
+        order, rate = r.permutation(len(parts)), adam.rate
         for i in range(0, len(order), PARTS):
-            adam(self.parts_gradients(x, y, [parts[j] for j in order[i : i + PARTS]])[1])
+            some = [parts[j] for j in order[i : i + PARTS]]
+            adam.rate = rate * min(1, sum(at.size for _, at in some) / (PART * PARTS))  # a small batch is no whole step
+            adam(self.parts_gradients(x, y, some)[1])
+        adam.rate = rate
         return len(asks)
 
     def parts_gradients(self, x: np.ndarray, y: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[float, dict]:
@@ -518,8 +521,10 @@ class Speller:
         lows = [np.append(np.arange(half - 1, sizes[i] - SPELLED, half), sizes[i] - SPELLED) for i in far]
         word, low = np.repeat(far, [len(x) for x in lows]), np.concatenate([np.zeros(0, np.int64), *lows])
         inside = batches(r.permutation(len(low)), SPELLED)
+        rate = adam.rate
         for i in r.permutation(len(parts) + len(inside)):
             n, at = parts[i] if i < len(parts) else inside[i - len(parts)]
+            adam.rate = rate * min(1, len(at) * n / SPELL_PART)  # a small batch is no whole step
             if i < len(parts):
                 s = ids[starts[at][:, None] + np.arange(n)]
                 adam(self.gradients(s, cls[at])[1] if n < SPELLED else self.gradients(s[:, :-1], cls[at], self.rank[s])[1])
@@ -527,6 +532,7 @@ class Speller:
                 to = low[at][:, None] + np.arange(half + 1, SPELLED + 1)  # the subwords after, or the stop after the last
                 after_it = self.rank[ids[starts[word[at]][:, None] + np.minimum(to, sizes[word[at]][:, None] - 1)]]
                 adam(self.gradients(ids[(starts[word[at]] + low[at])[:, None] + np.arange(SPELLED)], None, np.where(to < sizes[word[at]][:, None], after_it, 0))[1])
+        adam.rate = rate
         return len(sizes)
 
 
