@@ -50,6 +50,8 @@ SAMPLE_DOCS, PASSAGES, PASSAGE_CHARS, SAMPLE_WORDS = 800, 4, 1500, 60_000
 STEPS, SPELL_STEPS, BATCH, SPELL_BATCH = 300, 1500, 64, 256
 #: The pass over all training texts: rates of the attention layer and the speller, words of one part and parts of a step, subwords that the speller takes a step.
 RATE, SPELL_RATE, PART, PARTS, SPELL_PART = 0.004, 0.001, 512, 2, 8192
+#: Subwords of words that are spelled beside each other (their logits fit a core's cache).
+SPELL_SCORED = 4096
 PAD, BOS, FIRST = 0, 1, 2
 #: Rows that a bucket of words returns: its sums, its subwords' words, its most frequent words, words to learn from, and all words with who asked.
 NUMBERS, SUBWORDS, MOST, LEARN, ALL = range(5)
@@ -97,7 +99,26 @@ class Words:
 def _pieces(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs of ids that begin at start and have the given sizes, in a row."""
     upto = np.concatenate([[0], np.cumsum(size)])
-    return ids[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])]
+    return ids.take(np.repeat(start - upto[:-1], size) + np.arange(upto[-1]), mode="clip")
+
+
+# take() with "clip" and a row's sum as a product are several times faster than indexing and sum(); all indices are in range.
+
+
+def _take(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return table.take(at, 0, mode="clip")
+
+
+def _sums(z: np.ndarray) -> np.ndarray:
+    """The sums of the last axis."""
+    return (z.reshape(-1, z.shape[-1]) @ np.ones(z.shape[-1], z.dtype)).reshape(z.shape[:-1])
+
+
+def _exp(z: np.ndarray, most: float) -> None:
+    """exp of min(z, most), in place."""
+    if z.size and z.max() > most:
+        np.minimum(z, np.float32(most), out=z)
+    np.exp(z, out=z)
 
 
 # ---------------------------------------------------------------- one causal attention layer
@@ -132,9 +153,8 @@ def _attend(p: dict[str, np.ndarray], x: np.ndarray, first: int, blind: np.ndarr
     s += _bias(p["near"], first, x.shape[1])
     if blind is not None and first:
         s[blind, :, :first] = -1e4
-    np.minimum(s, 60, out=s)
-    np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True) + np.float32(1e-20)
+    _exp(s, 60)
+    s /= _sums(s)[:, :, None] + np.float32(1e-20)
     h = np.matmul(s, v)
     t = np.tanh(last + proj(h, p["o"]))
     return t, (x, last, q, k, v, s, h, t, first)
@@ -148,24 +168,30 @@ def _attend_back(p: dict[str, np.ndarray], memo, dt: np.ndarray) -> tuple[np.nda
     dt = dt * (1 - t * t)
     flat = lambda z: z.reshape(-1, d)
     g = {"o": flat(h).T @ flat(dt)}
-    dh = dt @ p["o"].T
+    dh = (flat(dt) @ p["o"].T).reshape(dt.shape)
     da, dv = np.matmul(dh, v.transpose(0, 2, 1)), np.matmul(a.transpose(0, 2, 1), dh)
-    ds = a * (da - (da * a).sum(2, keepdims=True))
+    ds = da
+    ds -= _sums(dh * h)[:, :, None]
+    ds *= a
     far = _distance(first, x.shape[1])
     g["near"] = np.bincount(far[far >= 0], ds.sum(0)[far >= 0], len(p["near"])).astype(np.float32)
     dq, dk = np.matmul(ds, k) * scale, np.matmul(ds.transpose(0, 2, 1), q)
     g |= {"q": flat(last).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv)}
-    dx = dk @ p["k"].T + dv @ p["v"].T
-    dx[:, first:] += dq @ p["q"].T + dt
+    dx = flat(dk) @ p["k"].T
+    dx += flat(dv) @ p["v"].T
+    dx = dx.reshape(x.shape)
+    dx[:, first:] += (flat(dq) @ p["q"].T + flat(dt)).reshape(dt.shape)
     return dx, g
 
 
 def _rows(x: np.ndarray, dx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows of a table that x took, and the sums of their gradients."""
-    order = np.argsort(x.ravel(), kind="stable")
-    at = x.ravel()[order]
-    start = np.nonzero(np.diff(at, prepend=-1))[0]
-    return at[start], np.add.reduceat(dx.reshape(-1, dx.shape[-1])[order], start, 0)
+    at = x.ravel()
+    order = np.argsort(at.astype(np.uint16) if at.max(initial=0) < 1 << 16 else at, kind="stable")  # 16 bits are sorted by radix
+    at = _take(at, order)
+    start = np.concatenate([[0], np.nonzero(at[1:] != at[:-1])[0] + 1]) if len(at) else at
+    # pairs of numbers as complex ones: half as many sums to start
+    return at[start], np.add.reduceat(_take(dx.reshape(-1, dx.shape[-1]), order).view(np.complex64), start, 0).view(np.float32)
 
 
 class _Adam:
@@ -173,28 +199,42 @@ class _Adam:
 
     def __init__(self, p: dict[str, np.ndarray], rate: float):
         self.p, self.rate, self.step = p, rate, 0
-        self.m, self.v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+        self.past = {k: np.zeros((len(x), 2, *x.shape[1:]), x.dtype) for k, x in p.items()}  # both means of a row lie together
 
     def __call__(self, grads: dict) -> None:
         self.step += 1
         a, b = 1 - 0.9**self.step, 1 - 0.99**self.step
         for k, g in grads.items():
-            at, g = g if isinstance(g, tuple) else (slice(None), g)
-            m = self.m[k][at] = 0.9 * self.m[k][at] + np.float32(0.1) * g
-            v = self.v[k][at] = 0.99 * self.v[k][at] + np.float32(0.01) * g * g
-            self.p[k][at] -= np.float32(self.rate) * (m / np.float32(a)) / (np.sqrt(v / np.float32(b)) + np.float32(1e-7))
+            at, g = g if isinstance(g, tuple) else (None, g)
+            past = self.past[k] if at is None else _take(self.past[k], at)
+            m, v = past[:, 0], past[:, 1]
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * g
+            v *= np.float32(0.99)
+            v += np.float32(0.01) * g * g
+            change = v * np.float32(1 / b)
+            np.sqrt(change, out=change)
+            change += np.float32(1e-7)
+            np.divide(m, change, out=change)
+            change *= np.float32(self.rate / a)
+            if at is None:
+                self.p[k] -= change
+            else:
+                self.past[k][at] = past
+                self.p[k][at] = _take(self.p[k], at) - change
 
 
 def _softmax_loss(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log-probabilities of y, and the gradient of their negative sum, for logits z (changed in place)."""
-    z -= z.max(1, keepdims=True)
+    if z.size and max(z.max(), -z.min()) > 60:
+        z -= z.max(1, keepdims=True)
     rows = np.arange(len(z))
     mine = z[rows, y]
     np.exp(z, out=z)
-    total = z.sum(1, keepdims=True)
-    z /= total
+    total = _sums(z)
+    z *= (1 / total)[:, None]
     z[rows, y] -= 1
-    return mine - np.log(total[:, 0]), z
+    return mine - np.log(total), z
 
 
 # ---------------------------------------------------------------- the class of the next word
@@ -207,7 +247,6 @@ class Attention:
         r = np.random.default_rng(seed)
         g = lambda *s: (r.standard_normal(s) * 0.1).astype(np.float32)
         self.p = {"e": g(FIRST + n_ids, WIDTH), "u": g(WIDTH, n_classes), "b": np.zeros(n_classes, np.float32)} | _layer(r, SEEN, WIDTH)
-        self.tables = None
 
     @staticmethod
     def _laid(sequences: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,7 +296,7 @@ class Attention:
     def fit(self, sequences: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, rate: float = 0.01, seed: int = 5) -> int:
         """Adam on windows of the sequences, `steps` batches drawn; how many windows there are."""
         x, y, _ = self.windows(sequences)
-        some, self.tables = (y >= 0).any(1), None
+        some = (y >= 0).any(1)
         x, y, r, adam = x[some], y[some], np.random.default_rng(seed), _Adam(self.p, rate)
         if not len(x):
             return 0
@@ -273,7 +312,7 @@ class Attention:
         A step takes parts of windows; those of a part have equally many classes, so that nothing is filled up.
         """
         x, y, _ = self._laid(sequences)
-        lead, r, parts, self.tables = SEEN - STEP, np.random.default_rng(seed), [], None
+        lead, r, parts = SEEN - STEP, np.random.default_rng(seed), []
         asks = np.nonzero(y >= 0)[0]
         window, start, many = np.unique((asks - lead) // STEP, return_index=True, return_counts=True)
         for n in np.unique(many):
@@ -293,46 +332,69 @@ class Attention:
 
         The same function as gradients(), from products of matrices: a score is e_i (q k) e_j, an output e_i + sum a_j e_j (v o).
         """
-        p, d, lead = self.p, WIDTH, SEEN - STEP
-        scale, n_all = np.float32(1 / np.sqrt(d)), sum(at.size for _, at in parts)
-        mix, out, bias, far = p["q"] @ p["k"].T * scale, p["v"] @ p["o"], _bias(p["near"], lead, SEEN), np.maximum(_distance(lead, SEEN), 0)
-        g = {k: np.zeros_like(p[k]) for k in ("u", "b", "near")}
+        p, d, lead, n_all = self.p, WIDTH, SEEN - STEP, sum(at.size for _, at in parts)
+        forms = mix, out, bias = self._forms()
+        g, around = {k: np.zeros_like(p[k]) for k in ("u", "b")}, np.zeros_like(bias)
         dmix, dout, loss, ids, de = np.zeros_like(mix), np.zeros_like(out), 0.0, [], []
         for window, at in parts:
-            seen = x[window[:, None] * STEP + np.arange(SEEN)]
-            e, own = p["e"][seen], p["e"][x[at].ravel()]
-            q = (own @ mix).reshape(*at.shape, d)
-            a = np.matmul(q, e.transpose(0, 2, 1))
-            a += bias[at % STEP]
-            a[seen[:, lead - 1] == PAD, :, :lead] = -1e4
-            np.minimum(a, 60, out=a)
-            np.exp(a, out=a)
-            a /= a.sum(2, keepdims=True) + np.float32(1e-20)
-            h = np.matmul(a, e)
-            t = np.tanh(own + h.reshape(-1, d) @ out)
-            got, dz = _softmax_loss(t @ p["u"] + p["b"], y[at].ravel())
-            loss -= got.sum() / n_all
-            dz *= np.float32(1 / n_all)
-            g["u"] += t.T @ dz
-            g["b"] += dz.sum(0)
-            dt = dz @ p["u"].T
+            seen, mine, e, own, q, a, inv, h, t = self._forward(x, window, at, forms)
+            z = t @ p["u"]
+            z += p["b"]
+            if max(z.max(), -z.min()) > 60:
+                z -= z.max(1, keepdims=True)
+            rows, to = np.arange(len(z)), y.take(at.ravel())
+            loss -= z[rows, to].sum() / n_all
+            np.exp(z, out=z)
+            total = _sums(z)
+            loss += np.log(total).sum() / n_all
+            z[rows, to] -= total
+            share = 1 / (total * np.float32(n_all))  # what makes a row of z a gradient
+            g["u"] += (z.T @ (t * share[:, None])).T
+            g["b"] += share @ z
+            dt = z @ p["u"].T
+            dt *= share[:, None]
             dt *= 1 - t * t
-            dout += h.reshape(-1, d).T @ dt
-            dh = (dt @ out.T).reshape(h.shape)
-            ds = np.matmul(dh, e.transpose(0, 2, 1))
-            ds -= (dh * h).sum(2, keepdims=True)
+            dout += h.T @ dt
+            dh = dt @ out.T
+            dh *= inv
+            ds = np.matmul(dh.reshape(q.shape), e.transpose(0, 2, 1))
+            ds -= _sums(dh * h).reshape(*at.shape, 1)
             ds *= a
-            g["near"] += np.bincount(far[at % STEP].ravel(), ds.ravel(), len(p["near"])).astype(np.float32)  # 0 where nothing is seen
+            place, sums = _rows(at % STEP, ds)
+            around[place] += sums
             dq = np.matmul(ds, e).reshape(-1, d)
             dmix += own.T @ dq
-            more = np.matmul(a.transpose(0, 2, 1), dh)
+            more = np.matmul(a.transpose(0, 2, 1), dh.reshape(q.shape))
             more += np.matmul(ds.transpose(0, 2, 1), q)
-            ids += [seen.ravel(), x[at].ravel()]
+            ids += [seen.ravel(), mine]
             de += [more.reshape(-1, d), dt + dq @ mix.T]
-        dmix *= scale
+        g["near"] = np.bincount(np.maximum(_distance(lead, SEEN), 0).ravel(), around.ravel(), len(p["near"])).astype(np.float32)  # 0 where nothing is seen
+        dmix *= np.float32(1 / np.sqrt(d))
         g |= {"q": dmix @ p["k"], "k": dmix.T @ p["q"], "v": dout @ p["o"].T, "o": p["v"].T @ dout}
         return float(loss), g | {"e": _rows(np.concatenate(ids), np.concatenate(de))}
 
+    def _forms(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """q k (scaled), v o, and the bias of distances: all that a pass over asking positions needs beside the embeddings."""
+        p = self.p
+        return p["q"] @ p["k"].T * np.float32(1 / np.sqrt(WIDTH)), p["v"] @ p["o"], _bias(p["near"], SEEN - STEP, SEEN)
+
+    def _forward(self, x: np.ndarray, window: np.ndarray, at: np.ndarray, forms):
+        """Outputs at the asking positions `at` (n, asks) of windows, last, and what backward needs; attention is divided by its sum (1 / inv) in h alone."""
+        (mix, out, bias), e, lead = forms, self.p["e"], SEEN - STEP
+        seen, mine = x.take(window[:, None] * STEP + np.arange(SEEN), mode="clip"), x.take(at.ravel(), mode="clip")
+        e, own = _take(e, seen), _take(e, mine)
+        q = (own @ mix).reshape(*at.shape, WIDTH)
+        a = np.matmul(q, e.transpose(0, 2, 1))
+        a += _take(bias, at % STEP)
+        blind = np.nonzero(seen[:, lead - 1] == PAD)[0]
+        if len(blind):
+            a[blind, :, :lead] = -1e4
+        _exp(a, 60)
+        inv = 1 / (_sums(a).reshape(-1, 1) + np.float32(1e-20))
+        h = np.matmul(a, e).reshape(-1, WIDTH)
+        h *= inv
+        return seen, mine, e, own, q, a, inv, h, np.tanh(own + h @ out)
+
     def score(self, sequences: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The summed log-probability (natural) of each sequence's classes.
 
@@ -344,40 +406,24 @@ class Attention:
         asks = np.nonzero(y >= 0)[0]
         if not len(asks):
             return out
-        keys, values, query = self._tables()
-        bias = _bias(p["near"], lead, SEEN)
+        forms = self._forms()
         window, start, many = np.unique((asks - lead) // STEP, return_index=True, return_counts=True)
-        blind = x[window * STEP + lead - 1] == PAD
         for n in np.unique(many):
             group = np.nonzero(many == n)[0]
-            for lo in range(0, len(group), 512):
-                w = group[lo : lo + 512]
-                seen = x[window[w][:, None] * STEP + np.arange(SEEN)]
+            each = max(1, PART // int(n))
+            for lo in range(0, len(group), each):
+                w = group[lo : lo + each]
                 at = asks[start[w][:, None] + np.arange(n)]
-                s = np.matmul(query[x[at]], keys[seen].transpose(0, 2, 1))
-                s += bias[at % STEP]
-                s[blind[w], :, :lead] = -1e4
-                np.minimum(s, 60, out=s)
-                np.exp(s, out=s)
-                h = np.matmul(s, values[seen])
-                h /= s.sum(2, keepdims=True) + np.float32(1e-20)
-                t = np.tanh(p["e"][x[at]] + h)
-                z = t.reshape(-1, WIDTH) @ p["u"]
+                z = self._forward(x, window[w], at, forms)[-1] @ p["u"]
                 z += p["b"]
-                np.minimum(z, 80, out=z)
-                mine = z[np.arange(len(z)), y[at].ravel()].astype(np.float64)
+                if z.max() > 80:
+                    np.minimum(z, np.float32(80), out=z)
+                mine = z[np.arange(len(z)), y.take(at.ravel())].astype(np.float64)
                 np.exp(z, out=z)
-                got = mine - np.log(z.sum(1) + np.float32(1e-30))
+                got = mine - np.log(_sums(z) + np.float32(1e-30))
                 out += np.bincount(owner[window[w]], weights=got.reshape(-1, n).sum(1), minlength=len(out))
         return out
 
-    def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, values (through the output matrix) and scaled queries of every input; formed once, after training."""
-        if self.tables is None:
-            p = self.p
-            self.tables = p["e"] @ p["k"], p["e"] @ p["v"] @ p["o"], p["e"] @ (p["q"] * np.float32(1 / np.sqrt(WIDTH)))
-        return self.tables
-
 
 # ---------------------------------------------------------------- the spelling of a word
 
@@ -421,19 +467,21 @@ class Speller:
     def logp(self, t: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probabilities of targets y (0 the stop, else 1 + rank) for outputs t."""
         z = self._logits(t)
-        np.minimum(z, 80, out=z)
+        if z.size and z.max() > 80:
+            np.minimum(z, np.float32(80), out=z)
         out = z[np.arange(len(y)), self._entry(y)].astype(np.float64)
-        out -= np.log(np.exp(z, out=z).sum(1) + np.float32(1e-30))
+        out -= np.log(_sums(np.exp(z, out=z)) + np.float32(1e-30))
         for g, rows, at in self._tails(y):
             lo = HEAD + g * TAIL
             z = t[rows] @ self.p["w"][lo : lo + TAIL].T + self.p["b"][lo : lo + TAIL]
             z -= z.max(1, keepdims=True)
-            out[rows] += z[np.arange(len(rows)), at] - np.log(np.exp(z).sum(1))
+            mine = z[np.arange(len(rows)), at]
+            out[rows] += mine - np.log(_sums(np.exp(z, out=z)))
         return out
 
     def _inputs(self, ids: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Embedded classes and subwords (n, 1 + length)."""
-        return np.concatenate([self.p["c"][cls][:, None], self.p["e"][ids]], 1)
+        return np.concatenate([_take(self.p["c"], cls)[:, None], _take(self.p["e"], ids)], 1)
 
     def words(self, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """The log-probability (natural) of each word, given its class: runs of ids from starts, of any length."""
@@ -441,8 +489,8 @@ class Speller:
         order = np.argsort(sizes, kind="stable")
         edge = np.searchsorted(sizes[order], np.arange(SPELLED + 1))
         for n in range(1, SPELLED):
-            for lo in range(edge[n], edge[n + 1], max(1, 16384 // n)):
-                at = order[lo : min(edge[n + 1], lo + max(1, 16384 // n))]
+            for lo in range(edge[n], edge[n + 1], max(1, SPELL_SCORED // n)):
+                at = order[lo : min(edge[n + 1], lo + max(1, SPELL_SCORED // n))]
                 s = ids[starts[at][:, None] + np.arange(n)]
                 t, _ = _attend(self.p, self._inputs(s, cls[at]), 0)
                 y = np.concatenate([self.rank[s], np.zeros((len(at), 1), np.int32)], 1)
